@@ -23,8 +23,8 @@ _ITEM = (
     r'|"[^"\\]*+(?:\\.[^"\\]*+)*+"'
     r"""|[^'", ()]++"""
 )
-# characters Python's repr writes as an escape
-_UNPRINTABLE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Z}&&[^ ]]"
+# characters Python's repr writes as a numeric escape
+_RARE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Z}&&[^ \n\r\t]]"
 # an even run of backslashes that is not itself escaped
 _EVEN = r"(?<!\\)((?:\\\\)*+)"
 
@@ -40,15 +40,20 @@ def quote(text: Column) -> Column:
     body = F.replace(body, F.lit("\n"), F.lit("\\n"))
     body = F.replace(body, F.lit("\r"), F.lit("\\r"))
     body = F.replace(body, F.lit("\t"), F.lit("\\t"))
-    body = F.when(
-        body.rlike(_UNPRINTABLE),
-        F.array_join(F.transform(F.split(body, ""), _escape_char), ""),
-    ).otherwise(body)
-    body = F.when(has_single & has_double, F.replace(body, F.lit("'"), F.lit("\\'"))).otherwise(body)
+    # only text with a character left to escape is taken apart; every step
+    # names the one before it once, so the expression stays small
+    parts = F.split(body, "", F.when(text.rlike(_RARE), -1).otherwise(1))
+    body = F.array_join(F.transform(parts, _escape_char), "")
+    body = F.replace(body, F.lit("'"), F.when(has_single & has_double, "\\'").otherwise("'"))
     mark = F.when(has_single & ~has_double, F.lit('"')).otherwise(F.lit("'"))
     return F.concat(mark, body, mark)
 
 
+def quote_plain(text: Column) -> Column:
+    """A string known to hold nothing to escape, such as a number or a time."""
+    return F.concat(F.lit("'"), text, F.lit("'"))
+
+
 def _escape_char(char: Column) -> Column:
     code = F.ascii(char)
     digits = F.lower(F.hex(code.cast("bigint")))
@@ -57,7 +62,7 @@ def _escape_char(char: Column) -> Column:
         .when(code <= 0xFFFF, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
         .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0")))
     )
-    return F.when(char.rlike(_UNPRINTABLE), escape).otherwise(char)
+    return F.when(char.rlike(_RARE), escape).otherwise(char)
 
 
 def unquote(item: Column) -> Column:
@@ -144,19 +149,20 @@ def encode_tick(
     low_24h: Column,
     arrived: Column,
 ) -> Column:
-    """Wire text of a tick; prices and volumes come as number text."""
+    """Wire text of a tick; the pair is a plain symbol, prices and volumes are
+    number text."""
     return tuple_text(
-        quote(pair),
-        quote(last),
-        quote(lowest_ask),
-        quote(highest_bid),
-        quote(percent_change),
-        quote(base_volume),
-        quote(quote_volume),
+        quote_plain(pair),
+        quote_plain(last),
+        quote_plain(lowest_ask),
+        quote_plain(highest_bid),
+        quote_plain(percent_change),
+        quote_plain(base_volume),
+        quote_plain(quote_volume),
         is_frozen.cast("string"),
-        quote(high_24h),
-        quote(low_24h),
-        quote(civil_text(arrived)),
+        quote_plain(high_24h),
+        quote_plain(low_24h),
+        quote_plain(civil_text(arrived)),
     )
 
 
@@ -165,12 +171,12 @@ def encode_chat(
 ) -> Column:
     """Wire text of a chat message."""
     return tuple_text(
-        quote(kind),
+        quote_plain(kind),
         number.cast("string"),
         quote(user),
         quote(message),
         reputation.cast("string"),
-        quote(civil_text(arrived)),
+        quote_plain(civil_text(arrived)),
     )
 
 
@@ -208,16 +214,17 @@ def post_shape(fields: Column) -> Column:
     return F.size(fields) == POST_FIELDS
 
 
-def tick_columns(items: Column) -> dict[str, Column]:
-    def text(index: int) -> Column:
-        return unquote(F.get(items, index))
+def _plain(items: Column, index: int) -> Column:
+    """An item that holds no escapes: its quotes are all there is to take off."""
+    return F.btrim(F.get(items, index), F.lit("'\""))
+
 
+def tick_columns(items: Column) -> dict[str, Column]:
     def number(index: int) -> Column:
-        # number text holds no escapes: its quotes are all there is to take off
-        return F.btrim(F.get(items, index), F.lit("'\"")).try_cast("double")
+        return _plain(items, index).try_cast("double")
 
     return {
-        "pair": text(0),
+        "pair": _plain(items, 0),
         "last": number(1),
         "lowest_ask": number(2),
         "highest_bid": number(3),
@@ -227,7 +234,7 @@ def tick_columns(items: Column) -> dict[str, Column]:
         "is_frozen": F.get(items, 7).try_cast("int"),
         "high_24h": number(8),
         "low_24h": number(9),
-        "ts": parse_civil(F.btrim(F.get(items, 10), F.lit("'\""))),
+        "ts": parse_civil(_plain(items, 10)),
     }
 
 
@@ -239,7 +246,7 @@ def chat_columns(items: Column) -> dict[str, Column]:
     return {
         "user": unquote(F.get(items, 2)),
         "message": unquote(F.get(items, 3)),
-        "ts": parse_civil(F.btrim(F.get(items, 5), F.lit("'\""))),
+        "ts": parse_civil(_plain(items, 5)),
     }
 
 

@@ -100,17 +100,53 @@ CALC_SCHEMA = T.StructType([
 CALC_VALUES = ("messages", "btc", "bitcoin", "last")
 
 
+#: refused messages
+REJECT_SCHEMA = (
+    "topic STRING, partition INT, offset BIGINT, value STRING, reason STRING, "
+    "source STRING, batch BIGINT"
+)
+#: rows per second and batch
+SECOND_SCHEMA = "topic STRING, epoch_s BIGINT, n BIGINT, day DATE, batch BIGINT"
+
+
 @dataclass(frozen=True)
 class Feed:
-    """A raw feed: its table name, cell family, cell columns and time column."""
+    """A raw feed: its table name, cell family, cell columns, time column and
+    the types of its own columns."""
 
     name: str
     family: str
     cells: dict[str, str]
     time: str
-
-
-POSTS = Feed("posts", POST_FAMILY, POST_CELLS, "created")
-TICKS = Feed("ticks", TICK_FAMILY, TICK_CELLS, "ts")
-CHATS = Feed("chats", CHAT_FAMILY, CHAT_CELLS, "ts")
+    columns: str
+
+    @property
+    def schema(self) -> str:
+        """Schema of the landed table."""
+        return (
+            "topic STRING, partition INT, offset BIGINT, "
+            f"{self.columns}, epoch_s BIGINT, row_key BIGINT, day DATE, batch BIGINT"
+        )
+
+
+POSTS = Feed(
+    "posts",
+    POST_FAMILY,
+    POST_CELLS,
+    "created",
+    "followers BIGINT, friends BIGINT, statuses BIGINT, text STRING, screen_name STRING, "
+    "language STRING, location STRING, created TIMESTAMP_NTZ",
+)
+TICKS = Feed(
+    "ticks",
+    TICK_FAMILY,
+    TICK_CELLS,
+    "ts",
+    "pair STRING, last DOUBLE, lowest_ask DOUBLE, highest_bid DOUBLE, percent_change DOUBLE, "
+    "base_volume DOUBLE, quote_volume DOUBLE, is_frozen INT, high_24h DOUBLE, low_24h DOUBLE, "
+    "ts TIMESTAMP_NTZ",
+)
+CHATS = Feed(
+    "chats", CHAT_FAMILY, CHAT_CELLS, "ts", "user STRING, message STRING, ts TIMESTAMP_NTZ"
+)
 FEEDS = {feed.name: feed for feed in (POSTS, TICKS, CHATS)}

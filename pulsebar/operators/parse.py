@@ -22,7 +22,9 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
     value = F.col("value")
     pieces = F.col("pieces")
     splitter = wire.split_post if feed is POSTS else wire.tuple_items
-    split = messages.select(*IDENTITY, "value", splitter(value).alias("pieces"))
+    # A projected split would be copied into every filter pushed below it and
+    # run once per use. A generator of one row is a step filters stay above.
+    split = messages.select(*IDENTITY, "value", F.explode(F.array(splitter(value))).alias("pieces"))
     if feed is POSTS:
         columns, shape = wire.post_columns(pieces), wire.post_shape(pieces)
     elif feed is TICKS:
@@ -31,11 +33,14 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
         columns, shape = wire.chat_columns(pieces), wire.chat_shape(value, pieces)
     else:
         raise ValueError(f"unknown feed {feed}")
-    typed = split.select(
+    # the same for the time, which the checks and the keys both ask for
+    timed = split.withColumn(feed.time, F.explode(F.array(columns.pop(feed.time))))
+    typed = timed.select(
         *IDENTITY,
         "value",
         shape.alias("shaped"),
         *[column.alias(name) for name, column in columns.items()],
+        feed.time,
     )
     when = F.col(feed.time)
     return (

@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsebar.functions import clock, text
-from pulsebar.layout import CALC_VALUES, CHATS, POSTS, TICKS
+from pulsebar.layout import CALC_VALUES, CHATS, POSTS, TICKS, Feed
 from pulsebar.operators import calc, cells, parse, rollup, sequence
 from pulsebar.plans import feeds
-from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, STEP, TEXT_WORDS
+from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, TEXT_WORDS
+from pulsebar.sources import tables
+from pulsebar.sources.workdir import new_folder
+from pulsebar.streaming import landing
+from pulsebar.streaming import rollup as stream_rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -213,6 +217,54 @@ def printable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", text.printable(F.col("text")).alias("text"))
 
 
+# -- streams ------------------------------------------------------------------
+# Each runs over all files of its table, stops, and gives the table it wrote.
+
+
+def _landed(messages: DataFrame, feed: Feed) -> DataFrame:
+    spark = messages.sparkSession
+    root = new_folder(spark, f"stream-{feed.name}")
+    landing.land(messages, feed, root, trigger=landing.CATCH_UP).awaitTermination()
+    return tables.read_rows(spark, root, feed).drop("topic", "partition", "day")
+
+
+def stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(feeds.post_messages(feeds.table_stream(spark, sf_dir, "documents")), POSTS)
+
+
+def stream_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(feeds.tick_messages(feeds.table_stream(spark, sf_dir, "events")), TICKS)
+
+
+def stream_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(feeds.chat_messages(feeds.table_stream(spark, sf_dir, "conversations")), CHATS)
+
+
+def stream_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_chats(spark, sf_dir).select("offset", "row_key")
+
+
+def _published(buckets: DataFrame, series: str) -> DataFrame:
+    spark = buckets.sparkSession
+    root = new_folder(spark, f"stream-{series}")
+    stream_rollup.publish(buckets, root, series, landing.CATCH_UP).awaitTermination()
+    return tables.read_calc(spark, root)
+
+
+def stream_social(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = feeds.post_messages(feeds.table_stream(spark, sf_dir, "documents"))
+    posts = parse.accepted(parse.parse(messages, POSTS))
+    buckets = stream_rollup.social_stream(posts, DOCUMENT_WORDS)
+    return _published(buckets, tables.SOCIAL).drop("last")
+
+
+def stream_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = feeds.tick_messages(feeds.table_stream(spark, sf_dir, "events"))
+    ticks = parse.accepted(parse.parse(messages, TICKS))
+    buckets = stream_rollup.price_stream(ticks, EVENT_PAIR)
+    return _rounded(_published(buckets, tables.PRICE).select("key", "last"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -245,5 +297,11 @@ QUERIES: dict[str, Query] = {
         rejects,
         track_filter,
         printable,
+        stream_posts,
+        stream_ticks,
+        stream_chats,
+        stream_row_key,
+        stream_social,
+        stream_price,
     )
 }

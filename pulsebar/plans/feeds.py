@@ -28,6 +28,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table read as a stream of its files."""
+    schema = table(spark, sf_dir, name).schema
+    # a pattern, since a stream takes a plain path for a folder
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def _identity(topic: str, offset: Column) -> list[Column]:
     return [
         F.lit(topic).alias("topic"),

@@ -146,3 +146,13 @@ TWINS: dict[str, str] = {
     + " OR ".join(f"contains(lower(text), '{word}')" for word in TEXT_WORDS),
     "printable": f"SELECT doc_id, {PRINTABLE.format('text')} AS text FROM documents",
 }
+
+# a stream that has read its whole table leaves what the batch job gives
+TWINS["stream_posts"] = f"""SELECT *, epoch_s * 1000 AS row_key FROM ({TWINS["parse_post"]})"""
+TWINS["stream_ticks"] = f"""SELECT *, epoch_s * 1000 + row_number() OVER
+    (PARTITION BY epoch_s ORDER BY "offset") - 1 AS row_key FROM ({TWINS["parse_tick"]})"""
+TWINS["stream_chats"] = f"""SELECT *, epoch_s * 1000 + row_number() OVER
+    (PARTITION BY epoch_s ORDER BY "offset") - 1 AS row_key FROM ({TWINS["parse_chat"]})"""
+TWINS["stream_row_key"] = TWINS["chat_row_key"]
+TWINS["stream_social"] = TWINS["social_documents_5m"]
+TWINS["stream_price"] = TWINS["price_5m"]
