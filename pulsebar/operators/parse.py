@@ -38,7 +38,7 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
     typed = timed.select(
         *IDENTITY,
         "value",
-        shape.alias("shaped"),
+        F.coalesce(shape, F.lit(False)).alias("shaped"),
         *[column.alias(name) for name, column in columns.items()],
         feed.time,
     )
