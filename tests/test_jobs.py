@@ -1,0 +1,300 @@
+"""Batch and streaming jobs over folders of messages."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from pulsebar.layout import CHATS, MESSAGE_SCHEMA, POSTS, TICKS
+from pulsebar.operators import parse, rollup, sequence
+from pulsebar.plans import feeds, jobs
+from pulsebar.sources import messages as sources
+from pulsebar.sources import tables, workdir
+from pulsebar.streaming import landing
+from pulsebar.streaming import rollup as stream_rollup
+
+BASE = feeds.BASE
+HOUR = 3600
+
+
+def tick(offset, second, pair="USDT_BTC", last="1.0"):
+    minute, sec = divmod(second, 60)
+    hour, minute = divmod(minute, 60)
+    day, hour = divmod(hour, 24)
+    when = f"2024-01-{day + 1:02d} {hour:02d}:{minute:02d}:{sec:02d}"
+    value = f"('{pair}', '{last}', '1', '1', '0', '1', '1', 0, '1', '1', '{when}')"
+    return (value, "ticks", 0, offset, None)
+
+
+def post(offset, second, text="BTC Bitcoin"):
+    minute, sec = divmod(second, 60)
+    value = f"1,2,3,{text},n,en,x,2024-01-01 {minute // 60:02d}:{minute % 60:02d}:{sec:02d}"
+    return (value, "posts", 0, offset, None)
+
+
+def put_file(spark, folder, rows, name):
+    """One source file per call, with a modification time of its own."""
+    os.makedirs(folder, exist_ok=True)
+    part = os.path.join(os.path.dirname(folder), f"part-{name}")
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.parquet(part)
+    made = next(f for f in os.listdir(part) if f.endswith(".parquet"))
+    target = os.path.join(folder, f"{name}.parquet")
+    os.link(os.path.join(part, made), target)
+    stamp = 1_700_000_000 + 10 * len(os.listdir(folder))
+    os.utime(target, (stamp, stamp))
+
+
+def stream(spark, folder):
+    return sources.stream_messages(spark, "parquet", path=str(folder), maxFilesPerTrigger="1")
+
+
+def landed(spark, root, feed=TICKS):
+    return {row.offset: row.row_key for row in tables.read_rows(spark, str(root), feed).collect()}
+
+
+def land(spark, folder, root, feed=TICKS):
+    query = landing.land(stream(spark, folder), feed, str(root), trigger=landing.CATCH_UP)
+    query.awaitTermination()
+
+
+# -- backfill -----------------------------------------------------------------
+
+
+def batch(spark, rows):
+    return spark.createDataFrame(rows, MESSAGE_SCHEMA)
+
+
+def test_backfill_range_and_rejects(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [tick(0, 100), tick(1, 101), tick(2, 101), tick(3, 200), tick(4, 201), ("junk", "ticks", 0, 5, None)]
+    jobs.backfill(batch(spark, rows), TICKS, root, BASE + 100, BASE + 200)
+    assert landed(spark, root) == {
+        1: (BASE + 101) * 1000, 2: (BASE + 101) * 1000 + 1, 3: (BASE + 200) * 1000,
+    }
+    assert [(r.source, r.value, r.reason) for r in tables.read_rejects(spark, root).collect()] == [
+        ("ticks", "junk", "field_count")
+    ]
+    assert jobs.resume_second(spark, root, TICKS) == BASE + 200
+
+
+def test_backfill_again_and_resumed(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [tick(i, i * 600) for i in range(400)]  # almost three days
+    jobs.backfill(batch(spark, rows), TICKS, root, stop=BASE + 100_000)
+    first = landed(spark, root)
+    jobs.backfill(batch(spark, rows), TICKS, root, stop=BASE + 100_000)
+    assert landed(spark, root) == first
+    # resumed in the middle of a day: what that day already held has to stay
+    jobs.backfill(batch(spark, rows), TICKS, root, start=jobs.resume_second(spark, root, TICKS))
+    assert landed(spark, root) == {i: (BASE + i * 600) * 1000 for i in range(400)}
+
+
+def test_backfill_merges_with_what_a_stream_landed(spark, tmp_path):
+    root, folder = str(tmp_path / "root"), str(tmp_path / "in")
+    put_file(spark, folder, [tick(0, 10, last="1"), tick(1, 20, last="1")], "a")
+    put_file(spark, folder, [tick(2, 30, last="1")], "b")
+    land(spark, folder, root)
+    jobs.backfill(batch(spark, [tick(1, 20, last="9"), tick(2, 30, last="9"), tick(7, 40, last="9")]), TICKS, root)
+    rows = tables.read_rows(spark, root, TICKS).collect()
+    assert sorted((r.offset, r.last) for r in rows) == [(0, 1.0), (1, 9.0), (2, 9.0), (7, 9.0)]
+
+
+def test_backfill_of_nothing(spark, tmp_path):
+    jobs.backfill(batch(spark, [("junk", "ticks", 0, 5, None)]), TICKS, str(tmp_path))
+    assert tables.read_rejects(spark, str(tmp_path)).count() == 1
+    assert not workdir.exists(spark, str(tmp_path / "ticks"))
+
+
+def test_backfill_of_all_feeds_equals_parse(spark, sf_dir, tmp_path):
+    for feed, name, make in (
+        (POSTS, "documents", feeds.post_messages),
+        (TICKS, "events", feeds.tick_messages),
+        (CHATS, "conversations", feeds.chat_messages),
+    ):
+        sent = make(feeds.table(spark, sf_dir, name))
+        jobs.backfill(sent, feed, str(tmp_path))
+        want = sequence.with_row_key(
+            sequence.number_in_second(parse.accepted(parse.parse(sent, feed)))
+        )
+        got = tables.read_rows(spark, str(tmp_path), feed).select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+# -- roll-ups over landed rows ------------------------------------------------
+
+
+def test_roll_up_and_history(spark, tmp_path):
+    root = str(tmp_path)
+    ticks = [tick(0, 10, last="2"), tick(1, 20, last="4"), tick(2, 310, last="8"), tick(3, 86_400, last="16")]
+    jobs.backfill(batch(spark, ticks), TICKS, root)
+    jobs.backfill(batch(spark, [post(0, 10), post(1, 11, "BTC"), post(2, 700), post(3, 1000, "none")]), POSTS, root)
+    # a start inside a bucket still counts the whole bucket
+    jobs.roll_up_price(spark, root, BASE + 15, BASE + 2 * 86_400)
+    jobs.roll_up_social(spark, root, BASE, BASE + HOUR)
+    got = [tuple(r)[:5] for r in jobs.history(spark, root, BASE, BASE + 2 * 86_400).collect()]
+    assert got == [
+        (BASE, 2, 2, 1, 3.0),
+        (BASE + 300, 0, 0, 0, 8.0),
+        (BASE + 600, 1, 1, 1, 0.0),
+        (BASE + 86_400, 0, 0, 0, 16.0),
+    ]
+    # a later run puts newer values and leaves the other series alone
+    jobs.backfill(batch(spark, [tick(4, 30, last="6")]), TICKS, root)
+    jobs.roll_up_price(spark, root, BASE, BASE + 300)
+    got = [tuple(r)[:5] for r in jobs.history(spark, root, BASE, BASE + 600).collect()]
+    assert got == [(BASE, 2, 2, 1, 4.0), (BASE + 300, 0, 0, 0, 8.0)]
+
+
+def test_scan_prunes_days(spark, tmp_path):
+    root = str(tmp_path)
+    jobs.backfill(batch(spark, [tick(i, i * 43_200) for i in range(10)]), TICKS, root)
+    frame = tables.scan(spark, root, TICKS, BASE + 86_400, BASE + 3 * 86_400)
+    assert sorted(r.offset for r in frame.select("offset").collect()) == [2, 3, 4, 5]
+    plan = frame.select("last")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    # half-open at both ends
+    edge = tables.scan(spark, root, TICKS, BASE + 43_200, BASE + 86_400)
+    assert [r.offset for r in edge.collect()] == [1]
+
+
+def test_history_of_one_series(spark, tmp_path):
+    assert tables.read_calc(spark, str(tmp_path)).isEmpty()
+    jobs.backfill(batch(spark, [tick(0, 10, last="2")]), TICKS, str(tmp_path))
+    jobs.roll_up_price(spark, str(tmp_path), BASE, BASE + 300)
+    assert [tuple(r)[:5] for r in jobs.history(spark, str(tmp_path), 0, 2**40).collect()] == [(BASE, 0, 0, 0, 2.0)]
+
+
+# -- landing ------------------------------------------------------------------
+
+
+def test_numbers_go_on_over_batches_and_restarts(spark, tmp_path):
+    root, folder = tmp_path / "root", str(tmp_path / "in")
+    put_file(spark, folder, [tick(0, 5), tick(1, 5), tick(2, 6)], "a")
+    put_file(spark, folder, [tick(3, 5), tick(4, 7)], "b")
+    land(spark, folder, root)
+    # restarted on the same checkpoint, with a row an hour and a day late
+    put_file(spark, folder, [tick(5, 5), tick(6, HOUR), tick(7, 90_000)], "c")
+    put_file(spark, folder, [tick(8, 6), tick(9, 90_000)], "d")
+    land(spark, folder, root)
+    second = lambda s, n: (BASE + s) * 1000 + n
+    assert landed(spark, root) == {
+        0: second(5, 0), 1: second(5, 1), 2: second(6, 0), 3: second(5, 2), 4: second(7, 0),
+        5: second(5, 3), 6: second(HOUR, 0), 7: second(90_000, 0), 8: second(6, 1), 9: second(90_000, 1),
+    }
+    land(spark, folder, root)
+    assert len(landed(spark, root)) == 10
+
+
+def test_a_batch_written_twice_lands_once(spark, tmp_path):
+    root = str(tmp_path)
+    first = batch(spark, [tick(0, 5), ("junk", "ticks", 0, 1, None)])
+    second = batch(spark, [tick(2, 5), tick(3, 5)])
+    for number, frame in ((0, first), (1, second), (1, second)):
+        landing.write_batch(frame, number, TICKS, root)
+    assert landed(spark, root) == {
+        0: (BASE + 5) * 1000, 2: (BASE + 5) * 1000 + 1, 3: (BASE + 5) * 1000 + 2,
+    }
+    assert tables.read_rejects(spark, root).count() == 1
+
+
+def test_streamed_rows_equal_batch_rows(spark, sf_dir, tmp_path):
+    sent = feeds.chat_messages(feeds.table(spark, sf_dir, "conversations"))
+    folder = str(tmp_path / "in")
+    rows = [tuple(r) for r in sent.orderBy("offset").collect()]
+    for index in range(0, len(rows), 200):
+        put_file(spark, folder, rows[index : index + 200], f"{index:05d}")
+    land(spark, folder, tmp_path / "root", CHATS)
+    want = sequence.with_row_key(sequence.number_in_second(parse.accepted(parse.parse(sent, CHATS))))
+    got = tables.read_rows(spark, str(tmp_path / "root"), CHATS).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+# -- streaming roll-ups -------------------------------------------------------
+
+
+def publish(spark, folder, root, series):
+    rows = stream(spark, folder)
+    if series == tables.SOCIAL:
+        buckets = stream_rollup.social_stream(parse.accepted(parse.parse(rows, POSTS)))
+    else:
+        buckets = stream_rollup.price_stream(parse.accepted(parse.parse(rows, TICKS)))
+    stream_rollup.publish(buckets, str(root), series, landing.CATCH_UP).awaitTermination()
+
+
+def test_streamed_prices_go_on_after_a_restart(spark, tmp_path):
+    root, folder = tmp_path / "root", str(tmp_path / "in")
+    sent = [tick(0, 10, last="1"), tick(1, 20, last="3"), tick(2, 310, last="5"), tick(3, 320, "BTC_ETH", "99")]
+    put_file(spark, folder, sent[:2], "a")
+    put_file(spark, folder, sent[2:], "b")
+    publish(spark, folder, root, tables.PRICE)
+    late = [tick(4, 30, last="5"), tick(5, 330, last="7")]
+    put_file(spark, folder, late, "c")
+    publish(spark, folder, root, tables.PRICE)
+    got = tables.read_calc(spark, str(root)).select("key", "last")
+    want = rollup.price(parse.accepted(parse.parse(batch(spark, sent + late), TICKS)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [
+        (BASE, 3.0), (BASE + 300, 6.0),
+    ]
+
+
+def test_rows_behind_the_watermark_are_left_to_the_batch_job(spark, tmp_path):
+    root, folder = tmp_path / "root", str(tmp_path / "in")
+    put_file(spark, folder, [post(0, 10), post(1, 5 * HOUR)], "a")
+    put_file(spark, folder, [post(2, 5 * HOUR + 1)], "b")
+    put_file(spark, folder, [post(3, 20), post(4, 5 * HOUR + 2, "BTC")], "c")
+    publish(spark, folder, root, tables.SOCIAL)
+    got = sorted(tuple(r)[:4] for r in tables.read_calc(spark, str(root)).collect())
+    assert got == [(BASE, 1, 1, 1), (BASE + 5 * HOUR, 3, 3, 2)]
+    land(spark, folder, root, POSTS)
+    jobs.roll_up_social(spark, str(root), BASE, BASE + HOUR)
+    got = sorted(tuple(r)[:4] for r in tables.read_calc(spark, str(root)).collect())
+    assert got == [(BASE, 2, 2, 2), (BASE + 5 * HOUR, 3, 3, 2)]
+
+
+# -- sources ------------------------------------------------------------------
+
+
+def test_batch_source_reads_files(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    put_file(spark, folder, [tick(0, 5)], "a")
+    frame = sources.read_messages(spark, "parquet", path=folder)
+    assert frame.schema == MESSAGE_SCHEMA and frame.count() == 1
+
+
+def test_broker_options():
+    assert sources.broker_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t"}
+
+
+class Session:
+    """Stands in for a session with these settings."""
+
+    def __init__(self, **settings):
+        self.conf = {f"spark.{name.replace('_', '.')}": value for name, value in settings.items()}
+
+
+def test_shared_folder_is_read_from_the_session():
+    session = Session(checkpoint_dir="/shared/place/", master="yarn")
+    assert workdir.shared_folder(session) == "/shared/place"
+    assert workdir.new_folder(session, "x").startswith("/shared/place/pulsebar/x-")
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workdir.shared_folder(Session(master="yarn"))
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Europe/Zurich"])
+def test_session_zone_changes_nothing(spark, tmp_path, zone):
+    rows = [tick(0, 5), tick(1, 26 * HOUR)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        jobs.backfill(batch(spark, rows), TICKS, str(tmp_path))
+        assert landed(spark, tmp_path) == {0: (BASE + 5) * 1000, 1: (BASE + 26 * HOUR) * 1000}
+        frame = tables.scan(spark, str(tmp_path), TICKS, BASE, BASE + 86_400)
+        assert [(r.offset, str(r.day), str(r.ts)) for r in frame.collect()] == [
+            (0, "2024-01-01", "2024-01-01 00:00:05")
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
