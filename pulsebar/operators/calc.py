@@ -19,7 +19,8 @@ def combine(counts: DataFrame, prices: DataFrame) -> DataFrame:
     Both sides come hashed on ``key`` by their aggregates, so the join adds no
     shuffle.
     """
-    return counts.join(prices, "key", "full_outer").na.fill(0)
+    both = counts.join(prices, "key", "full_outer")
+    return both.na.fill(0, [name for name in both.columns if name != "key"])
 
 
 def append(*frames: DataFrame) -> DataFrame:

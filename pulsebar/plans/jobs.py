@@ -80,7 +80,7 @@ def history(
     spark: SparkSession, root: str, start: int, stop: int, zone: str = "UTC"
 ) -> DataFrame:
     """Calculated buckets of ``[start, stop)``, gaps as 0, with local time."""
-    return calc.history(tables.read_calc(spark, root), start, stop, zone)
+    return calc.history(tables.read_calc(spark, root, start, stop), start, stop, zone)
 
 
 def resume_second(spark: SparkSession, root: str, feed: Feed) -> int | None:

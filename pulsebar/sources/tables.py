@@ -12,6 +12,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pulsebar.functions import clock
 from pulsebar.layout import CALC_SCHEMA, IDENTITY, REJECT_SCHEMA, SECOND_SCHEMA, Feed
@@ -156,13 +157,27 @@ def write_calc(buckets: DataFrame, root: str, series: str) -> None:
     buckets.hint("rebalance").write.parquet(f"{calc_path(root, series)}/version={version}")
 
 
-def read_calc(spark: SparkSession, root: str) -> DataFrame:
-    """The calculated table: newest values of both series, side by side."""
+def read_calc(
+    spark: SparkSession, root: str, start: int | None = None, stop: int | None = None
+) -> DataFrame:
+    """The calculated table: newest values of both series, side by side.
+
+    ``[start, stop)`` limits the keys; it is applied to each series, since a
+    filter does not pass a full outer join.
+    """
     sides = []
     for series, names in ((SOCIAL, CALC_SCHEMA.names[1:4]), (PRICE, CALC_SCHEMA.names[4:])):
         path = calc_path(root, series)
-        if exists(spark, path):
-            sides.append(calc.latest(spark.read.parquet(path), values=tuple(names)))
+        if not exists(spark, path):
+            continue
+        fields = [field for field in CALC_SCHEMA if field.name in ("key", *names)]
+        schema = StructType([*fields, StructField("version", LongType())])
+        values = spark.read.schema(schema).parquet(path)
+        if start is not None:
+            values = values.where(F.col("key") >= start)
+        if stop is not None:
+            values = values.where(F.col("key") < stop)
+        sides.append(calc.latest(values, values=tuple(names)))
     if not sides:
         return spark.createDataFrame([], CALC_SCHEMA)
     if len(sides) == 2:

@@ -99,13 +99,29 @@ def test_price_leaves_out_what_is_no_number(spark):
     assert rows_of(rollup.price(ticks)) == [(0, 1.5), (600, None)]
 
 
-def test_price_from_cells_equals_price(spark):
+def test_price_from_cells_equals_price_and_self_join(spark):
     ticks = spark.createDataFrame(
-        [(1000, "USDT_BTC", 1.0), (1001, "BTC_ETH", 7.0), (299_000, "USDT_BTC", 2.0), (300_000, "USDT_BTC", 5.0)],
-        "row_key bigint, pair string, last double",
+        [(1000, "USDT_BTC", "1.0"), (1001, "BTC_ETH", "7.0"), (299_000, "USDT_BTC", "2.0"),
+         (300_000, "USDT_BTC", "5.0"), (600_000, "USDT_BTC", "n/a"), (900_000, "USDT_BTC", None),
+         (1_200_000, None, "3.0")],
+        "row_key bigint, pair string, last string",
     )
-    keyed = ticks.withColumn("epoch_s", clock.key_second(F.col("row_key")))
-    assert rows_of(rollup.price_from_cells(cells.melt(ticks, TICKS))) == rows_of(rollup.price(keyed))
+    keyed = ticks.where("last IS NOT NULL").select(
+        "pair", F.col("last").try_cast("double").alias("last"),
+        clock.key_second(F.col("row_key")).alias("epoch_s"),
+    )
+    melted = cells.melt(ticks, TICKS)
+    named = melted.where("value = 'USDT_BTC'").select("row")
+    joined = (
+        melted.join(named, ["row"])
+        .where("columnFamily = 'CurrencyRate' AND qualifier = 'last'")
+        .selectExpr("cast(row / 300000 AS bigint) * 300 AS key", "try_cast(value AS double) AS last")
+        .groupBy("key")
+        .agg(F.avg("last").alias("last"))
+    )
+    got = rows_of(rollup.price_from_cells(melted))
+    assert got == rows_of(rollup.price(keyed)) == rows_of(joined)
+    assert got == [(0, 1.5), (300, 5.0), (600, None)]
 
 
 def test_one_scan_one_shuffle(spark, sf_dir):
