@@ -5,6 +5,7 @@
     rollup SERIES      put bucket values over landed rows
     live SERIES        put bucket values from the messages as they arrive
     history            show calculated buckets
+    fold SERIES        fold the many small writes of a live roll-up into one
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ def _arguments() -> argparse.ArgumentParser:
     source = argparse.ArgumentParser(add_help=False)
     source.add_argument("--servers", help="message brokers")
     source.add_argument("--topic", help="topic to read")
+    source.add_argument("--tasks", type=int, help="read the topic in at least that many tasks")
+    source.add_argument("--per-batch", type=int, help="most messages of a topic in one batch")
     source.add_argument("--path", help="folder of message files instead of a topic")
     source.add_argument("--format", default="parquet", help="format of the files")
     source.add_argument("--zone", default="UTC", help="where the feed's clock runs")
@@ -57,6 +60,8 @@ def _arguments() -> argparse.ArgumentParser:
     live = jobs_.add_parser("live", parents=[root, source])
     live.add_argument("series", choices=SERIES)
     live.add_argument("--once", action="store_true", help="stop when all there is has been read")
+    fold = jobs_.add_parser("fold", parents=[root])
+    fold.add_argument("series", choices=SERIES)
     history = jobs_.add_parser("history", parents=[root, span])
     history.add_argument("--zone", default="UTC", help="zone of the shown times")
     history.add_argument("--rows", type=int, default=20, help="rows to show")
@@ -68,7 +73,9 @@ def _source(args: argparse.Namespace) -> tuple[str, dict[str, str]]:
         return args.format, {"path": args.path}
     if not (args.servers and args.topic):
         raise SystemExit("give --servers and --topic, or --path")
-    return messages.KAFKA, messages.broker_options(args.servers, args.topic)
+    return messages.KAFKA, messages.broker_options(
+        args.servers, args.topic, args.tasks, args.per_batch
+    )
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -78,6 +85,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         jobs.roll_up_social(spark, args.root, args.start, args.stop, keep=args.keep)
     elif args.job == "rollup":
         jobs.roll_up_price(spark, args.root, args.start, args.stop)
+    elif args.job == "fold":
+        tables.fold_calc(spark, args.root, args.series)
     elif args.job == "history":
         jobs.history(spark, args.root, args.start, args.stop, args.zone).show(args.rows, truncate=False)
     elif args.job == "backfill":

@@ -6,7 +6,7 @@ whatever zone its session runs in.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,6 +82,6 @@ def between_seconds(ts: Column, start: int, stop: int) -> Column:
     return (ts >= civil_literal(start)) & (ts < civil_literal(stop))
 
 
-def day_literal(seconds: int) -> Column:
-    """Date literal (UTC) of an epoch second."""
-    return F.lit((_EPOCH + timedelta(seconds=seconds)).date())
+def utc_date(seconds: int) -> date:
+    """UTC date of an epoch second, on the driver."""
+    return (_EPOCH + timedelta(seconds=seconds)).date()

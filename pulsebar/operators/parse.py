@@ -63,3 +63,8 @@ def rejects(parsed: DataFrame, feed: Feed) -> DataFrame:
     return parsed.where("reason IS NOT NULL").select(
         F.lit(feed.name).alias("source"), *IDENTITY, "value", "reason"
     )
+
+
+def without_read_text(parsed: DataFrame) -> DataFrame:
+    """A parsed feed to be kept for a while: good rows need their text no more."""
+    return parsed.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))

@@ -26,7 +26,7 @@ def backfill(
     reads just the three columns it needs from it.
     """
     spark = messages.sparkSession
-    parsed = parse.parse(messages, feed, zone)
+    parsed = parse.without_read_text(parse.parse(messages, feed, zone))
     wanted = F.lit(True)
     if start is not None:
         wanted &= F.col("epoch_s") > start

@@ -38,9 +38,22 @@ def stream_messages(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     return _load(spark.readStream, fmt, options)
 
 
-def broker_options(servers: str, topic: str) -> dict[str, str]:
-    """Options of a broker source; partitions of the topic are read in parallel."""
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic}
+def broker_options(
+    servers: str, topic: str, tasks: int | None = None, per_batch: int | None = None
+) -> dict[str, str]:
+    """Options of a broker source.
+
+    ``tasks`` reads a topic in at least that many tasks: the long offset ranges
+    are cut up, so a topic of one partition, or with one that holds most of the
+    messages, is still read in parallel. ``per_batch`` bounds the messages of a
+    micro-batch when a stream has to catch up.
+    """
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
+    if tasks is not None:
+        options["minPartitions"] = str(tasks)
+    if per_batch is not None:
+        options["maxOffsetsPerTrigger"] = str(per_batch)
+    return options
 
 
 def send(messages: DataFrame, servers: str, topic: str) -> None:

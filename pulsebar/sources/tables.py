@@ -9,6 +9,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from pulsebar.functions import clock
 from pulsebar.layout import CALC_SCHEMA, IDENTITY, REJECT_SCHEMA, SECOND_SCHEMA, Feed
 from pulsebar.operators import calc
-from pulsebar.sources.workdir import exists
+from pulsebar.sources.workdir import exists, folders, remove
 
 #: ``batch`` of rows that did not come from a stream
 BACKFILL = -1
@@ -38,15 +40,33 @@ def read_rows(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
     return spark.read.schema(feed.schema).parquet(rows_path(root, feed)).drop("batch")
 
 
+def _read_days(
+    spark: SparkSession, path: str, schema: str, wanted: Callable[[date], bool]
+) -> DataFrame | None:
+    """The day folders that are wanted, or None where there are none.
+
+    Naming the folders keeps Spark from listing every batch of every year the
+    table has grown over; only the level of the days is listed.
+    """
+    days = [
+        name
+        for name in folders(spark, path)
+        if name.startswith("day=") and wanted(date.fromisoformat(name[4:]))
+    ]
+    if not days:
+        return None
+    paths = [f"{path}/{name}" for name in days]
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths)
+
+
 def scan(spark: SparkSession, root: str, feed: Feed, start: int, stop: int) -> DataFrame:
     """Rows with ``start <= epoch_s < stop``; only the days in range are read."""
-    day, second = F.col("day"), F.col("epoch_s")
-    return read_rows(spark, root, feed).where(
-        (day >= clock.day_literal(start))
-        & (day <= clock.day_literal(stop - 1))
-        & (second >= start)
-        & (second < stop)
-    )
+    first, last = clock.utc_date(start), clock.utc_date(stop - 1)
+    rows = _read_days(spark, rows_path(root, feed), feed.schema, lambda day: first <= day <= last)
+    if rows is None:
+        rows = spark.createDataFrame([], feed.schema)
+    second = F.col("epoch_s")
+    return rows.drop("batch").where((second >= start) & (second < stop))
 
 
 def replace_partitions(frame: DataFrame, path: str, *by: str) -> None:
@@ -70,7 +90,9 @@ def write_batch(rows: DataFrame, root: str, feed: Feed, batch: int) -> None:
     replace_partitions(frame, rows_path(root, feed), "day", "batch")
 
 
-def upsert_rows(rows: DataFrame, root: str, feed: Feed, first_day, last_day) -> None:
+def upsert_rows(
+    rows: DataFrame, root: str, feed: Feed, first_day: date, last_day: date
+) -> None:
     """Merge rows into a feed's table by topic, partition and offset.
 
     A message already landed is replaced where it lies, others are added and
@@ -78,16 +100,12 @@ def upsert_rows(rows: DataFrame, root: str, feed: Feed, first_day, last_day) ->
     has no update in place.
     """
     spark, path = rows.sparkSession, rows_path(root, feed)
-    if not exists(spark, path):
+    old = _read_days(spark, path, feed.schema, lambda day: first_day <= day <= last_day)
+    if old is None:
         write_batch(rows, root, feed, BACKFILL)
         return
     columns = [name for name in rows.columns if name not in IDENTITY]
-    old = (
-        spark.read.schema(feed.schema)
-        .parquet(path)
-        .where(F.col("day").between(F.lit(first_day), F.lit(last_day)))
-        .select(*IDENTITY, "batch", F.struct(*columns).alias("old"))
-    )
+    old = old.select(*IDENTITY, "batch", F.struct(*columns).alias("old"))
     new = rows.select(*IDENTITY, F.struct(*columns).alias("new"))
     merged = old.join(new, list(IDENTITY), "full_outer").select(
         *IDENTITY,
@@ -122,22 +140,14 @@ def write_seconds(counts: DataFrame, root: str, feed: Feed, batch: int) -> None:
 
 
 def read_seconds(
-    spark: SparkSession, root: str, feed: Feed, days: list, before: int
+    spark: SparkSession, root: str, feed: Feed, days: set[date], before: int
 ) -> DataFrame | None:
-    """Rows per second of some days that batches below ``before`` landed.
-
-    The folders of the days are named one by one, so a table that has grown
-    for years is not listed.
-    """
-    base = seconds_path(root, feed)
-    paths = [path for path in (f"{base}/day={day}" for day in days) if exists(spark, path)]
-    if not paths:
+    """Rows per second of some days that batches below ``before`` landed."""
+    counts = _read_days(spark, seconds_path(root, feed), SECOND_SCHEMA, days.__contains__)
+    if counts is None:
         return None
     return (
-        spark.read.schema(SECOND_SCHEMA)
-        .option("basePath", base)
-        .parquet(*paths)
-        .where(F.col("batch") < before)
+        counts.where(F.col("batch") < before)
         .groupBy("topic", "epoch_s")
         .agg(F.sum("n").alias("n"))
     )
@@ -157,6 +167,34 @@ def write_calc(buckets: DataFrame, root: str, series: str) -> None:
     buckets.hint("rebalance").write.parquet(f"{calc_path(root, series)}/version={version}")
 
 
+_SERIES = {SOCIAL: tuple(CALC_SCHEMA.names[1:4]), PRICE: tuple(CALC_SCHEMA.names[4:])}
+
+
+def _read_series(spark: SparkSession, root: str, series: str) -> DataFrame:
+    fields = [field for field in CALC_SCHEMA if field.name in ("key", *_SERIES[series])]
+    schema = StructType([*fields, StructField("version", LongType())])
+    return spark.read.schema(schema).parquet(calc_path(root, series))
+
+
+def fold_calc(spark: SparkSession, root: str, series: str) -> None:
+    """Fold the writes of a series into its newest one and delete the others.
+
+    A live roll-up adds a small folder every few minutes. The folded values
+    keep the newest version read, so a write that comes meanwhile still counts
+    as newer, and a fold cut short leaves every value in place.
+    """
+    values = _read_series(spark, root, series)
+    newest = values.agg(F.max("version")).first()[0]
+    if newest is None:
+        return
+    path = calc_path(root, series)
+    folded = calc.latest(values, values=_SERIES[series])
+    replace_partitions(folded.withColumn("version", F.lit(newest)), path, "version")
+    for name in folders(spark, path):
+        if name.startswith("version=") and int(name[8:]) < newest:
+            remove(spark, f"{path}/{name}")
+
+
 def read_calc(
     spark: SparkSession, root: str, start: int | None = None, stop: int | None = None
 ) -> DataFrame:
@@ -166,18 +204,15 @@ def read_calc(
     filter does not pass a full outer join.
     """
     sides = []
-    for series, names in ((SOCIAL, CALC_SCHEMA.names[1:4]), (PRICE, CALC_SCHEMA.names[4:])):
-        path = calc_path(root, series)
-        if not exists(spark, path):
+    for series, names in _SERIES.items():
+        if not exists(spark, calc_path(root, series)):
             continue
-        fields = [field for field in CALC_SCHEMA if field.name in ("key", *names)]
-        schema = StructType([*fields, StructField("version", LongType())])
-        values = spark.read.schema(schema).parquet(path)
+        values = _read_series(spark, root, series)
         if start is not None:
             values = values.where(F.col("key") >= start)
         if stop is not None:
             values = values.where(F.col("key") < stop)
-        sides.append(calc.latest(values, values=tuple(names)))
+        sides.append(calc.latest(values, values=names))
     if not sides:
         return spark.createDataFrame([], CALC_SCHEMA)
     if len(sides) == 2:

@@ -26,9 +26,27 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/pulsebar/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return location.getFileSystem(conf), location
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in the file system it names."""
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    system, location = _file_system(spark, path)
     return system.exists(location)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if there is no ``path``."""
+    system, location = _file_system(spark, path)
+    if not system.exists(location):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(location) if entry.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder a job of ours wrote."""
+    system, location = _file_system(spark, path)
+    system.delete(location, True)

@@ -49,10 +49,8 @@ def write_batch(batch: DataFrame, number: int, feed: Feed, root: str, zone: str
     so numbering needs no state in the stream and never drops a late row.
     """
     spark = batch.sparkSession
-    # parsed once and used four times; only refused rows still need their text
-    parsed = parse.parse(batch, feed, zone).withColumn(
-        "value", F.when(F.col("reason").isNotNull(), F.col("value"))
-    )
+    # parsed once and used four times
+    parsed = parse.without_read_text(parse.parse(batch, feed, zone))
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables.write_rejects(parse.rejects(parsed, feed), root, number)
@@ -60,7 +58,8 @@ def write_batch(batch: DataFrame, number: int, feed: Feed, root: str, zone: str
         good = parse.accepted(parsed)
         counts = good.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
         tables.write_seconds(counts, root, feed, number)
-        days = [row.day for row in good.select("day").distinct().collect()]
+        # as many rows as the batch has calendar days
+        days = {row.day for row in good.select("day").distinct().collect()}
         prior = tables.read_seconds(spark, root, feed, days, number)
 
         keyed = sequence.with_row_key(sequence.number_in_second(good, prior=prior))

@@ -151,11 +151,27 @@ def test_scan_prunes_days(spark, tmp_path):
     jobs.backfill(batch(spark, [tick(i, i * 43_200) for i in range(10)]), TICKS, root)
     frame = tables.scan(spark, root, TICKS, BASE + 86_400, BASE + 3 * 86_400)
     assert sorted(r.offset for r in frame.select("offset").collect()) == [2, 3, 4, 5]
+    assert {path.split("day=")[1][:10] for path in frame.inputFiles()} == {"2024-01-02", "2024-01-03"}
     plan = frame.select("last")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    assert "GreaterThanOrEqual(epoch_s" in plan and "LessThan(epoch_s" in plan
     # half-open at both ends
     edge = tables.scan(spark, root, TICKS, BASE + 43_200, BASE + 86_400)
     assert [r.offset for r in edge.collect()] == [1]
+    assert tables.scan(spark, root, TICKS, 0, 86_400).isEmpty()
+
+
+def test_fold_keeps_the_newest_values(spark, tmp_path):
+    root = str(tmp_path)
+    for rows in ([(0, 1.0), (300, 2.0)], [(300, 3.0)], [(600, None), (900, 4.0)]):
+        tables.write_calc(spark.createDataFrame(rows, "key bigint, last double"), root, tables.PRICE)
+    before = sorted(map(str, tables.read_calc(spark, root).collect()))
+    tables.fold_calc(spark, root, tables.PRICE)
+    assert len(workdir.folders(spark, tables.calc_path(root, tables.PRICE))) == 1
+    assert sorted(map(str, tables.read_calc(spark, root).collect())) == before
+    tables.write_calc(spark.createDataFrame([(0, 9.0)], "key bigint, last double"), root, tables.PRICE)
+    tables.fold_calc(spark, root, tables.PRICE)
+    got = {r.key: r.last for r in tables.read_calc(spark, root).collect()}
+    assert got == {0: 9.0, 300: 3.0, 600: None, 900: 4.0}
 
 
 def test_history_of_one_series(spark, tmp_path):
@@ -264,6 +280,12 @@ def test_batch_source_reads_files(spark, tmp_path):
 
 def test_broker_options():
     assert sources.broker_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t"}
+    assert sources.broker_options("h:1", "t", tasks=64, per_batch=1000) == {
+        "kafka.bootstrap.servers": "h:1",
+        "subscribe": "t",
+        "minPartitions": "64",
+        "maxOffsetsPerTrigger": "1000",
+    }
 
 
 class Session:
