@@ -20,13 +20,12 @@ _CIVIL_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def civil_seconds(ts: Column) -> Column:
-    """Seconds from 1970-01-01 00:00 to a wall-clock time, read as UTC."""
-    return (
-        F.unix_date(ts.cast("date")).cast("bigint") * DAY_SECONDS
-        + F.hour(ts) * 3600
-        + F.minute(ts) * 60
-        + F.second(ts)
-    )
+    """Seconds from 1970-01-01 00:00 to a wall-clock time, read as UTC.
+
+    On TIMESTAMP_NTZ this is one division whatever the session zone. Fractions
+    are cut off; feed times have none.
+    """
+    return F.unix_timestamp(ts)
 
 
 def epoch_seconds(ts: Column, zone: str = "UTC") -> Column:

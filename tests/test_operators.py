@@ -23,7 +23,7 @@ def rows_of(frame):
 
 
 def test_civil_seconds_in_every_session_zone(spark):
-    times = ["2024-03-31 02:30:00", "2024-11-03 01:30:00", "1969-12-31 23:59:59", "2016-12-20 00:00:00.9"]
+    times = ["2024-03-31 02:30:00", "2024-11-03 01:30:00", "1969-12-31 23:59:59", "1900-01-01 00:00:01", "2016-12-20 00:00:00.9"]
     want = [
         int((datetime.fromisoformat(t).replace(microsecond=0) - datetime(1970, 1, 1)).total_seconds())
         for t in times
