@@ -93,7 +93,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "O", F.col("o_orderkey")).alias("bitcoin"),
         F.col("o_totalprice").alias("last"),
     )
-    return calc.latest(updates)
+    return calc.latest(updates).na.fill(0, list(CALC_VALUES))
 
 
 # -- raw rows -----------------------------------------------------------------

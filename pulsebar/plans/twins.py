@@ -87,8 +87,8 @@ TWINS: dict[str, str] = {
         UNION ALL SELECT key, 0, 0, 0, round(last, 6) FROM ({PRICE})""",
     "upsert_latest": """
         SELECT o_custkey AS key, max(o_orderkey) AS messages,
-            max(o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS btc,
-            max(o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS bitcoin,
+            coalesce(max(o_orderkey) FILTER (WHERE o_orderstatus = 'F'), 0) AS btc,
+            coalesce(max(o_orderkey) FILTER (WHERE o_orderstatus = 'O'), 0) AS bitcoin,
             arg_max(o_totalprice, o_orderkey) AS last
         FROM orders GROUP BY 1""",
     "row_key": f"SELECT event_id, {KEYED} AS row_key FROM (SELECT event_id, {SECOND} AS s FROM events)",

@@ -106,7 +106,8 @@ def test_backfill_of_nothing(spark, tmp_path):
     assert not workdir.exists(spark, str(tmp_path / "ticks"))
 
 
-def test_backfill_of_all_feeds_equals_parse(spark, sf_dir, tmp_path):
+def test_backfill_of_all_feeds_equals_parse(spark, tmp_path):
+    sf_dir = "/root/testdata/sf0.001"
     for feed, name, make in (
         (POSTS, "documents", feeds.post_messages),
         (TICKS, "events", feeds.tick_messages),

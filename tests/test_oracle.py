@@ -27,3 +27,14 @@ def test_matches_twin(spark, sf_dir, con, name):
 
 def test_entry(spark):
     assert not entry.entry(spark).isEmpty()
+
+
+@pytest.mark.parametrize("name", [name for name in QUERIES if not name.startswith("stream_")])
+def test_session_zone_changes_nothing(spark, name):
+    small = "/root/testdata/sf0.001"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        compare(QUERIES[name](spark, small), connect(small), TWINS[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
