@@ -30,6 +30,11 @@ def _rounded(frame: DataFrame) -> DataFrame:
     return frame.withColumn("last", F.round("last", 6))
 
 
+def _readable(frame: DataFrame, column: str) -> DataFrame:
+    """Wall-clock times as text, which every engine writes the same way."""
+    return frame.withColumn(column, clock.civil_text(F.col(column)))
+
+
 # -- roll-ups -----------------------------------------------------------------
 
 
@@ -75,7 +80,8 @@ def calc_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = feeds.table(spark, sf_dir, "events").where(clock.between_seconds(F.col("ts"), *HISTORY))
-    return _rounded(calc.history(calc.combine(*_calc(events)), *HISTORY))
+    shown = calc.history(calc.combine(*_calc(events)), *HISTORY)
+    return _readable(_rounded(shown), "date_time")
 
 
 def history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,19 +193,21 @@ def encode_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.chat_messages(feeds.table(spark, sf_dir, "conversations")).select("offset", "value")
 
 
+def _parsed(messages: DataFrame, feed: Feed) -> DataFrame:
+    rows = parse.accepted(parse.parse(messages, feed))
+    return _readable(rows.drop("topic", "partition", "day"), feed.time)
+
+
 def parse_post(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feeds.post_messages(feeds.table(spark, sf_dir, "documents"))
-    return parse.accepted(parse.parse(messages, POSTS)).drop("topic", "partition", "day")
+    return _parsed(feeds.post_messages(feeds.table(spark, sf_dir, "documents")), POSTS)
 
 
 def parse_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
-    return parse.accepted(parse.parse(messages, TICKS)).drop("topic", "partition", "day")
+    return _parsed(feeds.tick_messages(feeds.table(spark, sf_dir, "events")), TICKS)
 
 
 def parse_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = feeds.chat_messages(feeds.table(spark, sf_dir, "conversations"))
-    return parse.accepted(parse.parse(messages, CHATS)).drop("topic", "partition", "day")
+    return _parsed(feeds.chat_messages(feeds.table(spark, sf_dir, "conversations")), CHATS)
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +233,8 @@ def _landed(messages: DataFrame, feed: Feed) -> DataFrame:
     spark = messages.sparkSession
     root = new_folder(spark, f"stream-{feed.name}")
     landing.land(messages, feed, root, trigger=landing.CATCH_UP).awaitTermination()
-    return tables.read_rows(spark, root, feed).drop("topic", "partition", "day")
+    rows = tables.read_rows(spark, root, feed).drop("topic", "partition", "day")
+    return _readable(rows, feed.time)
 
 
 def stream_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ BASE = 1_704_067_200
 #: seconds from one document to the next
 STEP = 37
 #: words and pair that occur in the tables
-EVENT_WORDS = {"btc": "purchase", "bitcoin": "7"}
+EVENT_WORDS = {"btc": "click", "bitcoin": "7"}
 DOCUMENT_WORDS = {"btc": "The", "bitcoin": "Tion"}
 EVENT_PAIR = "purchase"
 TEXT_WORDS = ("license", "token")

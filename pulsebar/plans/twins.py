@@ -60,6 +60,7 @@ MELTED = " UNION ALL ".join(
 PRINTABLE = r"regexp_replace({}, '[^\x20-\x7E\t\n\r\x0B\x0C]', '', 'g')"
 CREATED = f"make_timestamp(({BASE} + doc_id * {STEP}) * 1000000)"
 CREATED_TEXT = f"strftime({CREATED}, '%Y-%m-%d %H:%M:%S')"
+CHAT_TIME_TEXT = f"strftime(make_timestamp(({BASE} + conv_id) * 1000000), '%Y-%m-%d %H:%M:%S')"
 CHAT_OFFSET = "conv_id * 1000 + turn"
 CHAT_TEXT = r"""text || CASE role WHEN 'user' THEN ' it''s'
     WHEN 'assistant' THEN ' "it''s", ''so''' || chr(9) ELSE ' c:\new "x"' END"""
@@ -81,7 +82,7 @@ TWINS: dict[str, str] = {
     "social_5m": SOCIAL,
     "social_documents_5m": DOCUMENT_SOCIAL,
     "calc_full": COMBINED,
-    "history": f"""SELECT *, make_timestamp(key * 1000000) AS date_time FROM ({COMBINED})
+    "history": f"""SELECT *, strftime(make_timestamp(key * 1000000), '%Y-%m-%d %H:%M:%S') AS date_time FROM ({COMBINED})
         WHERE key >= {HISTORY[0]} AND key < {HISTORY[1]} ORDER BY key""",
     "history_union": f"""SELECT key, messages, btc, bitcoin, CAST(0 AS DOUBLE) AS last FROM ({SOCIAL})
         UNION ALL SELECT key, 0, 0, 0, round(last, 6) FROM ({PRICE})""",
@@ -121,20 +122,20 @@ TWINS: dict[str, str] = {
         || ''', ''' || strftime(ts, '%Y-%m-%d %H:%M:%S') || ''')' AS value FROM ({TICK_TEXT})""",
     "encode_chat": f"""SELECT "offset", '(''trollboxMessage'', ' || conv_id || ', ''' || role || ''', '
         || {CHAT_QUOTED} || ', ' || turn || ', '''
-        || strftime(make_timestamp(({BASE} + conv_id) * 1000000), '%Y-%m-%d %H:%M:%S') || ''')' AS value
+        || {CHAT_TIME_TEXT} || ''')' AS value
         FROM (SELECT {CHAT_OFFSET} AS "offset", conv_id, turn, role, {CHAT_TEXT} AS m FROM conversations)""",
     "parse_post": f"""SELECT doc_id AS "offset", n_chars AS followers, doc_id AS friends,
         doc_id AS statuses, {PRINTABLE.format("text")} AS text, source AS screen_name,
-        lang AS language, source || ', ' || lang AS location, {CREATED} AS created,
+        lang AS language, source || ', ' || lang AS location, {CREATED_TEXT} AS created,
         {BASE} + doc_id * {STEP} AS epoch_s FROM documents""",
     "parse_tick": f"""SELECT event_id AS "offset", currencypair AS pair, CAST(last AS DOUBLE) AS last,
         CAST(lowestask AS DOUBLE) AS lowest_ask, CAST(highestbid AS DOUBLE) AS highest_bid,
         CAST(percentchange AS DOUBLE) AS percent_change, CAST(basevolume AS DOUBLE) AS base_volume,
         CAST(quotevolume AS DOUBLE) AS quote_volume, CAST(isfrozen AS INTEGER) AS is_frozen,
         CAST("24high" AS DOUBLE) AS high_24h, CAST("24low" AS DOUBLE) AS low_24h,
-        date_trunc('second', ts) AS ts, s AS epoch_s FROM ({TICK_TEXT})""",
+        strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, s AS epoch_s FROM ({TICK_TEXT})""",
     "parse_chat": f"""SELECT {CHAT_OFFSET} AS "offset", role AS "user", {CHAT_TEXT} AS message,
-        make_timestamp(({BASE} + conv_id) * 1000000) AS ts, {BASE} + conv_id AS epoch_s
+        {CHAT_TIME_TEXT} AS ts, {BASE} + conv_id AS epoch_s
         FROM conversations""",
     "rejects": f"""SELECT 'posts' AS source, 'posts' AS topic, 0 AS "partition", doc_id AS "offset",
             n_chars || ',' || doc_id || ',' || doc_id || ',' || text || ',' || source || ',' || lang
