@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from pulsebar.layout import TRACK_WORDS
 
-# everything but printable ASCII and its white space
-_NOT_PRINTABLE = r"[^\x20-\x7E\t\n\r\x0B\x0C]"
+# runs of anything but printable ASCII and its white space (tab to return)
+_NOT_PRINTABLE = r"[^\x09-\x0D\x20-\x7E]++"
 
 
 def mentions(text: Column, word: str) -> Column:

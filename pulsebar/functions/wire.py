@@ -13,8 +13,9 @@ from pulsebar.functions.clock import civil_text, parse_civil
 from pulsebar.functions.text import printable
 from pulsebar.layout import CHAT_ITEMS, POST_FIELDS, TICK_ITEMS
 
-# a comma no backslash stands before
-_FIELD_BREAK = r"(?<!\\),"
+# a comma no backslash stands before; the comma comes first, so that other
+# characters are passed over at a glance
+_FIELD_BREAK = r",(?<!\\,)"
 # One tuple item: quoted text of either kind, or a bare word such as a number.
 # The loops are unrolled and possessive: Java's matcher would otherwise recurse
 # once per character and overflow its stack on long text.
@@ -25,6 +26,10 @@ _ITEM = (
 )
 # characters Python's repr writes as a numeric escape
 _RARE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Z}&&[^ \n\r\t]]"
+# what is worth a look for such characters
+_NOT_PLAIN = r"[^ -~\n\r\t]"
+# stands for an escaped backslash while others are read; repr never leaves it as it is
+_MARK = "\ue000"
 # an even run of backslashes that is not itself escaped
 _EVEN = r"(?<!\\)((?:\\\\)*+)"
 
@@ -42,7 +47,7 @@ def quote(text: Column) -> Column:
     body = F.replace(body, F.lit("\t"), F.lit("\\t"))
     # only text with a character left to escape is taken apart; every step
     # names the one before it once, so the expression stays small
-    parts = F.split(body, "", F.when(text.rlike(_RARE), -1).otherwise(1))
+    parts = F.split(body, "", F.when(text.rlike(_NOT_PLAIN) & text.rlike(_RARE), -1).otherwise(1))
     body = F.array_join(F.transform(parts, _escape_char), "")
     body = F.replace(body, F.lit("'"), F.when(has_single & has_double, "\\'").otherwise("'"))
     mark = F.when(has_single & ~has_double, F.lit('"')).otherwise(F.lit("'"))
@@ -68,10 +73,36 @@ def _escape_char(char: Column) -> Column:
 def unquote(item: Column) -> Column:
     """Text of a tuple item; a bare word stays as it is.
 
-    Escapes are read by Spark's JSON reader, after the few spellings JSON does
-    not share are rewritten. Escapes neither knows are left as they stand.
+    Escapes nobody knows are left as they stand.
     """
     body = F.substring(item, F.lit(2), F.length(item) - 2)
+    numeric = body.contains("\\x") | body.contains("\\u") | body.contains(_MARK)
+    text = (
+        F.when(~body.contains("\\"), body)
+        .when(numeric, _read_all_escapes(body))
+        .otherwise(_read_plain_escapes(body))
+    )
+    return F.when(item.startswith("'") | item.startswith('"'), text).otherwise(item)
+
+
+def _read_plain_escapes(body: Column) -> Column:
+    """Quotes, backslashes and white space, by plain replacement."""
+    for escape, char in (
+        ("\\\\", _MARK),
+        ("\\'", "'"),
+        ('\\"', '"'),
+        ("\\n", "\n"),
+        ("\\r", "\r"),
+        ("\\t", "\t"),
+        (_MARK, "\\"),
+    ):
+        body = F.replace(body, F.lit(escape), F.lit(char))
+    return body
+
+
+def _read_all_escapes(body: Column) -> Column:
+    """Numeric escapes too: Spark's JSON reader reads the text once the few
+    spellings JSON does not share are rewritten."""
     doc = F.regexp_replace(body, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
     doc = F.regexp_replace(doc, _EVEN + r"\\'", "$1'")
     doc = F.regexp_replace(doc, _EVEN + r'"', r'$1\\"')
@@ -79,8 +110,7 @@ def unquote(item: Column) -> Column:
     decoded = F.from_json(
         F.concat(F.lit('{"v":"'), doc, F.lit('"}')), "v string", {"allowUnescapedControlChars": "true"}
     )["v"]
-    text = F.when(body.contains("\\"), F.coalesce(decoded, body)).otherwise(body)
-    return F.when(item.startswith("'") | item.startswith('"'), text).otherwise(item)
+    return F.coalesce(decoded, body)
 
 
 def tuple_text(*items: Column) -> Column:

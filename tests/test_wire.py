@@ -127,6 +127,7 @@ HOSTILE = [
     "no-break\xa0soft\xad zero\u200bwidth line\u2028sep",
     "naïve Zürich 日本語 😀",
     "### , ### \\,",
+    "private \ue000 use, it's \\ too",
     "(1, 2), [3]",
     "\\'",
     "'\\'\"\\\"",
@@ -172,6 +173,12 @@ def test_chat_round_trip(spark):
         assert row.message == want and row.user == want, want[:60]
 
 
+def test_mark_in_foreign_text_is_kept(spark):
+    value = "('trollboxMessage', 1, 'a\ue000b\\\\c\\n', 'plain\ue000', 0, '2017-01-08 23:30:00')"
+    (row,) = parsed(spark, CHATS, [value])
+    assert (row.user, row.message) == ("a\ue000b\\c\n", "plain\ue000")
+
+
 def test_unknown_escapes_stay(spark):
     value = r"('trollboxMessage', 1, 'a\qb\n\N{DASH}\U0001f600', 'c\/d\be\u00e9', 0, '2017-01-08 23:30:00')"
     (row,) = parsed(spark, CHATS, [value])
