@@ -15,8 +15,9 @@ from pulsebar.layout import BUCKET_SECONDS, KEYS_PER_SECOND
 
 DAY_SECONDS = 86_400
 _EPOCH = datetime(1970, 1, 1)
-# date-time text as the feeds write it; one-digit parts are accepted
-_CIVIL_TEXT = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
+# Date-time text as the feeds write it; one-digit parts are accepted. Years end
+# where a date, or the same date in another zone, would no longer fit four digits.
+_CIVIL_TEXT = r"^[1-8]\d{3}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 
 
 def civil_seconds(ts: Column) -> Column:

@@ -69,6 +69,8 @@ def test_sample_chat(spark):
         (POSTS, "1,2,3,a, comma too many,name,en,x,2017-01-08 07:05:09", "field_count"),
         (POSTS, "1,2,3,text,name,en,,2017-13-01 07:05:09", "time"),
         (POSTS, "1,2,3,text,name,en,,aa:bb:cc", "time"),
+        (POSTS, "1,2,3,text,name,en,,0000-01-08 07:05:09", "time"),
+        (POSTS, "1,2,3,text,name,en,,9999-12-31 23:59:59", "time"),
         (POSTS, "1,2,3,text,name,en,,2017-01-08 07:05", "time"),
         (POSTS, "1,2,3,text,name,en,,2017-01-08 07:05:09", None),
         (POSTS, "1,2,3,text,name,en,,2017-1-8 7:5:9", None),
