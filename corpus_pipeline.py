@@ -3,8 +3,8 @@
 Each stage works on all that its predecessor kept, is written as Parquet to the shared folder, and is read
 again as the next one's documents. All stages but the last return the columns of documents.
 
-Decisions are joined to the documents by doc_id, null-safe; documents that share a doc_id share its
-decision where they share their text, and of the rows that repeat both, the exact stage keeps one.
+Decisions are joined to the documents by doc_id and text hash, null-safe, so documents that share only one
+of the two are told apart. Of rows that repeat both, the exact stage keeps one.
 """
 
 from __future__ import annotations
@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pulsebar.llm import common, decontaminate, exact_dedup, near_dedup, pack, quality
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not among ``dropped``, a list smaller than the documents."""
-    ids = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("dropped_id")), "left_anti")
+def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The documents that have (left_semi), or don't have (left_anti), their key among ``keys``."""
+    ids = keys.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct()
+    marked = docs.withColumn("own_hash", F.xxhash64(common.text_of()))
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("own_hash") == F.col("of_hash"))
+    return marked.join(ids, same, how).select(docs.columns)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,20 +32,27 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the largest doc_id stays."""
-    groups = exact_dedup.exact_groups(docs)
-    return _without(docs, groups.where("NOT kept"))
+    groups = common.stored(exact_dedup.exact_groups(docs), "exact-groups")
+    left = _matching(docs, groups.where("NOT kept"), "left_anti")
+    again = groups.where("kept AND group_size > 1").groupBy("doc_id", "text_hash").count().where("count > 1")
+    again = common.stored(again, "repeated-rows")
+    if again.isEmpty():
+        return left
+    return _matching(left, again, "left_anti").unionByName(
+        _matching(left, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    )
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: of each group of linked documents the smallest doc_id stays."""
     groups = near_dedup.near_groups(docs)
-    return _without(docs, groups.where("NOT kept"))
+    return _matching(docs, groups.where("NOT kept"), "left_anti")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that hold a window of an item go."""
     found = decontaminate.contamination(docs, common.table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("n_hit > 0"))
+    return _matching(docs, found.where("n_hit > 0"), "left_anti")
 
 
 def pack_all(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

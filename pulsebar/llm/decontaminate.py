@@ -98,9 +98,9 @@ def _places_with_words(width: int, reach: int, bits: int) -> Column:
 
 
 def places(docs: DataFrame, windows: DataFrame, length: int = WINDOW, most_bits: int = MOST_BITS) -> DataFrame:
-    """row, doc_id, n_words, and the places where benchmark shingles may stand, with words around."""
+    """row, doc_id, text_hash, n_words, and the places where benchmark shingles may stand, with words around."""
     found = []
-    base = docs.select("doc_id", words(text_of()).alias("w"))
+    base = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), words(text_of()).alias("w"))
     widths = sorted(r[0] for r in windows.select("width").distinct().collect())  # at most SHINGLE
     for width in widths:
         own = windows.where(F.col("width") == width).select(
@@ -114,7 +114,7 @@ def places(docs: DataFrame, windows: DataFrame, length: int = WINDOW, most_bits:
             "array<struct<at:int,width:int,shingle:string,low:int,around:array<string>>>"
         )]
     return base.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash",
         F.size("w").cast("long").alias("n_words"), F.concat(*found).alias("places"),
     )
 
@@ -132,7 +132,7 @@ def _parts(windows: DataFrame, width: int) -> DataFrame:
 def contamination(
     docs: DataFrame, benchmark: DataFrame, length: int = WINDOW, width: int = SHINGLE, most_bits: int = MOST_BITS,
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted ids as strings) of each document."""
+    """doc_id, n_words, n_hit, items (sorted ids as strings) and text_hash of each document."""
     items = stored(windows_of(benchmark, length, width), "windows")
     looked = stored(places(docs, items, length, most_bits), "places")
     hits = looked.select("row", "n_words", F.explode("places").alias("p")).select("row", "n_words", "p.*")
@@ -177,7 +177,7 @@ def contamination(
         .groupBy("row").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
     summary = words_hit.join(found, "row", "left")
-    return looked.select("row", "doc_id", "n_words").join(summary, "row", "left").select(
+    return looked.select("row", "doc_id", "text_hash", "n_words").join(summary, "row", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), "text_hash",
     )

@@ -45,9 +45,10 @@ def crowded_digests(docs: DataFrame, least: int, most: int, bits: int) -> DataFr
 
 def _ranked_recipes(docs: DataFrame, crowded: DataFrame, least: int, most: int, bits: int) -> DataFrame:
     """Recipes with ranks for crowded digests."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id",
-        F.sha2(text_of(), 256).alias("text_sha256"),
+    # The row number comes first: beside a generator it would number the generated rows.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").select(
+        "row", "doc_id",
+        F.sha2(text_of(), 256).alias("text_sha256"), F.xxhash64(text_of()).alias("text_hash"),
         F.posexplode_outer(chunks(text_of(), least, most)).alias("place", "chunk"),
     ).withColumn("digest", digest(F.col("chunk"), bits))
     contents = rows.select("digest", "chunk").join(crowded, "digest", "left_semi").distinct()
@@ -59,27 +60,28 @@ def _ranked_recipes(docs: DataFrame, crowded: DataFrame, least: int, most: int,
         .groupBy("row")
         .agg(
             F.max("doc_id").alias("doc_id"), F.max("text_sha256").alias("text_sha256"),
+            F.max("text_hash").alias("text_hash"),
             F.array_sort(F.collect_list(F.when(
                 F.col("chunk").isNotNull(), F.struct("place", "digest", F.coalesce("rank", F.lit(0)).alias("rank"))
             ))).alias("parts"),
         )
-        .select("doc_id", "text_sha256", F.transform("parts", lambda p: F.struct(p.digest, p.rank)).alias("recipe"))
+        .select("doc_id", "text_sha256", "text_hash", F.transform("parts", lambda p: F.struct(p.digest, p.rank)).alias("recipe"))
     )
 
 
 def recipes(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = 64) -> DataFrame:
-    """doc_id, text_sha256 and the recipe, an ordered list of verified chunk identifiers."""
+    """doc_id, text_sha256, text_hash and the recipe, an ordered list of verified chunk identifiers."""
     crowded = stored(crowded_digests(docs, least, most, bits), "crowded-digests")
     if not crowded.isEmpty():
         return _ranked_recipes(docs, crowded, least, most, bits)
     return docs.select(
-        "doc_id", F.sha2(text_of(), 256).alias("text_sha256"),
+        "doc_id", F.sha2(text_of(), 256).alias("text_sha256"), F.xxhash64(text_of()).alias("text_hash"),
         F.transform(chunks(text_of(), least, most), lambda c: digest(c, bits)).alias("recipe"),
     )
 
 
 def exact_groups(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int = 64) -> DataFrame:
-    """Each document with its group: doc_id, keep_id, group_size, kept, text_sha256.
+    """Each document with its group: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
 
     Of equal texts the row with the largest doc_id stays.
     """
@@ -96,5 +98,5 @@ def exact_groups(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: in
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id", keep.alias("keep_id"), size.alias("group_size"),
-        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256",
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256", "text_hash",
     )

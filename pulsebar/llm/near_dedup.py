@@ -154,7 +154,6 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.select("node", "text").mapInArrow(whole, "node long, n long, registers binary, hashes binary").dropDuplicates(["node"])
 
 
-@F.pandas_udf("overlap double, possible boolean")
 def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers_b: pd.Series) -> pd.DataFrame:
     a = np.frombuffer(b"".join(registers_a), np.uint16).reshape(-1, REGISTERS)
     b = np.frombuffer(b"".join(registers_b), np.uint16).reshape(-1, REGISTERS)
@@ -162,7 +161,6 @@ def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers
     return pd.DataFrame({"overlap": overlap, "possible": possible})
 
 
-@F.pandas_udf("boolean")
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
     out = []
     for x, y in zip(a, b):
@@ -183,14 +181,16 @@ def estimate(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, overlap) of the pairs that sizes and registers don't rule out."""
     both = _sized(pairs, sets, "n", "registers")
     sizes_fit = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    judged = both.where(sizes_fit).withColumn("e", _estimated("n_a", "registers_a", "n_b", "registers_b"))
+    estimated = F.pandas_udf(_estimated, "overlap double, possible boolean")
+    judged = both.where(sizes_fit).withColumn("e", estimated("n_a", "registers_a", "n_b", "registers_b"))
     return judged.where("e.possible").select("a", "b", "e.overlap")
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, linked) on the full sets."""
     both = _sized(pairs.select("a", "b"), sets, "hashes")
-    return stored(both.select("a", "b", _linked("hashes_a", "hashes_b").alias("linked")), "verified")
+    linked = F.pandas_udf(_linked, "boolean")
+    return stored(both.select("a", "b", linked("hashes_a", "hashes_b").alias("linked")), "verified")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def linked_classes(docs: DataFrame, members: DataFrame, classes: DataFrame) -> D
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable) and kept."""
+    """doc_id, n_shingles, component_id (smallest doc_id reachable), kept and text_hash."""
     known = stored(sketches(docs), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("f")
     grouped = known.where("n_shingles > 0").groupBy("set_hash").agg(first, F.count("*").alias("copies"))
@@ -349,9 +349,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     several = stored(
         placed.join(smallest.where("size > 1"), "root").select("set_hash", "component_id"), "several"
     )
-    joined = known.select("doc_id", "n_shingles", "set_hash").join(several, "set_hash", "left")
+    joined = known.select("doc_id", "text_hash", "n_shingles", "set_hash").join(several, "set_hash", "left")
     component = F.coalesce("component_id", "doc_id")
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(component)
     return joined.select(
-        "doc_id", "n_shingles", alone.alias("component_id"), F.col("doc_id").eqNullSafe(alone).alias("kept")
+        "doc_id", "n_shingles", alone.alias("component_id"), F.col("doc_id").eqNullSafe(alone).alias("kept"),
+        "text_hash",
     )

@@ -19,7 +19,7 @@ RULES = [
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +92,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
