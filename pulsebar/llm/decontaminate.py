@@ -144,8 +144,7 @@ def contamination(
     )
     wanted = stored(parts.select("width", "shingle").distinct(), "shingles")
     rarity = stored(
-        hits.select("width", "shingle").join(wanted, ["width", "shingle"], "left_semi")
-        .groupBy("width", "shingle").agg(F.count("*").alias("uses")),
+        hits.groupBy("width", "shingle").agg(F.count("*").alias("uses")).join(wanted, ["width", "shingle"], "left_semi"),
         "shingle-rarity",
     )
     # The prefix: the rarest shingle. A window with one that stands nowhere is nowhere.
