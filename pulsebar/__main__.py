@@ -1,11 +1,12 @@
 """Command line of the jobs: ``spark-submit <this file> <job> ...``.
 
+    produce FEED       send source rows as messages
     land FEED          land a feed's messages as they arrive
     backfill FEED      land a feed's old messages
     rollup SERIES      put bucket values over landed rows
     live SERIES        put bucket values from the messages as they arrive
-    history            show calculated buckets
-    fold SERIES        fold the many small writes of a live roll-up into one
+    history            write or show calculated buckets
+    fold SERIES        fold the many small writes of a live roll-up, day by day
 """
 
 from __future__ import annotations
@@ -13,13 +14,14 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from urllib.parse import quote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 if __package__ in (None, ""):  # run as a file
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pulsebar.layout import FEEDS, POSTS, TICKS
+from pulsebar.layout import BUCKET_SECONDS, FEEDS, KEYWORDS, PAIR, POSTS, TICKS, TRACK_WORDS
 from pulsebar.operators import parse
 from pulsebar.plans import jobs
 from pulsebar.sources import messages, tables
@@ -47,6 +49,22 @@ def _arguments() -> argparse.ArgumentParser:
     span.add_argument("--start", type=int, required=True, help="first second")
     span.add_argument("--stop", type=int, required=True, help="second to stop before")
 
+    shape = argparse.ArgumentParser(add_help=False)
+    shape.add_argument("--keep", choices=("matched", "all"), default="matched")
+    shape.add_argument("--pair", default=PAIR, help="pair whose price is averaged")
+    shape.add_argument("--word", action="append", help="btc=TEXT or bitcoin=TEXT: what a post has to hold")
+    shape.add_argument("--width", type=int, default=BUCKET_SECONDS, help="seconds in a bucket")
+
+    produce = jobs_.add_parser("produce")
+    produce.add_argument("feed", choices=FEEDS)
+    produce.add_argument("--rows", required=True, help="folder of parquet files with the feed's source columns")
+    produce.add_argument("--servers", help="message brokers")
+    produce.add_argument("--topic", help="topic to send to")
+    produce.add_argument("--out", help="folder of message files instead of a topic")
+    produce.add_argument("--checkpoint", required=True, help="folder for the progress")
+    produce.add_argument("--track", action="append", help="word a post must hold one of")
+    produce.add_argument("--zone", default="UTC", help="where the feed's clock runs")
+    produce.add_argument("--once", action="store_true", help="stop when all there is has been sent")
     land = jobs_.add_parser("land", parents=[root, source])
     land.add_argument("feed", choices=FEEDS)
     land.add_argument("--once", action="store_true", help="stop when all there is has been read")
@@ -54,17 +72,19 @@ def _arguments() -> argparse.ArgumentParser:
     backfill.add_argument("feed", choices=FEEDS)
     backfill.add_argument("--start", type=int, help="land what is later than this second")
     backfill.add_argument("--stop", type=int, help="and not later than this one")
-    rollup = jobs_.add_parser("rollup", parents=[root, span])
+    backfill.add_argument("--resume", action="store_true", help="go on behind the last offsets seen")
+    rollup = jobs_.add_parser("rollup", parents=[root, span, shape])
     rollup.add_argument("series", choices=SERIES)
-    rollup.add_argument("--keep", choices=("matched", "all"), default="matched")
-    live = jobs_.add_parser("live", parents=[root, source])
+    live = jobs_.add_parser("live", parents=[root, source, shape])
     live.add_argument("series", choices=SERIES)
+    live.add_argument("--delay", default=stream_rollup.DELAY, help="how late a row may come and still be counted")
     live.add_argument("--once", action="store_true", help="stop when all there is has been read")
     fold = jobs_.add_parser("fold", parents=[root])
     fold.add_argument("series", choices=SERIES)
     history = jobs_.add_parser("history", parents=[root, span])
     history.add_argument("--zone", default="UTC", help="zone of the shown times")
-    history.add_argument("--rows", type=int, default=20, help="rows to show")
+    history.add_argument("--out", help="folder to write all buckets to, as CSV with names")
+    history.add_argument("--rows", type=int, default=20, help="rows to preview where nothing is written")
     return parser
 
 
@@ -78,36 +98,69 @@ def _source(args: argparse.Namespace) -> tuple[str, dict[str, str]]:
     )
 
 
+def _words(args: argparse.Namespace) -> dict[str, str]:
+    given = dict(word.split("=", 1) for word in args.word or ())
+    if not given.keys() <= KEYWORDS.keys():
+        raise SystemExit(f"--word takes {' or '.join(KEYWORDS)}")
+    return KEYWORDS | given
+
+
+def _produce(args: argparse.Namespace, spark: SparkSession) -> None:
+    if not (args.out or args.servers and args.topic):
+        raise SystemExit("give --servers and --topic, or --out")
+    schema = spark.read.parquet(args.rows).schema
+    rows = spark.readStream.schema(schema).parquet(args.rows)
+
+    def put(batch: DataFrame) -> None:
+        if args.out:
+            messages.keep(batch, args.out)
+        else:
+            messages.send(batch, args.servers, args.topic)
+
+    trigger = landing.CATCH_UP if args.once else landing.LIVE
+    words = tuple(args.track or TRACK_WORDS)
+    jobs.produce(rows, FEEDS[args.feed], put, args.checkpoint, args.zone, words, trigger).awaitTermination()
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _arguments().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"pulsebar-{args.job}").getOrCreate()
-    if args.job == "rollup" and args.series == tables.SOCIAL:
-        jobs.roll_up_social(spark, args.root, args.start, args.stop, keep=args.keep)
+    if args.job == "produce":
+        _produce(args, spark)
+    elif args.job == "rollup" and args.series == tables.SOCIAL:
+        jobs.roll_up_social(spark, args.root, args.start, args.stop, _words(args), args.keep, args.width)
     elif args.job == "rollup":
-        jobs.roll_up_price(spark, args.root, args.start, args.stop)
+        jobs.roll_up_price(spark, args.root, args.start, args.stop, args.pair, args.width)
     elif args.job == "fold":
         tables.fold_calc(spark, args.root, args.series)
     elif args.job == "history":
-        jobs.history(spark, args.root, args.start, args.stop, args.zone).show(args.rows, truncate=False)
+        shown = jobs.history(spark, args.root, args.start, args.stop, args.zone)
+        if args.out:
+            shown.write.mode("errorifexists").option("header", True).csv(args.out)
+        else:
+            shown.show(args.rows, truncate=False)
     elif args.job == "backfill":
         fmt, options = _source(args)
         old = messages.read_messages(spark, fmt, **options)
-        jobs.backfill(old, FEEDS[args.feed], args.root, args.start, args.stop, args.zone)
+        jobs.backfill(old, FEEDS[args.feed], args.root, args.start, args.stop, args.zone, args.resume)
     else:
         fmt, options = _source(args)
         new = messages.stream_messages(spark, fmt, **options)
         trigger = landing.CATCH_UP if args.once else landing.LIVE
         if args.job == "land":
-            query = landing.land(new, FEEDS[args.feed], args.root, args.zone, trigger)
+            source = quote(args.topic or args.path.rstrip("/").rpartition("/")[2], safe="")
+            query = landing.land(new, FEEDS[args.feed], args.root, args.zone, trigger, source)
         elif args.series == tables.SOCIAL:
             posts = parse.accepted(parse.parse(new, POSTS, args.zone))
             query = stream_rollup.publish(
-                stream_rollup.social_stream(posts), args.root, args.series, trigger
+                stream_rollup.social_stream(posts, _words(args), args.delay, args.width, args.keep),
+                args.root, args.series, trigger,
             )
         else:
             ticks = parse.accepted(parse.parse(new, TICKS, args.zone))
             query = stream_rollup.publish(
-                stream_rollup.price_stream(ticks), args.root, args.series, trigger
+                stream_rollup.price_stream(ticks, args.pair, args.delay, args.width),
+                args.root, args.series, trigger,
             )
         query.awaitTermination()
 

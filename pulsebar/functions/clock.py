@@ -15,6 +15,7 @@ from pulsebar.layout import BUCKET_SECONDS, KEYS_PER_SECOND
 
 DAY_SECONDS = 86_400
 _EPOCH = datetime(1970, 1, 1)
+_FIRST, _LAST = (int((end - _EPOCH).total_seconds()) for end in (datetime.min, datetime.max))
 # Date-time text as the feeds write it; one-digit parts are accepted. Years end
 # where a date, or the same date in another zone, would no longer fit four digits.
 _CIVIL_TEXT = r"^[1-8]\d{3}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
@@ -44,6 +45,11 @@ def civil_time(seconds: Column, zone: str = "UTC") -> Column:
     return ts
 
 
+def now(zone: str = "UTC") -> Column:
+    """Wall-clock time in ``zone`` when the query or micro-batch starts, to the second."""
+    return civil_time(F.unix_seconds(F.current_timestamp()), zone)
+
+
 def parse_civil(text: Column) -> Column:
     """Wall-clock time from ``yyyy-MM-dd HH:mm:ss`` text, null if it is none."""
     return F.when(text.rlike(_CIVIL_TEXT), text.try_cast("timestamp_ntz"))
@@ -83,5 +89,6 @@ def between_seconds(ts: Column, start: int, stop: int) -> Column:
 
 
 def utc_date(seconds: int) -> date:
-    """UTC date of an epoch second, on the driver."""
+    """UTC date of an epoch second, on the driver; the first or last date there is beyond them."""
+    seconds = min(max(seconds, _FIRST), _LAST)
     return (_EPOCH + timedelta(seconds=seconds)).date()

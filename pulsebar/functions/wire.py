@@ -30,6 +30,8 @@ _RARE = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Z}&&[^ \n\r\t]]"
 _NOT_PLAIN = r"[^ -~\n\r\t]"
 # stands for an escaped backslash while others are read; repr never leaves it as it is
 _MARK = "\ue000"
+# stands before the digits of an escape that is longer than JSON's
+_LONG_MARK = "\ue001"
 # an even run of backslashes that is not itself escaped
 _EVEN = r"(?<!\\)((?:\\\\)*+)"
 
@@ -76,7 +78,7 @@ def unquote(item: Column) -> Column:
     Escapes nobody knows are left as they stand.
     """
     body = F.substring(item, F.lit(2), F.length(item) - 2)
-    numeric = body.contains("\\x") | body.contains("\\u") | body.contains(_MARK)
+    numeric = body.contains("\\x") | body.contains("\\u") | body.contains("\\U") | body.contains(_MARK)
     text = (
         F.when(~body.contains("\\"), body)
         .when(numeric, _read_all_escapes(body))
@@ -103,7 +105,8 @@ def _read_plain_escapes(body: Column) -> Column:
 def _read_all_escapes(body: Column) -> Column:
     """Numeric escapes too: Spark's JSON reader reads the text once the few
     spellings JSON does not share are rewritten."""
-    doc = F.regexp_replace(body, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    doc = _read_long_escapes(body)
+    doc = F.regexp_replace(doc, _EVEN + r"\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
     doc = F.regexp_replace(doc, _EVEN + r"\\'", "$1'")
     doc = F.regexp_replace(doc, _EVEN + r'"', r'$1\\"')
     doc = F.regexp_replace(doc, _EVEN + r'\\(?![\\"nrt]|u[0-9a-fA-F]{4})', r"$1\\\\")
@@ -113,6 +116,18 @@ def _read_all_escapes(body: Column) -> Column:
     return F.coalesce(decoded, body)
 
 
+def _read_long_escapes(body: Column) -> Column:
+    """``\\U`` and eight digits, which JSON does not know: the code point itself."""
+    marked = F.regexp_replace(body, _EVEN + r"\\U(00(?:0[0-9a-fA-F]|10)[0-9a-fA-F]{4})", f"$1{_LONG_MARK}$2")
+
+    def char(part: Column, place: Column) -> Column:
+        point = F.decode(F.unhex(F.substring(part, 1, 8)), "UTF-32")
+        return F.when(place == 0, part).otherwise(F.concat(point, F.substring(part, F.lit(9), F.length(part))))
+
+    read = F.array_join(F.transform(F.split(marked, _LONG_MARK), char), "")
+    return F.when(body.contains("\\U"), read).otherwise(body)
+
+
 def tuple_text(*items: Column) -> Column:
     """Tuple text of items that are already in item form."""
     parts: list[Column] = [F.lit("(")]
@@ -147,7 +162,7 @@ def encode_post(
     location: Column,
     created: Column,
 ) -> Column:
-    """Wire text of a post; ``created`` is wall-clock time or finished text."""
+    """Wire text of a post; ``created`` is wall-clock time, or finished text that stays as it is."""
     fields = [
         followers.cast("string"),
         friends.cast("string"),
@@ -156,7 +171,7 @@ def encode_post(
         screen_name,
         language,
         _protect(location),
-        F.substring(created.cast("string"), 1, 19),
+        F.when(F.typeof(created) == "string", created.cast("string")).otherwise(civil_text(created)),
     ]
     # concat_ws leaves nulls out, which would move the fields behind them
     return printable(F.concat_ws(",", *[F.coalesce(field, F.lit("")) for field in fields]))
@@ -233,6 +248,7 @@ def post_columns(fields: Column) -> dict[str, Column]:
         "language": text(5),
         "location": _restore(text(6)),
         "created": parse_civil(text(7)),
+        "texts": F.array(text(0), text(1), text(2)),
     }
 
 
@@ -251,7 +267,9 @@ def _plain(items: Column, index: int) -> Column:
 
 def tick_columns(items: Column) -> dict[str, Column]:
     def number(index: int) -> Column:
-        return _plain(items, index).try_cast("double")
+        value = _plain(items, index).try_cast("double")
+        # what is not finite is no price: it would make every mean it is in one too
+        return F.when(F.abs(value) < float("inf"), value)
 
     return {
         "pair": _plain(items, 0),
@@ -265,6 +283,7 @@ def tick_columns(items: Column) -> dict[str, Column]:
         "high_24h": number(8),
         "low_24h": number(9),
         "ts": parse_civil(_plain(items, 10)),
+        "texts": F.array(*[_plain(items, index) for index in range(1, TICK_ITEMS - 1)]),
     }
 
 

@@ -103,29 +103,36 @@ CALC_VALUES = ("messages", "btc", "bitcoin", "last")
 #: refused messages
 REJECT_SCHEMA = (
     "topic STRING, partition INT, offset BIGINT, value STRING, reason STRING, "
-    "source STRING, batch BIGINT"
+    "source STRING, part STRING"
 )
-#: rows per second and batch
-SECOND_SCHEMA = "topic STRING, epoch_s BIGINT, n BIGINT, day DATE, batch BIGINT"
+#: rows per second and part
+SECOND_SCHEMA = "topic STRING, epoch_s BIGINT, n BIGINT, day DATE, part STRING"
+#: last offset seen of each topic partition
+OFFSET_SCHEMA = "topic STRING, partition INT, last BIGINT, part STRING"
 
 
 @dataclass(frozen=True)
 class Feed:
-    """A raw feed: its table name, cell family, cell columns, time column and
-    the types of its own columns."""
+    """A raw feed: its table name, cell family, cell columns, time column, the
+    types of its own columns, and which of them are read as numbers.
+
+    Where the text of a number is not what the number would be written as, ``texts`` keeps
+    the texts of all of them, in the order of ``numbers``.
+    """
 
     name: str
     family: str
     cells: dict[str, str]
     time: str
     columns: str
+    numbers: tuple[str, ...] = ()
 
     @property
     def schema(self) -> str:
         """Schema of the landed table."""
         return (
             "topic STRING, partition INT, offset BIGINT, "
-            f"{self.columns}, epoch_s BIGINT, row_key BIGINT, day DATE, batch BIGINT"
+            f"{self.columns}, texts ARRAY<STRING>, epoch_s BIGINT, row_key BIGINT, day DATE, part STRING"
         )
 
 
@@ -136,6 +143,7 @@ POSTS = Feed(
     "created",
     "followers BIGINT, friends BIGINT, statuses BIGINT, text STRING, screen_name STRING, "
     "language STRING, location STRING, created TIMESTAMP_NTZ",
+    ("followers", "friends", "statuses"),
 )
 TICKS = Feed(
     "ticks",
@@ -145,6 +153,10 @@ TICKS = Feed(
     "pair STRING, last DOUBLE, lowest_ask DOUBLE, highest_bid DOUBLE, percent_change DOUBLE, "
     "base_volume DOUBLE, quote_volume DOUBLE, is_frozen INT, high_24h DOUBLE, low_24h DOUBLE, "
     "ts TIMESTAMP_NTZ",
+    (
+        "last", "lowest_ask", "highest_bid", "percent_change", "base_volume", "quote_volume",
+        "is_frozen", "high_24h", "low_24h",
+    ),
 )
 CHATS = Feed(
     "chats", CHAT_FAMILY, CHAT_CELLS, "ts", "user STRING, message STRING, ts TIMESTAMP_NTZ"

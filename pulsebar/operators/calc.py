@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsebar.functions import clock
-from pulsebar.layout import CALC_SCHEMA, CALC_VALUES
+from pulsebar.layout import CALC_CELLS, CALC_SCHEMA, CALC_VALUES
 
 _TYPES = {field.name: field.dataType for field in CALC_SCHEMA}
 
@@ -57,6 +57,17 @@ def history(calc: DataFrame, start: int, stop: int, zone: str = "UTC") -> DataFr
     )
 
 
+def as_cells(table: DataFrame) -> DataFrame:
+    """The calculated table as cells: ``row, columnFamily, qualifier, value``; nulls give none."""
+    named = table.select(
+        F.col("key").cast("string").alias("row"),
+        *[F.col(column).cast("string").alias(name) for name, column in CALC_CELLS.items()],
+    )
+    long = named.unpivot("row", list(CALC_CELLS), "cell", "value").where("value IS NOT NULL")
+    family, qualifier = F.split_part("cell", F.lit(":"), F.lit(1)), F.split_part("cell", F.lit(":"), F.lit(2))
+    return long.select("row", family.alias("columnFamily"), qualifier.alias("qualifier"), "value")
+
+
 def conform(frame: DataFrame) -> DataFrame:
     """``frame`` with exactly the columns and types of the calculated table."""
     return frame.select(*[

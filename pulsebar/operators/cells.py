@@ -9,11 +9,15 @@ from pulsebar.layout import CELL_SCHEMA, Feed
 
 
 def _texts(feed: Feed, columns: list[str]) -> dict[str, Column]:
-    return {
-        qualifier: F.col(column).cast("string")
-        for qualifier, column in feed.cells.items()
-        if column in columns
-    }
+    """Cell texts: of a number the text it came as, where the row has kept it."""
+
+    def text(column: str) -> Column:
+        own = F.col(column).cast("string")
+        if column in feed.numbers and "texts" in columns:
+            return F.when(F.col("texts").isNull(), own).otherwise(F.get(F.col("texts"), feed.numbers.index(column)))
+        return own
+
+    return {qualifier: text(column) for qualifier, column in feed.cells.items() if column in columns}
 
 
 def melt(rows: DataFrame, feed: Feed, row: str = "row_key") -> DataFrame:
@@ -61,14 +65,16 @@ def explode_lines(stored: DataFrame, lines: str = "lines") -> DataFrame:
 
 
 def widen(cells: DataFrame, qualifiers: list[str]) -> DataFrame:
-    """One row per ``row`` with a column per named qualifier."""
+    """One row per ``row`` with a column per named qualifier, of which a row has one cell each.
+
+    The cells of a row are collected in one hash aggregate; a maximum per qualifier would
+    be sorted, since text does not fit its fixed buffers.
+    """
     return (
         cells.where(F.col("qualifier").isin(qualifiers))
         .groupBy("row")
-        .agg(*[
-            F.max(F.when(F.col("qualifier") == name, F.col("value"))).alias(name)
-            for name in qualifiers
-        ])
+        .agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("qualifier", "value")))).alias("cells"))
+        .select("row", *[F.col("cells")[name].alias(name) for name in qualifiers])
     )
 
 

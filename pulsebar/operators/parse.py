@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsebar.functions import clock, wire
@@ -17,7 +20,8 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
 
     ``reason`` is null for a good message, ``field_count`` where the number or
     shape of the fields is wrong and ``time`` where the time text is no time.
-    ``zone`` is where the feed's wall clock runs.
+    ``zone`` is where the feed's wall clock runs. A number that cannot be read is null, and
+    ``texts`` keeps what the message said (see ``Feed``).
     """
     value = F.col("value")
     pieces = F.col("pieces")
@@ -42,6 +46,7 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
         *[column.alias(name) for name, column in columns.items()],
         feed.time,
     )
+    typed = typed.withColumn("texts", _differing(feed) if feed.numbers else F.lit(None).cast("array<string>"))
     when = F.col(feed.time)
     return (
         typed.withColumn(
@@ -53,6 +58,15 @@ def parse(messages: DataFrame, feed: Feed, zone: str = "UTC") -> DataFrame:
     )
 
 
+def _differing(feed: Feed) -> Column:
+    """The texts of the numbers, or null where all are what the numbers would be written as."""
+    same = [
+        F.coalesce(F.col(name).cast("string"), F.lit("")) == F.coalesce(F.get("texts", place), F.lit(""))
+        for place, name in enumerate(feed.numbers)
+    ]
+    return F.when(~reduce(and_, same), F.col("texts"))
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     """The good rows of a parsed feed."""
     return parsed.where("reason IS NULL").drop("value", "reason")

@@ -59,13 +59,15 @@ def matched(counts: DataFrame, keywords: dict[str, str] = KEYWORDS) -> DataFrame
     return counts.where(reduce(lambda a, b: a & b, [F.col(name) > 0 for name in keywords]))
 
 
-def price(ticks: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS) -> DataFrame:
-    """Mean last price of a pair per bucket; a price that is no number is left out."""
-    return (
-        ticks.where(F.col("pair") == pair)
-        .groupBy(_bucket(width))
-        .agg(F.avg("last").alias("last"))
-    )
+def price(
+    ticks: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS, counted: str | None = None
+) -> DataFrame:
+    """Mean last price of a pair per bucket; a price that is no number is left out.
+
+    ``counted`` names a column for the number of ticks.
+    """
+    more = [F.count(F.lit(1)).alias(counted)] if counted else []
+    return ticks.where(F.col("pair") == pair).groupBy(_bucket(width)).agg(F.avg("last").alias("last"), *more)
 
 
 def price_from_cells(cells: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS) -> DataFrame:

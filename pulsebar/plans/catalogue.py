@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pulsebar.functions import clock, text
 from pulsebar.layout import CALC_VALUES, CHATS, POSTS, TICKS, Feed
 from pulsebar.operators import calc, cells, parse, rollup, sequence
-from pulsebar.plans import feeds
+from pulsebar.plans import feeds, jobs
 from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, TEXT_WORDS
 from pulsebar.sources import tables
+from pulsebar.sources.messages import keep, read_messages, stream_messages
 from pulsebar.sources.workdir import new_folder
 from pulsebar.streaming import landing
 from pulsebar.streaming import rollup as stream_rollup
@@ -23,6 +24,8 @@ DAY = clock.DAY_SECONDS
 # ranges the range queries read: whole days, and a replay that starts mid-day
 HISTORY = (BASE + 5 * DAY, BASE + 20 * DAY)
 SCAN = (BASE + 3 * DAY + 3600, BASE + 10 * DAY)
+#: a zone with summer time
+ZONE = "Europe/Zurich"
 REPLAY = (BASE + 4 * DAY + 1800, BASE + 9 * DAY + 5400)
 
 
@@ -78,12 +81,39 @@ def calc_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(calc.combine(*_calc(feeds.table(spark, sf_dir, "events"))))
 
 
+def _landed_events(spark: SparkSession, sf_dir: str) -> str:
+    """A root where the events are landed by backfill, as ticks and as posts."""
+    root = new_folder(spark, "events")
+    events = feeds.table(spark, sf_dir, "events")
+    jobs.backfill(feeds.tick_messages(events), TICKS, root)
+    jobs.backfill(feeds.event_post_messages(events), POSTS, root)
+    return root
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    root = _landed_events(spark, sf_dir)
+    jobs.roll_up_social(spark, root, *HISTORY, keywords=EVENT_WORDS)
+    jobs.roll_up_price(spark, root, *HISTORY, pair=EVENT_PAIR)
+    return root
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feeds.table(spark, sf_dir, "events").where(clock.between_seconds(F.col("ts"), *HISTORY))
-    shown = calc.history(calc.combine(*_calc(events)), *HISTORY)
+    """Land, roll up, read back."""
+    return _readable(_rounded(jobs.history(spark, _rolled_up(spark, sf_dir), *HISTORY)), "date_time")
+
+
+def history_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the wall clock of a zone that has summer time."""
+    shown = jobs.history(spark, _rolled_up(spark, sf_dir), *HISTORY, zone=ZONE)
     return _readable(_rounded(shown), "date_time")
 
 
+def calc_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of the calculated table as cells."""
+    stored = tables.read_calc(spark, _rolled_up(spark, sf_dir), *HISTORY)
+    return calc.as_cells(stored).where("qualifier <> 'last'")
+
+
 def history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _calc(feeds.table(spark, sf_dir, "events"))
     return _rounded(calc.append(*frames).na.fill(0, list(CALC_VALUES)))
@@ -118,6 +148,12 @@ def chat_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.with_row_key(sequence.number_in_second(chats)).select("offset", "row_key")
 
 
+def _parsed_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks that went over the wire: parsed, keyed, with the texts their cells need."""
+    messages = feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
+    return sequence.with_row_key(sequence.number_in_second(parse.accepted(parse.parse(messages, TICKS))))
+
+
 def _tick_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.with_row_key(
         sequence.number_in_second(feeds.tick_rows(feeds.table(spark, sf_dir, "events")))
@@ -129,7 +165,7 @@ def _tick_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cells_melt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _tick_cells(spark, sf_dir)
+    return cells.melt(_parsed_ticks(spark, sf_dir), TICKS)
 
 
 def cells_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,18 +200,58 @@ def family_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feeds.table(spark, sf_dir, "events").where(clock.between_seconds(F.col("ts"), *SCAN))
-    return feeds.event_ticks(events).select("offset", "pair", "last", "epoch_s")
+    root = new_folder(spark, "range-scan")
+    jobs.backfill(feeds.tick_messages(feeds.table(spark, sf_dir, "events")), TICKS, root)
+    return tables.scan(spark, root, TICKS, *SCAN).select("offset", "pair", "last", "epoch_s")
+
+
+def _replayed(messages: DataFrame, feed: Feed, start: int, stop: int) -> DataFrame:
+    """Two backfills over overlapping halves of a range, read back."""
+    spark, third = messages.sparkSession, (stop - start) // 3
+    root = new_folder(spark, f"replay-{feed.name}")
+    jobs.backfill(messages, feed, root, start, start + 2 * third)
+    jobs.backfill(messages, feed, root, start + third, stop)
+    return tables.read_rows(spark, root, feed)
 
 
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start, stop = REPLAY
     messages = feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
-    ticks = parse.accepted(parse.parse(messages, TICKS))
-    ticks = ticks.where((F.col("epoch_s") > start) & (F.col("epoch_s") <= stop))
-    return sequence.with_row_key(sequence.number_in_second(ticks)).select(
-        "offset", "pair", "last", "epoch_s", "row_key"
-    )
+    return _replayed(messages, TICKS, *REPLAY).select("offset", "pair", "last", "epoch_s", "row_key")
+
+
+def backfill_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = feeds.table(spark, sf_dir, "documents")
+    last = BASE + documents.agg(F.max("doc_id")).first()[0] * feeds.STEP
+    rows = _replayed(feeds.post_messages(documents), POSTS, BASE - 1, last)
+    return _readable(rows.drop("topic", "partition", "day", "texts"), POSTS.time)
+
+
+def backfill_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = feeds.table(spark, sf_dir, "conversations")
+    last = BASE + conversations.agg(F.max("conv_id")).first()[0]
+    rows = _replayed(feeds.chat_messages(conversations), CHATS, BASE - 1, last)
+    return _readable(rows.drop("topic", "partition", "day", "texts"), CHATS.time)
+
+
+def tick_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of a feed whose clock runs in a zone with summer time."""
+    messages = feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
+    rows = parse.accepted(parse.parse(messages, TICKS, ZONE))
+    return rows.select("offset", "epoch_s", F.col("day").cast("string").alias("day"))
+
+
+def produce_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as source rows: filtered, encoded, kept as message files, landed."""
+    root = new_folder(spark, "produce")
+    rows = feeds.post_rows(feeds.table_stream(spark, sf_dir, "documents"))
+    jobs.produce(
+        rows, POSTS, lambda batch: keep(batch, f"{root}/posts-topic"), f"{root}/progress",
+        words=TEXT_WORDS, trigger=landing.CATCH_UP,
+    ).awaitTermination()
+    sent = read_messages(spark, "parquet", path=f"{root}/posts-topic")
+    jobs.backfill(sent, POSTS, root)
+    rows = tables.read_rows(spark, root, POSTS)
+    return _readable(rows.drop("topic", "partition", "offset", "row_key", "day", "texts"), POSTS.time)
 
 
 # -- wire format --------------------------------------------------------------
@@ -195,7 +271,7 @@ def encode_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _parsed(messages: DataFrame, feed: Feed) -> DataFrame:
     rows = parse.accepted(parse.parse(messages, feed))
-    return _readable(rows.drop("topic", "partition", "day"), feed.time)
+    return _readable(rows.drop("topic", "partition", "day", "texts"), feed.time)
 
 
 def parse_post(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +309,7 @@ def _landed(messages: DataFrame, feed: Feed) -> DataFrame:
     spark = messages.sparkSession
     root = new_folder(spark, f"stream-{feed.name}")
     landing.land(messages, feed, root, trigger=landing.CATCH_UP).awaitTermination()
-    rows = tables.read_rows(spark, root, feed).drop("topic", "partition", "day")
+    rows = tables.read_rows(spark, root, feed).drop("topic", "partition", "day", "texts")
     return _readable(rows, feed.time)
 
 
@@ -250,7 +326,19 @@ def stream_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream_chats(spark, sf_dir).select("offset", "row_key")
+    """Chats dealt over files and partitions, so that each second comes back in later batches,
+    with a restart in between."""
+    root = new_folder(spark, "stream-keys")
+    dealt = feeds.table(spark, sf_dir, "conversations").withColumn("turn_file", F.col("turn") % 3)
+    sent = feeds.chat_messages(dealt, F.col("turn") % 2, "turn_file").where("turn_file < 2").drop("turn_file")
+    rest = feeds.chat_messages(dealt, F.col("turn") % 2, "turn_file").where("turn_file = 2").drop("turn_file")
+    for part in (sent, rest):
+        part.repartition(3, "offset").write.mode("append").parquet(f"{root}/in")
+        new = stream_messages(spark, "parquet", path=f"{root}/in", maxFilesPerTrigger="1")
+        landing.land(new, CHATS, root, trigger=landing.CATCH_UP).awaitTermination()
+    rows = tables.read_rows(spark, root, CHATS)
+    # which of a second's keys a message has hangs on the batch it came in; the keys themselves do not
+    return rows.select("epoch_s", "row_key")
 
 
 def _published(buckets: DataFrame, series: str) -> DataFrame:
@@ -297,6 +385,12 @@ QUERIES: dict[str, Query] = {
         family_scan,
         range_scan,
         backfill,
+        backfill_posts,
+        backfill_chats,
+        tick_zone,
+        history_local,
+        calc_cells,
+        produce_posts,
         encode_post,
         encode_tick,
         encode_chat,

@@ -70,6 +70,15 @@ def event_posts(events: DataFrame) -> DataFrame:
     )
 
 
+def event_post_messages(events: DataFrame) -> DataFrame:
+    """The same posts as wire text."""
+    plain = F.lit("")
+    value = wire.encode_post(
+        F.lit(0), F.lit(0), F.lit(0), F.concat_ws(" ", "event_type", "props"), plain, plain, plain, F.col("ts")
+    )
+    return events.select(*_message("event-posts", F.col("event_id"), value, F.col("ts")))
+
+
 def event_ticks(events: DataFrame) -> DataFrame:
     """Events as ticks: the type is the pair and the value the price."""
     return events.select(
@@ -126,6 +135,20 @@ def document_posts(documents: DataFrame) -> DataFrame:
     return documents.select("text", (BASE + F.col("doc_id") * STEP).alias("epoch_s"))
 
 
+def post_rows(documents: DataFrame) -> DataFrame:
+    """Documents as source rows of posts."""
+    return documents.select(
+        F.col("n_chars").alias("followers"),
+        F.col("doc_id").alias("friends"),
+        F.col("doc_id").alias("statuses"),
+        "text",
+        F.col("source").alias("screen_name"),
+        F.col("lang").alias("language"),
+        F.concat_ws(", ", "source", "lang").alias("location"),
+        _created().alias("created"),
+    )
+
+
 def post_messages(documents: DataFrame) -> DataFrame:
     value = wire.encode_post(
         followers=F.col("n_chars"),
@@ -175,8 +198,11 @@ def _chat_time() -> Column:
     return clock.civil_time(BASE + F.col("conv_id"))
 
 
-def chat_messages(conversations: DataFrame) -> DataFrame:
-    """Turns as chat messages; the turns of a conversation share a second."""
+def chat_messages(conversations: DataFrame, lane: Column | None = None, *more: str) -> DataFrame:
+    """Turns as chat messages; the turns of a conversation share a second.
+
+    ``lane`` gives the topic partition, and ``more`` names columns to keep.
+    """
     value = wire.encode_chat(
         kind=F.lit("trollboxMessage"),
         number=F.col("conv_id"),
@@ -186,4 +212,5 @@ def chat_messages(conversations: DataFrame) -> DataFrame:
         arrived=_chat_time(),
     )
     offset = F.col("conv_id") * 1000 + F.col("turn")
-    return conversations.select(*_message("chats", offset, value, _chat_time()))
+    sent = conversations.select(*_message("chats", offset, value, _chat_time()), *more, *([] if lane is None else [lane.cast("int").alias("lane")]))
+    return sent if lane is None else sent.withColumn("partition", F.col("lane")).drop("lane")

@@ -1,14 +1,20 @@
-"""Batch jobs: replay old messages, roll buckets up, show the history."""
+"""Batch jobs: replay old messages, send new ones, roll buckets up, show the history."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from pulsebar.layout import BUCKET_SECONDS, KEYWORDS, PAIR, POSTS, TICKS, Feed
+from pulsebar.layout import (
+    BUCKET_SECONDS, IDENTITY, KEYWORDS, PAIR, POSTS, TICKS, TRACK_WORDS, TRIGGER_INTERVAL, Feed,
+)
 from pulsebar.operators import calc, parse, rollup, sequence
+from pulsebar.operators import produce as produce_
 from pulsebar.sources import tables
-from pulsebar.sources.workdir import new_folder
+from pulsebar.sources.workdir import new_folder, remove
 
 
 def backfill(
@@ -18,14 +24,24 @@ def backfill(
     start: int | None = None,
     stop: int | None = None,
     zone: str = "UTC",
+    resume: bool = False,
 ) -> None:
     """Land the messages with ``start < epoch_s <= stop`` from a replay.
 
-    Running it again, or with a later ``start`` to resume, lands no message
-    twice. Messages are parsed once, into a staged table; the numbering then
-    reads just the three columns it needs from it.
+    ``resume`` leaves out what stands before the last offset seen of each topic partition,
+    whatever its time. Running it again lands no message twice: one that is there stays, and one
+    that is there with other content is replaced where it lies. Messages are parsed
+    once, into a staged table that goes when the job is done.
     """
     spark = messages.sparkSession
+    tables.fix_zone(spark, root, feed, zone)
+    if resume:
+        seen = tables.read_offsets(spark, root, feed)  # a row a topic partition
+        messages = (
+            messages.join(seen, ["topic", "partition"], "left")
+            .where(F.col("last").isNull() | (F.col("offset") > F.col("last")))
+            .select(*messages.columns)
+        )
     parsed = parse.without_read_text(parse.parse(messages, feed, zone))
     wanted = F.lit(True)
     if start is not None:
@@ -33,22 +49,67 @@ def backfill(
     if stop is not None:
         wanted &= F.col("epoch_s") <= stop
     stage = new_folder(spark, f"backfill-{feed.name}")
-    (
-        parsed.where(F.col("reason").isNotNull() | wanted)
-        .withColumn("good", F.col("reason").isNull())
-        .write.partitionBy("good")
-        .parquet(stage)
-    )
-    staged = spark.read.schema(parsed.schema.add("good", "boolean")).parquet(stage)
-    refused = staged.where("NOT good").drop("good")
-    tables.write_rejects(parse.rejects(refused, feed), root, tables.BACKFILL)
-
+    try:
+        (
+            parsed.where(F.col("reason").isNotNull() | wanted)
+            .withColumn("good", F.col("reason").isNull())
+            .write.partitionBy("good")
+            .parquet(stage)
+        )
+        staged = spark.read.schema(parsed.schema.add("good", "boolean")).parquet(stage)
+        _land_staged(staged, feed, root)
+    finally:
+        remove(spark, stage)
+
+
+def _land_staged(staged: DataFrame, feed: Feed, root: str) -> None:
+    spark, part = staged.sparkSession, tables.backfill_part()
+    tables.write_rejects(parse.rejects(staged.where("NOT good").drop("good"), feed), root, part)
     good = parse.accepted(staged.where("good").drop("good"))
-    first_day, last_day = good.agg(F.min("day"), F.max("day")).first()
-    if first_day is None:
+    # as many rows as the replay has calendar days
+    days = {row.day for row in good.select("day").distinct().collect()}
+    if not days:
+        tables.write_offsets(staged, root, feed, part)
         return
-    keyed = sequence.with_row_key(sequence.number_in_second(good))
-    tables.upsert_rows(keyed, root, feed, first_day, last_day)
+    new, changed = good, None
+    landed = tables.landed_of(spark, root, feed, days)
+    if landed is not None:
+        keys = [*IDENTITY, "day"]
+        content = [name for name in good.columns if name not in keys]
+        # only what identifies a message, and a hash of the rest, meets the landed rows
+        there = landed.select(*keys, F.xxhash64(*content).alias("there"))
+        ours = good.select(*keys, F.xxhash64(*content).alias("ours"))
+        changed = ours.join(there, keys).where("there <> ours").select(*keys)
+        new = good.join(there.select(*keys), keys, "left_anti")
+    counts = new.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
+    tables.write_seconds(counts, root, feed, part)
+    prior = tables.read_seconds(spark, root, feed, days, part)
+    tables.write_rows(sequence.with_row_key(sequence.number_in_second(new, prior=prior)), root, feed, part)
+    # last, as it rewrites files that the steps above read
+    if changed is not None and not changed.isEmpty():
+        tables.replace_rows(good.join(changed, keys, "left_semi"), landed, root, feed)
+    tables.write_offsets(staged, root, feed, part)
+
+
+def produce(
+    rows: DataFrame, feed: Feed, put: Callable[[DataFrame], None], checkpoint: str, zone: str = "UTC",
+    words: tuple[str, ...] = TRACK_WORDS, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Send a stream of source rows as messages: ``put`` takes each batch of them.
+
+    A batch that was cut off is sent again, so a message may be sent twice.
+    """
+
+    def send_batch(batch: DataFrame, number: int) -> None:
+        put(produce_.messages(batch, feed, zone, words))
+
+    return (
+        rows.writeStream.queryName(f"produce-{feed.name}")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": TRIGGER_INTERVAL}))
+        .foreachBatch(send_batch)
+        .start()
+    )
 
 
 def whole_buckets(start: int, stop: int, width: int = BUCKET_SECONDS) -> tuple[int, int]:
@@ -64,16 +125,20 @@ def roll_up_social(
     stop: int,
     keywords: dict[str, str] = KEYWORDS,
     keep: str = "matched",
+    width: int = BUCKET_SECONDS,
 ) -> None:
     """Put post and keyword counts of the buckets of ``[start, stop)``."""
-    posts = tables.scan(spark, root, POSTS, *whole_buckets(start, stop))
-    tables.write_calc(rollup.social(posts, keywords, keep=keep), root, tables.SOCIAL)
+    posts = tables.scan(spark, root, POSTS, *whole_buckets(start, stop, width))
+    counts = rollup.social(posts, keywords, width, keep)
+    tables.write_calc(counts.withColumn(tables.COUNTED, F.col("messages")), root, tables.SOCIAL)
 
 
-def roll_up_price(spark: SparkSession, root: str, start: int, stop: int, pair: str = PAIR) -> None:
+def roll_up_price(
+    spark: SparkSession, root: str, start: int, stop: int, pair: str = PAIR, width: int = BUCKET_SECONDS
+) -> None:
     """Put mean prices of the buckets of ``[start, stop)``."""
-    ticks = tables.scan(spark, root, TICKS, *whole_buckets(start, stop))
-    tables.write_calc(rollup.price(ticks, pair), root, tables.PRICE)
+    ticks = tables.scan(spark, root, TICKS, *whole_buckets(start, stop, width))
+    tables.write_calc(rollup.price(ticks, pair, width, tables.COUNTED), root, tables.PRICE)
 
 
 def history(
@@ -84,5 +149,5 @@ def history(
 
 
 def resume_second(spark: SparkSession, root: str, feed: Feed) -> int | None:
-    """Newest landed second, to start a later replay from."""
+    """Newest landed second; to go on with a replay, use ``backfill(resume=True)``."""
     return tables.read_rows(spark, root, feed).agg(F.max("epoch_s")).first()[0]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pulsebar.plans.catalogue import HISTORY, REPLAY, SCAN
+from pulsebar.layout import TICK_CELLS
+from pulsebar.plans.catalogue import HISTORY, REPLAY, SCAN, ZONE
 from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, STEP, TEXT_WORDS
 
 SECOND = "epoch_us(ts) // 1000000"
@@ -47,14 +48,10 @@ TICK_TEXT = f"""
     FROM events"""
 KEYED = "s * 1000 + row_number() OVER (PARTITION BY s ORDER BY event_id) - 1"
 TICK_KEYED = f'SELECT CAST({KEYED} AS VARCHAR) AS "row", * FROM ({TICK_TEXT})'
-TICK_NAMES = (
-    "currencypair", "last", "lowestask", "highestbid", "percentchange",
-    "basevolume", "quotevolume", "isfrozen", "24high", "24low",
-)
 MELTED = " UNION ALL ".join(
     f"""SELECT "row", 'CurrencyRate' AS "columnFamily", '{name}' AS qualifier, "{name}" AS value
     FROM ticks"""
-    for name in TICK_NAMES
+    for name in TICK_CELLS
 )
 
 PRINTABLE = r"regexp_replace({}, '[^\x20-\x7E\t\n\r\x0B\x0C]', '', 'g')"
@@ -154,6 +151,21 @@ TWINS["stream_ticks"] = f"""SELECT *, epoch_s * 1000 + row_number() OVER
     (PARTITION BY epoch_s ORDER BY "offset") - 1 AS row_key FROM ({TWINS["parse_tick"]})"""
 TWINS["stream_chats"] = f"""SELECT *, epoch_s * 1000 + row_number() OVER
     (PARTITION BY epoch_s ORDER BY "offset") - 1 AS row_key FROM ({TWINS["parse_chat"]})"""
-TWINS["stream_row_key"] = TWINS["chat_row_key"]
+TWINS["stream_row_key"] = f"""SELECT {BASE} + conv_id AS epoch_s, ({BASE} + conv_id) * 1000
+    + row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS row_key FROM conversations"""
+# a backfill that overlaps another leaves what the batch job gives, too
+TWINS["backfill_posts"] = TWINS["stream_posts"]
+TWINS["backfill_chats"] = TWINS["stream_chats"]
+TWINS["tick_zone"] = f"""SELECT event_id AS "offset", CAST(floor(epoch(timezone('{ZONE}', ts))) AS BIGINT) AS epoch_s,
+    CAST(CAST(make_timestamp(CAST(floor(epoch(timezone('{ZONE}', ts))) AS BIGINT) * 1000000) AS DATE) AS VARCHAR) AS day
+    FROM events"""
+TWINS["history_local"] = f"""SELECT * REPLACE (strftime(timezone('{ZONE}', make_timestamptz(key * 1000000)),
+    '%Y-%m-%d %H:%M:%S') AS date_time) FROM ({TWINS["history"]})"""
+TWINS["calc_cells"] = f"""SELECT CAST(key AS VARCHAR) AS "row", 'Twitter' AS "columnFamily", qualifier, CAST(n AS VARCHAR) AS value
+    FROM (UNPIVOT (SELECT key, messages AS "Messages", btc AS "BTC", bitcoin AS "Bitcoin" FROM ({SOCIAL})
+        WHERE key >= {HISTORY[0]} AND key < {HISTORY[1]})
+    ON "Messages", "BTC", "Bitcoin" INTO NAME qualifier VALUE n)"""
+TWINS["produce_posts"] = f"""SELECT * EXCLUDE ("offset") FROM ({TWINS["parse_post"]}) p
+    WHERE "offset" IN (SELECT doc_id FROM ({TWINS["track_filter"]}))"""
 TWINS["stream_social"] = TWINS["social_documents_5m"]
 TWINS["stream_price"] = TWINS["price_5m"]

@@ -8,6 +8,7 @@ from pyspark.sql.readwriter import DataFrameReader
 from pyspark.sql.streaming import DataStreamReader
 
 from pulsebar.layout import MESSAGE_SCHEMA
+from pulsebar.sources.workdir import exists
 
 KAFKA = "kafka"
 
@@ -56,6 +57,21 @@ def broker_options(
     return options
 
 
+def keep(messages: DataFrame, path: str) -> None:
+    """Add messages to a folder that stands in for a topic, under offsets it has not yet."""
+    spark = messages.sparkSession
+    old = spark.read.schema(MESSAGE_SCHEMA).parquet(path) if exists(spark, path) else None
+    after = 0 if old is None else (old.agg(F.max("offset")).first()[0] or 0) + 1
+    numbered = messages.select(
+        "value",
+        F.lit(path.rstrip("/").rpartition("/")[2]).alias("topic"),
+        F.lit(0).alias("partition"),
+        (F.monotonically_increasing_id() + after).alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    numbered.write.mode("append").parquet(path)
+
+
 def send(messages: DataFrame, servers: str, topic: str) -> None:
     """Send the ``value`` of each row to a topic."""
     (

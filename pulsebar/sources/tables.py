@@ -1,33 +1,49 @@
 """Landed and calculated tables: day-partitioned parquet under one root.
 
-``<root>/<feed>/day=/batch=``      typed rows of a feed
-``<root>/rejects/source=/batch=``  refused messages
-``<root>/seconds/<feed>/day=/batch=``  rows per second, for numbering streams
-``<root>/calc/<series>/version=``  bucket values, one folder per write
+``<root>/<feed>/day=/part=``           typed rows of a feed
+``<root>/rejects/source=/part=``       refused messages
+``<root>/seconds/<feed>/day=/part=``   rows per second, for numbering
+``<root>/offsets/<feed>/part=``        last offset seen of each topic partition
+``<root>/zones/<feed>/zone=``          where the feed's clock runs
+``<root>/calc/<series>/day=/version=`` bucket values, one version per write
+
+A part is what one batch of one stream, or one backfill, wrote. Its name holds the run, so
+no run replaces what another has written.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable
 from datetime import date
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from pulsebar.functions import clock
-from pulsebar.layout import CALC_SCHEMA, IDENTITY, REJECT_SCHEMA, SECOND_SCHEMA, Feed
+from pulsebar.layout import CALC_SCHEMA, IDENTITY, OFFSET_SCHEMA, REJECT_SCHEMA, SECOND_SCHEMA, Feed
 from pulsebar.operators import calc
-from pulsebar.sources.workdir import exists, folders, remove
-
-#: ``batch`` of rows that did not come from a stream
-BACKFILL = -1
+from pulsebar.sources.workdir import exists, folders, make_folder, remove
 
 SOCIAL = "social"
 PRICE = "price"
 
 
+def new_run() -> str:
+    return uuid.uuid4().hex[:12]
+
+
+def live_part(run: str, batch: int) -> str:
+    return f"live-{run}-{batch}"
+
+
+def backfill_part() -> str:
+    return f"fill-{new_run()}"
+
+
 # -- raw rows -----------------------------------------------------------------
 
 
@@ -37,15 +53,15 @@ def rows_path(root: str, feed: Feed) -> str:
 
 def read_rows(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
     """All landed rows of a feed."""
-    return spark.read.schema(feed.schema).parquet(rows_path(root, feed)).drop("batch")
+    return spark.read.schema(feed.schema).parquet(rows_path(root, feed)).drop("part")
 
 
 def _read_days(
-    spark: SparkSession, path: str, schema: str, wanted: Callable[[date], bool]
+    spark: SparkSession, path: str, schema: str | StructType, wanted: Callable[[date], bool]
 ) -> DataFrame | None:
     """The day folders that are wanted, or None where there are none.
 
-    Naming the folders keeps Spark from listing every batch of every year the
+    Naming the folders keeps Spark from listing every part of every year the
     table has grown over; only the level of the days is listed.
     """
     days = [
@@ -66,7 +82,12 @@ def scan(spark: SparkSession, root: str, feed: Feed, start: int, stop: int) -> D
     if rows is None:
         rows = spark.createDataFrame([], feed.schema)
     second = F.col("epoch_s")
-    return rows.drop("batch").where((second >= start) & (second < stop))
+    return rows.drop("part").where((second >= start) & (second < stop))
+
+
+def landed_of(spark: SparkSession, root: str, feed: Feed, days: Iterable[date]) -> DataFrame | None:
+    """Landed rows of some days, with their part."""
+    return _read_days(spark, rows_path(root, feed), feed.schema, set(days).__contains__)
 
 
 def replace_partitions(frame: DataFrame, path: str, *by: str) -> None:
@@ -84,73 +105,83 @@ def replace_partitions(frame: DataFrame, path: str, *by: str) -> None:
     )
 
 
-def write_batch(rows: DataFrame, root: str, feed: Feed, batch: int) -> None:
-    """Write one batch's rows; writing the same batch again replaces them."""
-    frame = rows.withColumn("batch", F.lit(batch).cast("bigint"))
-    replace_partitions(frame, rows_path(root, feed), "day", "batch")
+def write_rows(rows: DataFrame, root: str, feed: Feed, part: str) -> None:
+    """Write a part; writing the same part again replaces it."""
+    replace_partitions(rows.withColumn("part", F.lit(part)), rows_path(root, feed), "day", "part")
 
 
-def upsert_rows(
-    rows: DataFrame, root: str, feed: Feed, first_day: date, last_day: date
-) -> None:
-    """Merge rows into a feed's table by topic, partition and offset.
+def replace_rows(new: DataFrame, old: DataFrame, root: str, feed: Feed) -> None:
+    """Put changed messages where the landed ones lie, under the same row key.
 
-    A message already landed is replaced where it lies, others are added and
-    nothing is removed. The days in between are rewritten whole, since parquet
-    has no update in place.
+    ``new`` holds messages that ``old``, landed rows with their part, has with other content.
+    Only the parts that hold one are rewritten.
     """
-    spark, path = rows.sparkSession, rows_path(root, feed)
-    old = _read_days(spark, path, feed.schema, lambda day: first_day <= day <= last_day)
-    if old is None:
-        write_batch(rows, root, feed, BACKFILL)
-        return
-    columns = [name for name in rows.columns if name not in IDENTITY]
-    old = old.select(*IDENTITY, "batch", F.struct(*columns).alias("old"))
-    new = rows.select(*IDENTITY, F.struct(*columns).alias("new"))
-    merged = old.join(new, list(IDENTITY), "full_outer").select(
-        *IDENTITY,
-        F.coalesce("new", "old").alias("kept"),
-        F.coalesce("batch", F.lit(BACKFILL)).cast("bigint").alias("batch"),
-    )
-    replace_partitions(merged.select(*IDENTITY, "kept.*", "batch"), path, "day", "batch")
+    keys = [*IDENTITY, "day"]
+    columns = [name for name in new.columns if name not in (*keys, "row_key")]
+    changed = new.select(*keys, F.struct(*columns).alias("new"))
+    touched = old.join(changed.select(*keys), keys, "left_semi").select("day", "part").distinct()
+    whole = old.join(touched, ["day", "part"], "left_semi")
+    merged = whole.select(*keys, "row_key", "part", F.struct(*columns).alias("old")).join(changed, keys, "left")
+    kept = merged.select(*keys, "row_key", "part", F.coalesce("new", "old").alias("kept"))
+    replace_partitions(kept.select(*keys, "row_key", "part", "kept.*"), rows_path(root, feed), "day", "part")
+
+
+def fix_zone(spark: SparkSession, root: str, feed: Feed, zone: str) -> None:
+    """Keep the feed's zone; refuse another, under which its messages would land a second time."""
+    path = f"{root}/zones/{feed.name}"
+    known = folders(spark, path)
+    wanted = f"zone={quote(zone, safe='')}"
+    if known and known != [wanted]:
+        raise ValueError(f"{feed.name} were landed under {known}, not {wanted}")
+    if not known:
+        make_folder(spark, f"{path}/{wanted}")
 
 
 # -- refused messages ---------------------------------------------------------
 
 
-def write_rejects(refused: DataFrame, root: str, batch: int) -> None:
-    frame = refused.withColumn("batch", F.lit(batch).cast("bigint"))
-    replace_partitions(frame, f"{root}/rejects", "source", "batch")
+def write_rejects(refused: DataFrame, root: str, part: str) -> None:
+    replace_partitions(refused.withColumn("part", F.lit(part)), f"{root}/rejects", "source", "part")
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(REJECT_SCHEMA).parquet(f"{root}/rejects").drop("batch")
+    """Refused messages, each once however often it was replayed."""
+    every = spark.read.schema(REJECT_SCHEMA).parquet(f"{root}/rejects").drop("part")
+    return every.dropDuplicates(["source", *IDENTITY])
 
 
-# -- rows per second ----------------------------------------------------------
+# -- rows per second, offsets -------------------------------------------------
 
 
 def seconds_path(root: str, feed: Feed) -> str:
     return f"{root}/seconds/{feed.name}"
 
 
-def write_seconds(counts: DataFrame, root: str, feed: Feed, batch: int) -> None:
-    frame = counts.withColumn("batch", F.lit(batch).cast("bigint"))
-    replace_partitions(frame, seconds_path(root, feed), "day", "batch")
+def write_seconds(counts: DataFrame, root: str, feed: Feed, part: str) -> None:
+    replace_partitions(counts.withColumn("part", F.lit(part)), seconds_path(root, feed), "day", "part")
 
 
 def read_seconds(
-    spark: SparkSession, root: str, feed: Feed, days: set[date], before: int
+    spark: SparkSession, root: str, feed: Feed, days: Iterable[date], but: str
 ) -> DataFrame | None:
-    """Rows per second of some days that batches below ``before`` landed."""
-    counts = _read_days(spark, seconds_path(root, feed), SECOND_SCHEMA, days.__contains__)
+    """Rows per second of some days that all parts but one have numbered."""
+    counts = _read_days(spark, seconds_path(root, feed), SECOND_SCHEMA, set(days).__contains__)
     if counts is None:
         return None
-    return (
-        counts.where(F.col("batch") < before)
-        .groupBy("topic", "epoch_s")
-        .agg(F.sum("n").alias("n"))
-    )
+    return counts.where(F.col("part") != but).groupBy("topic", "epoch_s").agg(F.sum("n").alias("n"))
+
+
+def write_offsets(seen: DataFrame, root: str, feed: Feed, part: str) -> None:
+    last = seen.groupBy("topic", "partition").agg(F.max("offset").alias("last"))
+    replace_partitions(last.withColumn("part", F.lit(part)), f"{root}/offsets/{feed.name}", "part")
+
+
+def read_offsets(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
+    """Last offset seen of each topic partition; a row a partition and part, so a small table."""
+    path = f"{root}/offsets/{feed.name}"
+    seen = spark.read.schema(OFFSET_SCHEMA)
+    every = seen.parquet(path) if exists(spark, path) else spark.createDataFrame([], OFFSET_SCHEMA)
+    return every.groupBy("topic", "partition").agg(F.max("last").alias("last"))
 
 
 # -- calculated series --------------------------------------------------------
@@ -160,59 +191,84 @@ def calc_path(root: str, series: str) -> str:
     return f"{root}/calc/{series}"
 
 
-def write_calc(buckets: DataFrame, root: str, series: str) -> None:
-    """Put bucket values. The write time is their version and the newest value
-    of a bucket counts, so nothing stored is touched and a repeat does no harm."""
-    version = time.time_ns() // 1_000_000
-    buckets.hint("rebalance").write.parquet(f"{calc_path(root, series)}/version={version}")
+_SERIES = {SOCIAL: tuple(CALC_SCHEMA.names[1:4]), PRICE: tuple(CALC_SCHEMA.names[4:])}
+#: rows a value was counted from
+COUNTED = "counted"
 
 
-_SERIES = {SOCIAL: tuple(CALC_SCHEMA.names[1:4]), PRICE: tuple(CALC_SCHEMA.names[4:])}
+def _write_version(buckets: DataFrame, path: str, version: str) -> None:
+    dated = buckets.withColumn("day", clock.day_of(F.col("key"))).withColumn("version", F.lit(version))
+    dated.hint("rebalance", "day").write.mode("append").partitionBy("day", "version").parquet(path)
+
+
+def write_calc(buckets: DataFrame, root: str, series: str) -> None:
+    """Put bucket values beside what is stored; nothing stored is touched.
+
+    Of a bucket's values the one counted from most rows (``counted``, 0 where it is not given)
+    holds, and of those the newest. So a repeat does no harm, and an update whose
+    state missed late rows does not hide the value that has them. No rows leave no folder.
+    """
+    if COUNTED not in buckets.columns:
+        buckets = buckets.withColumn(COUNTED, F.lit(0).cast("bigint"))
+    version = f"{time.time_ns():020d}-{new_run()}"
+    _write_version(buckets, calc_path(root, series), version)
 
 
-def _read_series(spark: SparkSession, root: str, series: str) -> DataFrame:
+def _series_schema(series: str) -> StructType:
     fields = [field for field in CALC_SCHEMA if field.name in ("key", *_SERIES[series])]
-    schema = StructType([*fields, StructField("version", LongType())])
-    return spark.read.schema(schema).parquet(calc_path(root, series))
+    return StructType([
+        *fields, StructField(COUNTED, LongType()), StructField("day", DateType()), StructField("version", StringType())
+    ])
+
+
+def _holding(values: DataFrame, series: str) -> DataFrame:
+    """The value that holds of each bucket."""
+    ranked = values.withColumn("rank", F.struct(F.coalesce(COUNTED, F.lit(0)), "version"))
+    return calc.latest(ranked, version="rank", values=_SERIES[series])
 
 
 def fold_calc(spark: SparkSession, root: str, series: str) -> None:
-    """Fold the writes of a series into its newest one and delete the others.
+    """Fold the writes of each day into one and delete those that were read.
 
-    A live roll-up adds a small folder every few minutes. The folded values
-    keep the newest version read, so a write that comes meanwhile still counts
-    as newer, and a fold cut short leaves every value in place.
+    The folders are listed once: exactly those are read and exactly those are deleted, after
+    the folded values are written to a folder of their own. That one sorts just
+    behind the newest it has read, so a write that comes meanwhile still counts as newer; and a
+    fold cut short leaves some values twice, but none out.
     """
-    values = _read_series(spark, root, series)
-    newest = values.agg(F.max("version")).first()[0]
-    if newest is None:
-        return
     path = calc_path(root, series)
-    folded = calc.latest(values, values=_SERIES[series])
-    replace_partitions(folded.withColumn("version", F.lit(newest)), path, "version")
-    for name in folders(spark, path):
-        if name.startswith("version=") and int(name[8:]) < newest:
-            remove(spark, f"{path}/{name}")
+    listed = {day: folders(spark, f"{path}/{day}") for day in folders(spark, path) if day.startswith("day=")}
+    crowded = [(day, name) for day, names in listed.items() if len(names) > 1 for name in names]
+    if not crowded:
+        return
+    paths = [f"{path}/{day}/{name}" for day, name in crowded]
+    values = spark.read.schema(_series_schema(series)).option("basePath", path).parquet(*paths)
+    newest = max(name for _, name in crowded).removeprefix("version=")
+    counted = values.groupBy("key").agg(F.max(COUNTED).alias(COUNTED))
+    folded = _holding(values, series).join(counted, "key")
+    _write_version(folded, path, f"{newest}~{new_run()}")
+    for folder in paths:
+        remove(spark, folder)
 
 
 def read_calc(
     spark: SparkSession, root: str, start: int | None = None, stop: int | None = None
 ) -> DataFrame:
-    """The calculated table: newest values of both series, side by side.
+    """The calculated table: the values of both series that hold, side by side.
 
-    ``[start, stop)`` limits the keys; it is applied to each series, since a
-    filter does not pass a full outer join.
+    ``[start, stop)`` limits the keys; only its days are listed and read.
     """
+    first = clock.utc_date(start) if start is not None else date.min
+    last = clock.utc_date(stop - 1) if stop is not None else date.max
     sides = []
-    for series, names in _SERIES.items():
-        if not exists(spark, calc_path(root, series)):
+    for series in _SERIES:
+        values = _read_days(spark, calc_path(root, series), _series_schema(series), lambda day: first <= day <= last)
+        if values is None:
             continue
-        values = _read_series(spark, root, series)
         if start is not None:
             values = values.where(F.col("key") >= start)
         if stop is not None:
             values = values.where(F.col("key") < stop)
-        sides.append(calc.latest(values, values=names))
+        sides.append(_holding(values, series))
     if not sides:
         return spark.createDataFrame([], CALC_SCHEMA)
     if len(sides) == 2:

@@ -46,6 +46,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in system.listStatus(location) if entry.isDirectory()]
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it."""
+    system, location = _file_system(spark, path)
+    system.mkdirs(location)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder a job of ours wrote."""
     system, location = _file_system(spark, path)

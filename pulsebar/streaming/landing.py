@@ -2,67 +2,93 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from pulsebar.layout import TRIGGER_INTERVAL, Feed
+from pulsebar.layout import IDENTITY, TRIGGER_INTERVAL, Feed
 from pulsebar.operators import parse, sequence
 from pulsebar.sources import tables
+from pulsebar.sources.workdir import folders, make_folder
 
 LIVE = {"processingTime": TRIGGER_INTERVAL}
 #: work through what is there and stop
 CATCH_UP = {"availableNow": True}
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The run a checkpoint belongs to. It is kept inside, so it goes when the checkpoint goes."""
+    known = [name for name in folders(spark, checkpoint) if name.startswith("run=")]
+    if not known:
+        known = [f"run={tables.new_run()}"]
+        make_folder(spark, f"{checkpoint}/{known[0]}")
+    return known[0].removeprefix("run=")
+
+
 def land(
     messages: DataFrame,
     feed: Feed,
     root: str,
     zone: str = "UTC",
     trigger: dict = LIVE,
+    source: str = "main",
 ) -> StreamingQuery:
     """Start landing a stream of messages under ``root``.
 
     A restart goes on from the checkpoint kept beside the tables. A batch that
     was cut off is written again under its number and replaces what it left.
+    ``source`` names the topic or folder, so that two of one feed have checkpoints of their own.
     """
+    spark = messages.sparkSession
+    tables.fix_zone(spark, root, feed, zone)
+    checkpoint = f"{root}/checkpoints/land-{feed.name}-{source}"
+    run = run_of(spark, checkpoint)
 
     def land_batch(batch: DataFrame, number: int) -> None:
-        write_batch(batch, number, feed, root, zone)
+        write_batch(batch, number, feed, root, zone, run)
 
     return (
-        messages.writeStream.queryName(f"land-{feed.name}")
-        .option("checkpointLocation", f"{root}/checkpoints/land-{feed.name}")
+        messages.writeStream.queryName(f"land-{feed.name}-{source}")
+        .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .foreachBatch(land_batch)
         .start()
     )
 
 
-def write_batch(batch: DataFrame, number: int, feed: Feed, root: str, zone: str = "UTC") -> None:
-    """Parse, key and write one batch.
+def write_batch(
+    batch: DataFrame, number: int, feed: Feed, root: str, zone: str = "UTC", run: str = "single"
+) -> None:
+    """Parse, key and write one batch, but for messages another run or a backfill has landed.
 
     A second may go on over batches, late or after a restart. How many rows of
     it came earlier stands in the ``seconds`` table, one small row per second,
-    so numbering needs no state in the stream and never drops a late row.
+    so numbering needs no state in the stream and never drops a late row. Counts are
+    written before rows: a batch cut off in between leaves a gap in the keys, no key twice.
     """
     spark = batch.sparkSession
-    # parsed once and used four times
+    part = tables.live_part(run, number)
+    # parsed once and used several times
     parsed = parse.without_read_text(parse.parse(batch, feed, zone))
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables.write_rejects(parse.rejects(parsed, feed), root, number)
-
+        if parsed.isEmpty():
+            return
+        tables.write_rejects(parse.rejects(parsed, feed), root, part)
         good = parse.accepted(parsed)
-        counts = good.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
-        tables.write_seconds(counts, root, feed, number)
         # as many rows as the batch has calendar days
         days = {row.day for row in good.select("day").distinct().collect()}
-        prior = tables.read_seconds(spark, root, feed, days, number)
-
+        landed = tables.landed_of(spark, root, feed, days)
+        if landed is not None:
+            # Of this run only what is written again could be there, so its parts need no reading.
+            others = landed.where(~F.col("part").startswith(f"live-{run}-"))
+            good = good.join(others.select(*IDENTITY, "day"), [*IDENTITY, "day"], "left_anti")
+        counts = good.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
+        tables.write_seconds(counts, root, feed, part)
+        prior = tables.read_seconds(spark, root, feed, days, part)
         keyed = sequence.with_row_key(sequence.number_in_second(good, prior=prior))
-        tables.write_batch(keyed, root, feed, number)
+        tables.write_rows(keyed, root, feed, part)
+        tables.write_offsets(parsed, root, feed, part)
     finally:
         parsed.unpersist()

@@ -45,20 +45,25 @@ def social_stream(
 def price_stream(
     ticks: DataFrame, pair: str = PAIR, delay: str = DELAY, width: int = BUCKET_SECONDS
 ) -> DataFrame:
-    """Mean last price of a pair in each bucket of a stream."""
-    prices = _windowed(ticks.where(F.col("pair") == pair), delay, width).agg(F.avg("last").alias("last"))
-    return prices.selectExpr(_KEY, "last")
+    """Mean last price of a pair, and the number of its ticks, in each bucket of a stream."""
+    prices = _windowed(ticks.where(F.col("pair") == pair), delay, width).agg(
+        F.avg("last").alias("last"), F.count(F.lit(1)).alias(tables.COUNTED)
+    )
+    return prices.selectExpr(_KEY, "last", tables.COUNTED)
 
 
 def publish(buckets: DataFrame, root: str, series: str, trigger: dict = LIVE) -> StreamingQuery:
     """Put the buckets that changed in each batch into the calculated table.
 
     Update mode gives a bucket its running value at once and again with every
-    change; the newest value counts. Rows later than the watermark are left
-    out, which the batch roll-up over the landed rows puts right.
+    change; the value counted from most rows holds. Rows later than the watermark are left
+    out, which the batch roll-up over the landed rows puts right, for good: later
+    updates have counted less than it.
     """
 
     def put(batch: DataFrame, number: int) -> None:
+        if series == tables.SOCIAL:
+            batch = batch.withColumn(tables.COUNTED, F.col("messages"))
         tables.write_calc(batch, root, series)
 
     return (
