@@ -94,7 +94,7 @@ def twice_filter(hashes: DataFrame, bits: int) -> bytes:
     )
     size = min(_BLOCK, bits // 8)
     whole = bytearray(bits // 8)  # at most most_bits / 8 bytes
-    for row in blocks.toLocalIterator(prefetchPartitions=True):
+    for row in blocks.collect():
         whole[row["block"] * size : (row["block"] + 1) * size] = row["twice"]
     return bytes(whole)
 
