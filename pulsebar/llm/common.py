@@ -10,6 +10,9 @@ from pulsebar.sources import workdir
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\f\r"
 
+#: most bits of a bitmap: 2 MB
+MOST_BITS = 1 << 24
+
 _written: list[str] = []
 
 
@@ -51,3 +54,31 @@ def clear(spark: SparkSession, since: int, until: int) -> None:
     for path in _written[since:until]:
         workdir.remove(spark, path)
     del _written[since:until]
+
+
+def _lane(hash_: Column, bits: int) -> Column:
+    return F.floor(F.pmod(hash_, F.lit(bits)) / 64).cast("int")
+
+
+def _bit(hash_: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(hash_, F.lit(64)).cast("int"))
+
+
+def bitmap(hashes: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, int]:
+    """One row with an array of longs, ``b``, that has a bit for each ``hash``; and its size in bits.
+
+    An early sieve for what is joined by equality afterwards. It reaches a filter as a scalar
+    subquery, so it is computed once and nothing is shuffled.
+
+    64 bits a hash or more, at most ``most_bits`` (2 MB): beyond that more places pass the sieve.
+    """
+    bits = min(most_bits, 1 << max(10, (64 * hashes.count()).bit_length()))
+    lanes = hashes.groupBy(_lane(F.col("hash"), bits).alias("lane")).agg(F.bit_or(_bit(F.col("hash"))).alias("set"))
+    every = hashes.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("lane"))
+    filled = every.join(lanes, "lane", "left").select(F.struct("lane", F.coalesce("set", F.lit(0)).alias("set")).alias("l"))
+    whole = filled.agg(F.array_sort(F.collect_list("l")).alias("l")).select(F.transform("l", lambda x: x.set).alias("b"))
+    return stored(whole, "bitmap"), bits
+
+
+def in_bitmap(bitmap_: Column, bits: int, hash_: Column) -> Column:
+    return F.get(bitmap_, _lane(hash_, bits)).bitwiseAND(_bit(hash_)) != 0

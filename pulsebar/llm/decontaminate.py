@@ -22,10 +22,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsebar.llm.common import ascii_lower, stored, text_of
+from pulsebar.llm.common import MOST_BITS, ascii_lower, bitmap, in_bitmap, stored, text_of
 
 WINDOW, SHINGLE = 10, 3
-MOST_BITS = 1 << 24
 _NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
@@ -57,35 +56,10 @@ def windows_of(benchmark: DataFrame, length: int = WINDOW, width: int = SHINGLE)
     )
 
 
-def _lane(hash_: Column, bits: int) -> Column:
-    return F.floor(F.pmod(hash_, F.lit(bits)) / 64).cast("int")
-
-
-def _bit(hash_: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(hash_, F.lit(64)).cast("int"))
-
-
-def bitmap(hashes: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, int]:
-    """One row with an array of longs, ``b``, that has a bit for each ``hash``; and its size in bits.
-
-    64 bits a hash or more, at most ``most_bits`` (2 MB): beyond that more places pass the sieve.
-    """
-    bits = min(most_bits, 1 << max(10, (64 * hashes.count()).bit_length()))
-    lanes = hashes.groupBy(_lane(F.col("hash"), bits).alias("lane")).agg(F.bit_or(_bit(F.col("hash"))).alias("set"))
-    every = hashes.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("lane"))
-    filled = every.join(lanes, "lane", "left").select(F.struct("lane", F.coalesce("set", F.lit(0)).alias("set")).alias("l"))
-    whole = filled.agg(F.array_sort(F.collect_list("l")).alias("l")).select(F.transform("l", lambda x: x.set).alias("b"))
-    return stored(whole, "shingle-bitmap"), bits
-
-
-def _set_in(bitmap_: Column, bits: int, hash_: Column) -> Column:
-    return F.get(bitmap_, _lane(hash_, bits)).bitwiseAND(_bit(hash_)) != 0
-
-
 def _places_with_words(width: int, reach: int, bits: int) -> Column:
     """Places in ``w`` that pass the bitmap of this width, with ``reach`` words on both sides."""
     every = _places(F.col("w"), width)
-    passed = F.filter(every, lambda i: _set_in(F.col(f"bits_{width}"), bits, _hash(F.col("w"), i, width)))
+    passed = F.filter(every, lambda i: in_bitmap(F.col(f"bits_{width}"), bits, _hash(F.col("w"), i, width)))
 
     def near(i: Column) -> Column:
         low = F.greatest(i - reach, F.lit(0))

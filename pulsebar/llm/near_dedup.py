@@ -9,9 +9,10 @@ errors below the threshold go, and all others are verified on the full sets.
 
 Equal sets are one class from the start, however many copies there are. A band shared by many
 classes is not turned into all pairs: its members are compared with the smallest of them, classes
-found linked are contracted, and only bands whose members are still in different components go on
-to be compared in blocks, inside tasks, which give back just the pairs that the likelihood keeps.
-Links go on being verified until none is left between two components, so no verified link is lost.
+found linked are contracted, and only bands whose members are still in different components go on to
+be compared in blocks, inside tasks. Those give back the likeliest pairs of each member first, so that
+a large group is contracted before its less likely pairs are looked at, and in the last round every
+pair that the likelihood keeps, so no link is lost.
 
 Defined cases: a text of fewer than five words is one shingle; one without words, or null, has none
 and is alone; copies and repeated rows share a class; a null doc_id is linked like others and is never
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsebar.llm.common import stored, text_of
+from pulsebar.llm.common import bitmap, in_bitmap, stored, text_of
 
 WORDS, BANDS, ROWS = 5, 50, 5
 REGISTERS = BANDS * ROWS
@@ -39,6 +40,8 @@ PERCENT = 75
 DOUBT = 12.5  # in log likelihood: five standard errors
 BLOCK = 512
 STAR_ROUNDS = 2
+#: pairs a member brings from each block; the last round leaves none out
+BLOCK_ROUNDS = (2, 8, 32, None)
 
 _draws = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _draws.integers(0, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -147,6 +150,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("of_id"), F.xxhash64(text_of()).alias("of_hash"), text_of().alias("text"))
+    held, bits = bitmap(wanted.select(F.col("text_hash").alias("hash")))
+    read = read.withColumn("held", held.scalar()).where(in_bitmap(F.col("held"), bits, F.col("of_hash"))).drop("held")
     joined = read.join(
         wanted, F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_hash") == F.col("text_hash"))
     )
@@ -233,8 +238,11 @@ def _open_bands(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.join(open_, "band")
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, overlap) between components in one band, compared block by block inside tasks."""
+def _block_pairs(members: DataFrame, sets: DataFrame, most: int | None) -> DataFrame:
+    """(a, b, overlap) between components in one band, compared block by block inside tasks.
+
+    ``most`` keeps each member's likeliest pairs in a block only; None keeps all.
+    """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     keyed = members.select("band", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
@@ -248,13 +256,19 @@ def _block_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         rows = []
         for i in range(len(node)):
             mask = (root != root[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
-            mask &= (node > node[i]) if low == high else (own_ == high) & (own_[i] == low)
+            if low != high:
+                mask &= own_ != own_[i]
+            if most is None:  # from one side only
+                mask &= node > node[i]
             others = np.flatnonzero(mask)
             if len(others):
                 equal = (values[others] == values[i]).sum(axis=1)
                 more = (values[i] > values[others]).sum(axis=1)
                 overlap, possible = likely(equal, more, np.full(len(others), float(n[i])), n[others].astype(float))
-                for k in np.flatnonzero(possible):
+                kept = np.flatnonzero(possible)
+                if most is not None and len(kept) > most:
+                    kept = kept[np.argsort(-overlap[kept], kind="stable")[:most]]
+                for k in kept:
                     x, y = int(node[i]), int(node[others[k]])
                     rows.append((min(x, y), max(x, y), float(overlap[k])))
         return rows
@@ -314,35 +328,34 @@ def linked_classes(docs: DataFrame, members: DataFrame, classes: DataFrame) -> D
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
         settle(stored(_best(stored(estimate(pairs, sets), "star-pairs"), roots), "best-pairs"))
-    likely_pairs = stored(_block_pairs(_open_bands(members, roots), sets), "block-pairs")
-    for last in (False, True):
-        left = _rooted(_rooted(likely_pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a <> root_b")
-        left = stored(left.select("a", "b", "overlap").join(failed, ["a", "b"], "left_anti"), "left-pairs")
-        if left.isEmpty():
+    for most in BLOCK_ROUNDS:
+        opened = stored(_open_bands(members, roots), "opened")
+        if opened.isEmpty():
             break
-        settle(left if last else stored(_best(left, roots), "best-pairs"))
+        pairs = _block_pairs(opened, sets, most).select("a", "b").join(failed, ["a", "b"], "left_anti")
+        settle(stored(pairs, "block-pairs"))
     return roots
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept and text_hash."""
     known = stored(sketches(docs), "sketches")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("f")
+    # The smallest document stands for its class; its bands are those of all its copies.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "bands")).alias("f")
     grouped = known.where("n_shingles > 0").groupBy("set_hash").agg(first, F.count("*").alias("copies"))
     classes = stored(
-        grouped.select(F.monotonically_increasing_id().alias("node"), "set_hash", "copies", "f.doc_id", "f.text_hash"),
+        grouped.select(F.monotonically_increasing_id().alias("node"), "set_hash", "copies", "f.doc_id", "f.text_hash", "f.bands"),
         "classes",
     )
-    firsts = classes.select("node", "doc_id", "text_hash", "set_hash")
-    # The bands of a class are those of any of its documents.
-    own = known.join(firsts.select("node", F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")),
-                     F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash")))
-    banded = own.select("node", F.explode("bands").alias("band"))
-    shared = stored(
-        banded.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band"),
-        "shared-bands",
+    # A class has each of its bands once, so a band counted twice is shared.
+    banded = classes.select("node", F.explode("bands").alias("band"))
+    shared = stored(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "shared-bands")
+    held, bits = bitmap(shared.select(F.col("band").alias("hash")))
+    sieved = (
+        classes.select("node", "bands", held.scalar().alias("held"))
+        .select("node", F.explode(F.filter("bands", lambda b: in_bitmap(F.col("held"), bits, b))).alias("band"))
     )
-    members = stored(banded.join(shared, "band", "left_semi").distinct(), "members")
+    members = stored(sieved.join(shared, "band", "left_semi"), "members")
     roots = None if members.isEmpty() else linked_classes(docs, members, classes)
     placed = _rooted(classes, roots, "node", "root")
     smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("size"))
