@@ -107,6 +107,9 @@ QUERIES = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
     "op1_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
@@ -150,4 +153,47 @@ ORACLES = {
                sha256(loss) AS loss_sha256, CAST(plain + controls AS BIGINT) AS formatted_chars
         FROM t
     """,
+    "op2_decontamination": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[k : k + 9], ' ') AS words
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)
+        ), spot AS (
+            SELECT doc_id, k, size, array_to_string(w[k : k + size - 1], ' ') AS words
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d), (SELECT DISTINCT size FROM win)
+            WHERE k + size - 1 <= len(w)
+        ), hit AS (SELECT doc_id, k, spot.size, item_id FROM spot JOIN win USING (words)),
+        covered AS (
+            SELECT doc_id, count(DISTINCT place) AS n
+            FROM (SELECT doc_id, unnest(range(k, k + size)) AS place FROM hit) GROUP BY doc_id
+        ), found AS (
+            SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+    """,
+    "op9_near_dedup": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k : k + 4], ' ') AS shingle
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pair AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), link AS (
+            SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common >= 75 * (x.n + y.n - common)
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a
+        )
+        SELECT reach.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id,
+               reach.doc_id = min(other) AS kept
+        FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
+    """,
 }
