@@ -10,9 +10,8 @@ errors below the threshold go, and all others are verified on the full sets.
 Equal sets are one class from the start, however many copies there are. A band shared by many
 classes is not turned into all pairs: its members are compared with the smallest of them, classes
 found linked are contracted, and only bands whose members are still in different components go on to
-be compared in blocks, inside tasks. Those give back the likeliest pairs of each member first, so that
-a large group is contracted before its less likely pairs are looked at, and in the last round every
-pair that the likelihood keeps, so no link is lost.
+be compared in blocks. There each pair is estimated and verified inside the task, in the first band it
+shares, and just the links that join components come back, so no link is lost and no list of pairs is made.
 
 Defined cases: a text of fewer than five words is one shingle; one without words, or null, has none
 and is alone; copies and repeated rows share a class; a null doc_id is linked like others and is never
@@ -39,9 +38,7 @@ BASE, RATE = 1.001, 20.0
 PERCENT = 75
 DOUBT = 12.5  # in log likelihood: five standard errors
 BLOCK = 512
-STAR_ROUNDS = 2
-#: pairs a member brings from each block; the last round leaves none out
-BLOCK_ROUNDS = (2, 8, 32, None)
+STAR_ROUNDS = 1
 
 _draws = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _draws.integers(0, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -137,16 +134,18 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, n, registers and the whole set, for the classes in ``wanted`` (node, doc_id, text_hash)."""
+    """node, n, registers, bands and the whole set, for the classes in ``wanted`` (node, doc_id, text_hash)."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingles(text.as_py()) for text in batch.column(1)]
+            values = [registers(s) for s in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, found), pa.int64()),
-                 pa.array([registers(s).tobytes() for s in found], pa.binary()),
+                 pa.array([v.tobytes() for v in values], pa.binary()),
+                 pa.array([band_keys(v).tobytes() for v in values], pa.binary()),
                  pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["node", "n", "registers", "hashes"],
+                names=["node", "n", "registers", "bands", "hashes"],
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("of_id"), F.xxhash64(text_of()).alias("of_hash"), text_of().alias("text"))
@@ -156,7 +155,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         wanted, F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_hash") == F.col("text_hash"))
     )
     # Fully repeated rows would give a node twice.
-    return joined.select("node", "text").mapInArrow(whole, "node long, n long, registers binary, hashes binary").dropDuplicates(["node"])
+    return joined.select("node", "text").mapInArrow(whole, "node long, n long, registers binary, bands binary, hashes binary").dropDuplicates(["node"])
 
 
 def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers_b: pd.Series) -> pd.DataFrame:
@@ -166,13 +165,15 @@ def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers
     return pd.DataFrame({"overlap": overlap, "possible": possible})
 
 
+def similar(a: bytes, b: bytes) -> bool:
+    """Whether two full sets reach the threshold."""
+    left, right = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return 100 * both >= PERCENT * (len(left) + len(right) - both)
+
+
 def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for x, y in zip(a, b):
-        left, right = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        both = len(np.intersect1d(left, right, assume_unique=True))
-        out.append(100 * both >= PERCENT * (len(left) + len(right) - both))
-    return pd.Series(out, dtype=bool)
+    return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
 
 
 def _sized(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -238,39 +239,42 @@ def _open_bands(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.join(open_, "band")
 
 
-def _block_pairs(members: DataFrame, sets: DataFrame, most: int | None) -> DataFrame:
-    """(a, b, overlap) between components in one band, compared block by block inside tasks.
+def _block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): verified links between components in one band, found block by block inside tasks.
 
-    ``most`` keeps each member's likeliest pairs in a block only; None keeps all.
+    A pair is looked at in the first band it shares, verified on the full sets if the likelihood
+    does not rule it out, and given back only if nothing in its block links its components already.
+    So a block gives fewer rows than it has members, and leaves no link out.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     keyed = members.select("band", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     keyed = keyed.select(
         "band", "node", "root", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    ).join(sets.select("node", "n", "registers"), "node")
+    ).join(sets, "node")
 
-    def compared(group: pd.DataFrame, low: int, high: int) -> list[tuple]:
+    def compared(group: pd.DataFrame, band: int, low: int, high: int) -> list[tuple]:
         values = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(-1, REGISTERS)
-        node, root, n, own_ = (group[c].to_numpy() for c in ("node", "root", "n", "own"))
+        bands = np.frombuffer(b"".join(group["bands"]), np.int64).reshape(-1, BANDS)
+        node, n, own_ = (group[c].to_numpy() for c in ("node", "n", "own"))
+        hashes = group["hashes"].to_list()
+        root = group["root"].to_numpy().copy()
         rows = []
         for i in range(len(node)):
-            mask = (root != root[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i]))
+            mask = (root != root[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])) & (node > node[i])
             if low != high:
                 mask &= own_ != own_[i]
-            if most is None:  # from one side only
-                mask &= node > node[i]
             others = np.flatnonzero(mask)
-            if len(others):
-                equal = (values[others] == values[i]).sum(axis=1)
-                more = (values[i] > values[others]).sum(axis=1)
-                overlap, possible = likely(equal, more, np.full(len(others), float(n[i])), n[others].astype(float))
-                kept = np.flatnonzero(possible)
-                if most is not None and len(kept) > most:
-                    kept = kept[np.argsort(-overlap[kept], kind="stable")[:most]]
-                for k in kept:
-                    x, y = int(node[i]), int(node[others[k]])
-                    rows.append((min(x, y), max(x, y), float(overlap[k])))
+            others = others[bands[i, (bands[others] == bands[i]).argmax(axis=1)] == band]
+            if not len(others):
+                continue
+            equal, more = (values[others] == values[i]).sum(axis=1), (values[i] > values[others]).sum(axis=1)
+            overlap, possible = likely(equal, more, np.full(len(others), float(n[i])), n[others].astype(float))
+            for k in np.argsort(-overlap, kind="stable"):
+                j = others[k]
+                if possible[k] and root[j] != root[i] and similar(hashes[i], hashes[j]):
+                    rows.append((int(node[i]), int(node[j])))
+                    root[root == root[j]] = root[i]
         return rows
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -279,10 +283,10 @@ def _block_pairs(members: DataFrame, sets: DataFrame, most: int | None) -> DataF
 
         def done(frame: pd.DataFrame) -> pd.DataFrame:
             rows = []
-            for (_, low, high), group in frame.groupby(keys, sort=False):
+            for (band, low, high), group in frame.groupby(keys, sort=False):
                 if len(group) > 1 and group["root"].nunique() > 1:
-                    rows += compared(group, low, high)
-            return pd.DataFrame(rows, columns=["a", "b", "overlap"])
+                    rows += compared(group, band, low, high)
+            return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
 
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -295,7 +299,7 @@ def _block_pairs(members: DataFrame, sets: DataFrame, most: int | None) -> DataF
             yield done(held)
 
     dealt = keyed.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return dealt.mapInPandas(stream, "a long, b long, overlap double").groupBy("a", "b").agg(F.max("overlap").alias("overlap"))
+    return dealt.mapInPandas(stream, "a long, b long")
 
 
 def _best(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -328,12 +332,9 @@ def linked_classes(docs: DataFrame, members: DataFrame, classes: DataFrame) -> D
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
         settle(stored(_best(stored(estimate(pairs, sets), "star-pairs"), roots), "best-pairs"))
-    for most in BLOCK_ROUNDS:
-        opened = stored(_open_bands(members, roots), "opened")
-        if opened.isEmpty():
-            break
-        pairs = _block_pairs(opened, sets, most).select("a", "b").join(failed, ["a", "b"], "left_anti")
-        settle(stored(pairs, "block-pairs"))
+    more = stored(_block_links(_open_bands(members, roots), sets), "block-links")
+    if not more.isEmpty():
+        roots = components(more if links is None else links.union(more))
     return roots
 
 
