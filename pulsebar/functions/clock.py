@@ -15,7 +15,7 @@ from pulsebar.layout import BUCKET_SECONDS, KEYS_PER_SECOND
 
 DAY_SECONDS = 86_400
 _EPOCH = datetime(1970, 1, 1)
-_FIRST, _LAST = (int((end - _EPOCH).total_seconds()) for end in (datetime.min, datetime.max))
+_FIRST, _LAST = (int((end - _EPOCH).total_seconds()) for end in (datetime.min, datetime(9999, 12, 31, 23, 59, 59)))
 # Date-time text as the feeds write it; one-digit parts are accepted. Years end
 # where a date, or the same date in another zone, would no longer fit four digits.
 _CIVIL_TEXT = r"^[1-8]\d{3}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
