@@ -4,12 +4,13 @@ Fixed patterns with checks (email, ip, card, phone) give the base spans. They re
 the left, so a card right after a phone number, or an address with spaces, escapes them. High-recall
 generators therefore propose further spans, overlapping ones too. Boosted trees (Spark ML) judge
 them by format and context; they are trained on base spans against the same spans with their
-format broken. The held-out part of the sample gives each kind the lowest threshold that keeps
-``precision``; a kind that reaches it nowhere adds nothing. Base spans always stay, and a
-candidate that meets one is not added.
+format broken. All base spans of the table and their broken forms, scored by the trees, give each
+kind the lowest threshold that keeps ``precision``; a kind that reaches it nowhere adds nothing.
+Base spans always stay, and a candidate that meets one is not added.
 
-Training takes at most ``most_rows`` spans (the smallest hashes); thresholds are counted from
-them, while candidates come from all texts.
+Only the trees are fitted on a sample: three quarters of at most ``most_rows`` spans a kind (the smallest
+hashes), so that many spans of one kind don't crowd out a rare one. Spans that share kind, text and
+surroundings count once.
 
 Defined cases: null and empty texts have no spans; repeated rows are reported each; without base
 spans no model is trained and nothing is added; an empty table gives none. Places are code points.
@@ -17,6 +18,8 @@ spans no model is trained and nothing is added; an empty table gives none. Place
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -148,22 +151,25 @@ def _with_features(rows: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="x", handleInvalid="keep").transform(rows).drop(*names)
 
 
+def _examples(spans: DataFrame) -> DataFrame:
+    """Each span as it is (``y`` 1) and with its format broken (0)."""
+    both = spans.select("*", F.explode(F.array(F.lit(1.0), F.lit(0.0))).alias("y"))
+    return both.withColumn("span", F.when(F.col("y") == 1, F.col("span")).otherwise(broken(F.col("kind"), F.col("span"))))
+
+
 def fit(base: DataFrame, most_rows: int = MOST_ROWS, precision: float = PRECISION):
     """The trees and each kind's threshold; None without examples."""
-    sample = base.select("kind", "span", "before", "after").distinct().orderBy(
-        F.xxhash64("span", "before", "after"), "span", "before", "after", "kind"
-    ).limit(most_rows)
-    both = sample.select("*", F.explode(F.array(F.lit(1.0), F.lit(0.0))).alias("y"))
-    both = both.withColumn("span", F.when(F.col("y") == 1, F.col("span")).otherwise(broken(F.col("kind"), F.col("span"))))
-    both = both.withColumn("held", F.pmod(F.xxhash64("span"), F.lit(4)) == 0)
-    examples = stored(_with_features(both).select("kind", "x", "y", "held"), "pii-examples")
-    learn = examples.where("NOT held")
+    every = stored(base.select("kind", "span", "before", "after").distinct(), "distinct-spans")
+    order = F.xxhash64("span", "before", "after"), "span", "before", "after"
+    samples = [every.where(F.col("kind") == kind).orderBy(*order).limit(most_rows) for kind in range(len(KINDS))]
+    examples = _examples(reduce(DataFrame.unionByName, samples)).where(F.pmod(F.xxhash64("span"), F.lit(4)) != 0)
+    learn = stored(_with_features(examples).select("x", "y"), "pii-examples")
     if learn.select("y").distinct().count() < 2:
         return None
     model = GBTClassifier(
         featuresCol="x", labelCol="y", maxDepth=3, maxIter=8, stepSize=0.3, maxBins=32, checkpointInterval=-1, seed=7
     ).fit(learn.coalesce(2))
-    tested = judged(model, examples.where("held")).withColumn("score", F.floor(F.col("score") * 50) / 50)
+    tested = judged(model, _with_features(_examples(every))).withColumn("score", F.floor(F.col("score") * 50) / 50)
     above = Window.partitionBy("kind").orderBy(F.desc("score"))
     counts = tested.groupBy("kind", "score").agg(F.sum("y").alias("right"), F.count("*").alias("all"))  # 51 rows a kind at most
     sums = counts.select("kind", "score", (F.sum("right").over(above) / F.sum("all").over(above)).alias("precision"))

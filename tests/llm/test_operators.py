@@ -136,6 +136,19 @@ def test_added_spans(spark, small):
     assert text == "call [phone] [card] now"
 
 
+def test_rare_kinds_get_thresholds(spark, small):
+    """Emails far beyond the training sample don't take the other kinds' thresholds away."""
+    docs = common.table(spark, small, "documents").select("doc_id", "text")
+    merged = "call +1 (314) 555-6532 4663622617512349 now"
+    more = docs.union(spark.createDataFrame([(10**9, merged)], "doc_id long, text string"))
+    mails = spark.range(20_000).select(F.col("id").alias("doc_id"), F.format_string("write to name%d@host%d.org today", "id", "id").alias("text"))
+    found = pii.find_personal_data(more.union(mails), most_rows=60)
+    spans = found.where("doc_id = 1000000000").first()["spans"]
+    assert {merged[s.start : s.end] for s in spans if not s.base} >= {"4663622617512349", "+1 (314) 555-6532"}
+    base = pii.placed(pii.proposals(more.union(mails))).where("base").where(pii.passes(F.col("kind"), F.col("span")))
+    assert set(pii.fit(base, most_rows=60)[1]) == {0, 1, 2, 3}
+
+
 def test_packing(spark, small, odd, empty):
     from tokenizers import Tokenizer
 
