@@ -93,10 +93,12 @@ def _found(text: Column, kind: int, base: bool) -> Column:
 
 
 def proposals(docs: DataFrame) -> DataFrame:
-    """row, doc_id and every match of the patterns and generators in the whole text."""
+    """row, doc_id, text_sha256 and every match of the patterns and generators in the whole text."""
     read = docs.select("doc_id", text_of().alias("text"))
     every = [_found(F.col("text"), kind, base) for base in (True, False) for kind in range(len(KINDS))]
-    return read.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.concat(*every).alias("found"))
+    return read.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2("text", 256).alias("text_sha256"), F.concat(*every).alias("found")
+    )
 
 
 def placed(proposed: DataFrame) -> DataFrame:
@@ -183,7 +185,7 @@ def judged(model, rows: DataFrame) -> DataFrame:
 
 
 def find_personal_data(docs: DataFrame, most_rows: int = MOST_ROWS, precision: float = PRECISION) -> DataFrame:
-    """doc_id and ``spans``: (kind, start, end, base) by kind, start and end."""
+    """doc_id, text_sha256 and ``spans``: (kind, start, end, base) by kind, start and end."""
     proposed = stored(proposals(docs), "proposals")
     spans = placed(proposed)
     base = stored(spans.where("base").where(passes(F.col("kind"), F.col("span"))), "base-spans")
@@ -202,17 +204,34 @@ def find_personal_data(docs: DataFrame, most_rows: int = MOST_ROWS, precision: f
         found = both.withColumn("clear", clear).where("base OR clear").drop("clear")
     listed = found.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("kind", "start", "end", "base"))).alias("spans"))
     empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,base:boolean>>")
-    return proposed.select("row", "doc_id").join(listed, "row", "left").select("doc_id", F.coalesce("spans", empty).alias("spans"))
+    rows = proposed.select("row", "doc_id", "text_sha256").join(listed, "row", "left")
+    return rows.select("doc_id", "text_sha256", F.coalesce("spans", empty).alias("spans"))
 
 
 def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """The documents (unique doc_id) with each span's characters replaced by its kind."""
-    ordered = F.reverse(F.array_sort(F.transform("spans", lambda s: F.struct(s.start.alias("start"), s.end.alias("end"), s.kind.alias("kind")))))
+    """The documents that ``spans`` has, their spans' characters replaced by the kind.
+
+    Spans that overlap are replaced as one, by the kind of the first and longest. Documents meet their
+    spans by doc_id (null too) and text; rows that repeat both have the same spans and stay as many.
+    """
+    order = F.array_sort(F.transform("spans", lambda s: F.struct(s.start.alias("start"), (-s.end).alias("back"), s.kind.alias("kind"))))
     names = F.array(*[F.lit(f"[{name}]") for name in KINDS])
-    step = F.aggregate(
-        ordered, F.struct(F.col("text").alias("text"), F.lit(2**40).alias("limit")),
-        lambda a, s: F.when(s.end > a.limit, a).otherwise(F.struct(
-            F.concat(F.substring(a.text, F.lit(1), s.start.cast("int")), F.get(names, s.kind), F.substring(a.text, (s.end + 1).cast("int"), F.char_length(a.text))).alias("text"),
-            s.start.alias("limit"))),
+    text = F.col("doc.text")
+
+    def step(a: Column, s: Column) -> Column:
+        kept = F.substring(text, (a["until"] + 1).cast("int"), (s["start"] - a["until"]).cast("int"))
+        longer = F.struct(a["out"].alias("out"), F.greatest(a["until"], -s["back"]).alias("until"))
+        further = F.struct(F.concat(a["out"], kept, F.get(names, s["kind"])).alias("out"), (-s["back"]).alias("until"))
+        return F.when(s["start"] < a["until"], longer).otherwise(further)
+
+    begun = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("until"))
+    redacted = F.aggregate(
+        order, begun, step, lambda a: F.concat(a["out"], F.substring(text, (a["until"] + 1).cast("int"), F.char_length(text)))
+    )
+    keyed = spans.select(F.col("doc_id").alias("of_id"), F.col("text_sha256").alias("of_text"), "spans")
+    keyed = stored(keyed.dropDuplicates(["of_id", "of_text"]), "redact-spans")
+    given = docs.select(F.struct("*").alias("doc"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("of_id")) & (F.sha2(F.coalesce("doc.text", F.lit("")), 256) == F.col("of_text"))
+    return given.join(keyed, same).select(
+        *[redacted.alias("text") if name == "text" else F.col(f"doc.`{name}`") for name in docs.columns]
     )
-    return docs.join(spans.select("doc_id", "spans"), "doc_id").withColumn("text", step.text).drop("spans")

@@ -149,6 +149,18 @@ def test_rare_kinds_get_thresholds(spark, small):
     assert set(pii.fit(base, most_rows=60)[1]) == {0, 1, 2, 3}
 
 
+def test_redaction_of_overlaps_and_repeats(spark, odd):
+    """Overlapping spans go whole; rows with null or repeated doc_ids stay as many, each with its own spans."""
+    rows = [(1, "bob@10.0.0.1"), (2, "john+12345678901@example.com!"), (None, "x a@b.co"), (None, None), (None, "😀 10.0.0.1, a@b.co"),
+            (3, "a@b.co"), (3, "plain 1.2.3.4"), (3, "a@b.co"), (3, None), (4, "a@b.co 1.2.3.4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = [(1, "[email]"), (2, "[email]!"), (None, "x [email]"), (None, None), (None, "😀 [ip], [email]"),
+            (3, "[email]"), (3, "plain [ip]"), (3, "[email]"), (3, None), (4, "[email] [ip]")]
+    same(pii.redact(docs, pii.find_personal_data(docs)), want)
+    done = pii.redact(odd, pii.find_personal_data(odd))
+    assert done.columns == odd.columns and done.count() == odd.count()
+
+
 def test_packing(spark, small, odd, empty):
     from tokenizers import Tokenizer
 
