@@ -50,6 +50,8 @@ PROPOSED = {
     "phone": r"(?<![0-9])\+?(?:[0-9]{1,3}[\x20.-]?)?\(?[0-9]{2,4}\)?[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}(?![0-9])",
 }
 _NEEDED = {"email": "@|\\(at\\)|\\[at\\]", "ip": "[0-9]\\x20?\\[?\\.", "card": "[0-9][\\x20.-]?[0-9]", "phone": "[0-9][\\x20.-]?[0-9]"}
+#: What each base pattern implies; a base phone needs no two digits near each other.
+_NEEDED_BASE = _NEEDED | {"phone": "\\+[0-9]"}
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _PROPOSAL = "array<struct<kind:int,base:boolean,nth:int,gap:int,span:string,before:string,after:string>>"
 
@@ -89,7 +91,7 @@ def _found(text: Column, kind: int, base: bool) -> Column:
         )
 
     spans = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), one).cast(_PROPOSAL)
-    return F.when(text.rlike(_NEEDED[KINDS[kind]]), spans).otherwise(F.array().cast(_PROPOSAL))
+    return F.when(text.rlike((_NEEDED_BASE if base else _NEEDED)[KINDS[kind]]), spans).otherwise(F.array().cast(_PROPOSAL))
 
 
 def proposals(docs: DataFrame) -> DataFrame:

@@ -136,6 +136,14 @@ def test_added_spans(spark, small):
     assert text == "call [phone] [card] now"
 
 
+def test_base_phones_with_lone_digits(spark):
+    texts = ["+1(2)3(4)5(6)7(8)", "call +1  2  3  4  5  6  7  8 now", "+1--2--3--4--5--6--7--8--9", "+1(2)3(4)5(6)7"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = _base(pii.find_personal_data(docs))
+    same(found, brute.personal(pairs(docs)))
+    assert sorted(tuple(r)[4] for r in found.collect()) == [0, 1, 1, 1]
+
+
 def test_rare_kinds_get_thresholds(spark, small):
     """Emails far beyond the training sample don't take the other kinds' thresholds away."""
     docs = common.table(spark, small, "documents").select("doc_id", "text")
