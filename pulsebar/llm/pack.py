@@ -6,13 +6,15 @@ length form a bucket, and each piece is a sequence of its own, so none crosses d
 is padded. Nothing is shuffled.
 
 Defined cases: a null or empty text has the end id alone, one piece of length 1; repeated rows are
-packed each; an empty table gives none.
+packed each; an empty table gives none; a run of blanks too long for tiktoken's pattern engine (about
+a million) is encoded by tokenizers, from the .json vocabulary beside the ranks.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,7 @@ def encoder(ranks_path: str, pattern: str, end_of_text: int):
     precedes one, so runs between single spaces are encoded one by one and remembered.
     """
     import tiktoken
+    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -55,8 +58,16 @@ def encoder(ranks_path: str, pattern: str, end_of_text: int):
         "packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": end_of_text}
     )
 
+    @cache
+    def slower() -> Tokenizer:
+        return Tokenizer.from_file(f"{ranks_path.removesuffix('.tiktoken')}.json")
+
     def whole(text: str) -> bytes:
-        return np.asarray(coding.encode(text, allowed_special="all"), dtype="<u4").tobytes()
+        try:
+            ids = coding.encode(text, allowed_special="all")
+        except ValueError:  # the pattern's stack is used up by a long run of blanks
+            ids = slower().encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, dtype="<u4").tobytes()
 
     pieces = _Pieces(whole)
 

@@ -190,6 +190,16 @@ def test_packing(spark, small, odd, empty):
     assert twice.select("sequence_id").distinct().count() == twice.count() > 1
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a b\n" + "\n" * 2_000_000 + "c <|endoftext|> d", "\r\n" * 1_000_000 + " x"])
+def test_packing_of_long_blank_runs(spark, text):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = pack.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).orderBy("start").collect()
+    assert np.frombuffer(b"".join(r.ids for r in rows), "<u4").tolist() == coder.encode(text, add_special_tokens=False).ids + [1]
+
+
 def test_lengths():
     assert pack.lengths(0) == [] and pack.lengths(1) == [1] and pack.lengths(4096) == [2048, 2048]
     assert pack.lengths(2048 + 7) == [2048, 4, 2, 1]
