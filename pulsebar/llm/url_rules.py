@@ -1,9 +1,11 @@
 """URL filters by association rules.
 
-Curated rules (host, path) decide first. For the other pages, FP-growth mines the combinations of
-URL tokens that go with a low-quality label among the labelled pages; the rules that keep enough
-support and confidence, and of which no part does as well, are held in an inverted index under
-their rarest token, and a page with all tokens of a rule is blocked.
+Curated rules (host, path) decide first. For the other pages, rules are mined from the labelled pages:
+single URL tokens are all counted, however rare, and FP-growth finds the combinations of more tokens that
+have enough support. A rule needs ``LEAST`` pages with a low-quality label, and the lower end of its
+confidence's Wilson interval must reach ``confidence``, so few pages prove nothing and the size of the table
+plays no part. Rules of which no part does as well are held in an inverted index under their rarest token,
+and a page with all tokens of a rule is blocked.
 
 Mining runs on Spark over every labelled page, and the index has a row for each mined rule; its size
 is measured, not assumed, before Spark picks a join.
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 from pulsebar.llm.common import ascii_lower, stored
 
 BAD = "#low"
+LEAST = 5
+#: Of the normal distribution: a two-sided interval of 95 %.
+Z = 1.96
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -61,6 +66,12 @@ def curated(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return rule, verdict
 
 
+def surely(hits: Column, uses: Column) -> Column:
+    """The lower end of the Wilson interval of hits / uses."""
+    share, z2 = hits / uses, Z * Z
+    return (share + z2 / (2 * uses) - Z * F.sqrt(share * (1 - share) / uses + z2 / (4 * uses * uses))) / (1 + z2 / uses)
+
+
 def mine(pages: DataFrame, labels: DataFrame, support: float, confidence: float) -> DataFrame:
     """(antecedent, confidence, support) of pruned rules that end in a low-quality label."""
     known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -68,13 +79,21 @@ def mine(pages: DataFrame, labels: DataFrame, support: float, confidence: float)
         F.when(F.col("quality") == 0, F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")
     )
     baskets = stored(baskets.where(F.size("items") > 0), "baskets")
-    if baskets.isEmpty():
+    total = baskets.count()
+    if total == 0:
         return pages.sparkSession.createDataFrame([], "antecedent array<string>, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
-        F.array_sort("antecedent").alias("antecedent"), "confidence", "support"
+    # Half a page less keeps rounding from asking for one more.
+    model = FPGrowth(itemsCol="items", minSupport=max(support, min(1.0, (LEAST - 0.5) / total)), minConfidence=confidence).fit(baskets)
+    several = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") > 1)).select(
+        F.array_sort("antecedent").alias("antecedent"), F.round(F.col("support") * total).alias("hits"),
+        F.round(F.col("support") * total / F.col("confidence")).alias("uses"),
+    )
+    single = baskets.select(F.explode("items").alias("token"), F.array_contains("items", BAD).cast("double").alias("low"))
+    single = single.where(F.col("token") != BAD).groupBy(F.array("token").alias("antecedent")).agg(
+        F.sum("low").alias("hits"), F.count("*").cast("double").alias("uses")
     )
-    rules = stored(found, "rules")
+    proven = single.unionByName(several).where((F.col("hits") >= LEAST) & (surely(F.col("hits"), F.col("uses")) >= confidence))
+    rules = stored(proven.select("antecedent", (F.col("hits") / F.col("uses")).alias("confidence"), (F.col("hits") / total).alias("support")), "rules")
     # A rule goes if a part of it is at least as sure; parts are found under each of their tokens.
     wider = rules.select(F.col("antecedent").alias("part"), F.col("confidence").alias("sure"), F.col("antecedent")[0].alias("token"))
     longer = rules.withColumn("token", F.explode("antecedent"))

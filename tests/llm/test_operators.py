@@ -286,6 +286,20 @@ def test_mined_rules_block(spark):
     assert all(rows[k] == ("block" if k % 8 == 0 else "allow") for k in range(400))
 
 
+def test_rules_need_proof_and_not_a_share(spark):
+    """Two low pages of one host prove nothing; twelve do, though they are under 0.2 % of a larger table."""
+    schema = "page_id long, url string"
+    few = [(k, f"http://{'chance' if k < 2 else f'n{k % 7}'}.example.io/x/{k}") for k in range(400)]
+    labels = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 12, 0).otherwise(1).alias("quality"))
+    some = labels.withColumn("quality", F.when(F.col("doc_id") < 2, 0).otherwise(1))
+    rows = url_rules.judge(spark.createDataFrame(few, schema), some, []).collect()
+    assert {r.verdict for r in rows} == {"allow"}
+    host = F.when(F.col("id") < 12, "spam").otherwise(F.concat(F.lit("n"), (F.col("id") % 7).cast("string")))
+    many = spark.range(20_000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), host, F.lit(".example.io/x/"), F.col("id").cast("string")).alias("url"))
+    done = url_rules.judge(many.repartition(5), labels, [])
+    assert {r.page_id for r in done.where("verdict = 'block'").collect()} == set(range(12))
+
+
 def test_near_groups_on_table(spark, small):
     docs = common.table(spark, small, "documents")
     want = brute.near(pairs(docs))
