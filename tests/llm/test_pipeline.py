@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -42,6 +43,17 @@ def test_run(spark, items):
     assert all(len(got[i]) == 4 * len(want[i]) for i in want)
 
 
+def test_run_packs_the_ids(spark, items):
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    left = expected(spark, common.table(spark, SMALL, "documents"), items)
+    want = {i: coder.encode(t or "", add_special_tokens=False).ids + [1] for i, t in left}
+    packed = corpus_pipeline.run(spark, SMALL).toPandas().sort_values(["doc_id", "start"])
+    got = {i: np.frombuffer(b"".join(one["ids"]), "<u4").tolist() for i, one in packed.groupby("doc_id")}
+    assert got == want
+
+
 def test_stages_return_documents(spark):
     docs = common.table(spark, SMALL, "documents").withColumn("kept", F.lit("clash")).withColumn("text_hash", F.lit(1))
     odd = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).union(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
