@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,33 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LONGEST, END_ID = 2048, 1
-_CACHED = 200_000
 _BATCH_BYTES = 8 << 20
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
-class _Pieces(dict):
-    """Little-endian ids of a run between spaces, with the space before it."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, run: str) -> bytes:
-        ids = self.encode(" " + run)
-        if len(self) >= _CACHED:
-            self.clear()
-        if len(run) <= 64:
-            self[run] = ids
-        return ids
-
-
 def encoder(ranks_path: str, pattern: str, end_of_text: int):
-    """text -> little-endian unsigned 32-bit ids, by a byte-level BPE vocabulary.
-
-    The vocabulary never joins anything across a space that follows another character and
-    precedes one, so runs between single spaces are encoded one by one and remembered.
-    """
+    """text -> array of unsigned 32-bit ids, by a byte-level BPE vocabulary."""
     import tiktoken
     from tokenizers import Tokenizer
 
@@ -62,20 +42,11 @@ def encoder(ranks_path: str, pattern: str, end_of_text: int):
     def slower() -> Tokenizer:
         return Tokenizer.from_file(f"{ranks_path.removesuffix('.tiktoken')}.json")
 
-    def whole(text: str) -> bytes:
+    def encode(text: str) -> np.ndarray:
         try:
-            ids = coding.encode(text, allowed_special="all")
+            return coding.encode_to_numpy(text, allowed_special="all")
         except ValueError:  # the pattern's stack is used up by a long run of blanks
-            ids = slower().encode(text, add_special_tokens=False).ids
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    pieces = _Pieces(whole)
-
-    def encode(text: str) -> bytes:
-        if "  " in text:
-            return whole(text)
-        first, *rest = text.split(" ")
-        return whole(first) + b"".join(map(pieces.__getitem__, rest))
+            return np.asarray(slower().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode
 
@@ -94,35 +65,39 @@ def pieces(
     if longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
 
+    def batch(doc_ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
+        """Pieces of some documents. The ids stay in one buffer; pieces are offsets into it."""
+        tokens = np.asarray([len(ids) for ids in held], dtype=np.int64)
+        sizes = [lengths(n, longest) for n in tokens.tolist()]
+        counts = np.asarray([len(s) for s in sizes], dtype=np.int64)
+        length = np.fromiter(chain.from_iterable(sizes), np.int64, counts.sum())
+        stop = np.cumsum(length)
+        start = stop - length - np.repeat(np.cumsum(tokens) - tokens, counts)
+        offsets = np.concatenate([[0], 4 * stop]).astype(np.int32)
+        ids = np.concatenate(held).astype("<u4", copy=False)
+        binary = pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+        of_doc = pa.array(np.repeat(np.arange(len(held)), counts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()).take(of_doc), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+             binary, pa.array(np.repeat(tokens, counts))],
+            names=["doc_id", "start", "length", "ids", "doc_tokens"],
+        )
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks_path, pattern, end_of_text)
-        end = np.asarray([end_id], dtype="<u4").tobytes()
-        schema = pa.schema([
-            ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-            ("ids", pa.binary()), ("doc_tokens", pa.int64()),
-        ])
-        rows: list[tuple] = []
-        held = 0
-
-        def batch() -> pa.RecordBatch:
-            columns = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-            )
-
+        end = np.asarray([end_id], dtype=np.uint32)
+        doc_ids, held, size = [], [], 0
         for given in batches:
             for doc_id, text in zip(given.column(0).to_pylist(), given.column(1)):
-                ids = encode(text.as_py() or "") + end
-                tokens, start = len(ids) // 4, 0
-                for length in lengths(tokens, longest):
-                    rows.append((doc_id, start, length, ids[4 * start : 4 * (start + length)], tokens))
-                    start += length
-                held += len(ids)
-                if held > _BATCH_BYTES:
-                    yield batch()
-                    rows, held = [], 0
-        if rows:
-            yield batch()
+                ids = np.concatenate([encode(text.as_py() or ""), end])
+                doc_ids.append(doc_id)
+                held.append(ids)
+                size += ids.nbytes
+                if size > _BATCH_BYTES:
+                    yield batch(doc_ids, held)
+                    doc_ids, held, size = [], [], 0
+        if held:
+            yield batch(doc_ids, held)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, _SCHEMA)
 
