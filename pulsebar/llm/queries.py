@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and SQL for those it can express."""
+"""The registered queries of the operators, and SQL for those it can express."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsebar.llm import chat, decontaminate, exact_dedup, line_dedup, near_dedup, pack, pii, quality, shards, url_rules
+from pulsebar.llm import chat, decontaminate, exact_dedup, line_dedup, near_dedup, pack, pii, quality, shards, trie, url_rules
 from pulsebar.llm.common import table
 
 #: Curated rules: verdict, host, start of the path.
@@ -99,11 +99,15 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_decontamination, op3_personal_data, op4_packing, op5_chat,
-        op6_line_dedup, op7_quality, op8_url_filter, op9_near_dedup, op10_shards,
+        op6_line_dedup, op7_quality, op8_url_filter, op9_near_dedup, op10_shards, op11_prefix_trie,
     )
 }
 
@@ -196,4 +200,46 @@ ORACLES = {
                reach.doc_id = min(other) AS kept
         FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
     """,
+    "op11_prefix_trie": r"""
+        WITH r AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            -- CRC-32 of the decimal id, byte by byte and bit by bit
+            SELECT conv_id, conv_id - conv_id % 20 AS source, xor(list_reduce(
+                       list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                       lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                                lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 AS h
+            FROM (SELECT DISTINCT conv_id FROM r)
+        ), t AS (
+            SELECT c.conv_id, 0 AS own, r.place, role, text FROM c JOIN r ON r.conv_id = c.source AND r.place < c.h
+            UNION ALL SELECT c.conv_id, 1, r.place, role, text FROM c JOIN r ON r.conv_id = c.conv_id AND r.place >= c.h
+        ), d AS (
+            SELECT conv_id, row_number() OVER w AS depth, text,
+                   sha256(string_agg(sha256(length(role) || ':' || role || text), ',') OVER w) AS node,
+                   count(*) OVER (PARTITION BY conv_id) AS length
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)
+        ), m AS (
+            SELECT conv_id, depth, node, text, length FROM d
+            UNION ALL SELECT conv_id, 0, 'root', '', (SELECT count(*) FROM t WHERE t.conv_id = c.conv_id) FROM c
+        ), n AS (
+            SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * len(regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+')) AS saved,
+                   sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends
+            FROM m GROUP BY 1, 2
+        ), p AS (
+            SELECT n.*, up.conv_id AS parent_conv_id, up.depth AS up_depth, up.node AS up_node
+            FROM n LEFT JOIN m ON m.conv_id = n.conv_id AND m.depth = n.depth - 1
+            LEFT JOIN n up ON up.depth = m.depth AND up.node = m.node
+        ), k AS (SELECT up_depth AS depth, up_node AS node, count(*) AS n_children FROM p WHERE up_node IS NOT NULL GROUP BY 1, 2),
+        s AS (
+            SELECT m.depth, m.node, sum(n.saved) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+            FROM n JOIN m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+            LEFT JOIN k ON k.depth = n.depth AND k.node = n.node GROUP BY 1, 2
+        )
+        SELECT p.conv_id, p.depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+               CAST(saved_tokens AS BIGINT) AS saved_tokens, ends AS ends_sha256
+        FROM p JOIN s ON s.depth = p.depth AND s.node = p.node LEFT JOIN k ON k.depth = p.depth AND k.node = p.node
+    """,
 }
