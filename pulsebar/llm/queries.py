@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsebar.llm import chat, decontaminate, exact_dedup, line_dedup, near_dedup, pack, pii, quality, shards, trie, url_rules
+from pulsebar.llm import (
+    chat, decontaminate, exact_dedup, line_dedup, near_dedup, neighbours, pack, phrases, pii, quality, shards, trie, url_rules,
+)
 from pulsebar.llm.common import table
 
 #: Curated rules: verdict, host, start of the path.
@@ -103,11 +105,20 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_decontamination, op3_personal_data, op4_packing, op5_chat,
         op6_line_dedup, op7_quality, op8_url_filter, op9_near_dedup, op10_shards, op11_prefix_trie,
+        op12_nearest, op13_collocations,
     )
 }
 
@@ -242,4 +253,35 @@ ORACLES = {
                CAST(saved_tokens AS BIGINT) AS saved_tokens, ends AS ends_sha256
         FROM p JOIN s ON s.depth = p.depth AND s.node = p.node LEFT JOIN k ON k.depth = p.depth AND k.node = p.node
     """,
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (
+            SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda k: array_to_string(w[k : k + size - 1], ' '))) AS phrase
+            FROM w, (SELECT unnest([1, 2, 3]) AS size) WHERE len(w) >= size
+        ), f AS (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+        cut AS (
+            SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
+                   (CAST(1000000 AS HUGEINT) * a * a) // (CAST(l.f AS HUGEINT) * r.f) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM c) c
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : k], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1 :], ' ')
+        ), scored AS (
+            SELECT lang, phrase, a, arg_min(l, score * 4 + k) AS l, arg_min(r, score * 4 + k) AS r, min(score) AS score
+            FROM cut GROUP BY lang, phrase, a
+        ), longer AS (
+            SELECT lang, phrase, max(a) AS longest
+            FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE size = 3) GROUP BY ALL
+        ), kept AS (
+            SELECT s.* FROM scored s LEFT JOIN longer USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 50 * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+               CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+    """,
 }
