@@ -5,8 +5,11 @@
     backfill FEED      land a feed's old messages
     rollup SERIES      put bucket values over landed rows
     live SERIES        put bucket values from the messages as they arrive
+    recount SERIES     count the buckets again that landed rows have touched since the last time
     history            write or show calculated buckets
     fold SERIES        fold the many small writes of a live roll-up, day by day
+    compact FEED       pack the small files of landed tables
+    sweep FEED         delete files of landed tables that nothing refers to any more
 """
 
 from __future__ import annotations
@@ -21,14 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 if __package__ in (None, ""):  # run as a file
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pulsebar.layout import BUCKET_SECONDS, FEEDS, KEYWORDS, PAIR, POSTS, TICKS, TRACK_WORDS
+from pulsebar.layout import BUCKET_SECONDS, FEEDS, KEYWORDS, PAIR, TRACK_WORDS
 from pulsebar.operators import parse
 from pulsebar.plans import jobs
-from pulsebar.sources import messages, tables
+from pulsebar.sources import messages, series, tables
 from pulsebar.streaming import landing
 from pulsebar.streaming import rollup as stream_rollup
 
-SERIES = (tables.SOCIAL, tables.PRICE)
+SERIES = (series.SOCIAL, series.PRICE)
 
 
 def _arguments() -> argparse.ArgumentParser:
@@ -50,7 +53,6 @@ def _arguments() -> argparse.ArgumentParser:
     span.add_argument("--stop", type=int, required=True, help="second to stop before")
 
     shape = argparse.ArgumentParser(add_help=False)
-    shape.add_argument("--keep", choices=("matched", "all"), default="matched")
     shape.add_argument("--pair", default=PAIR, help="pair whose price is averaged")
     shape.add_argument("--word", action="append", help="btc=TEXT or bitcoin=TEXT: what a post has to hold")
     shape.add_argument("--width", type=int, default=BUCKET_SECONDS, help="seconds in a bucket")
@@ -72,17 +74,26 @@ def _arguments() -> argparse.ArgumentParser:
     backfill.add_argument("feed", choices=FEEDS)
     backfill.add_argument("--start", type=int, help="land what is later than this second")
     backfill.add_argument("--stop", type=int, help="and not later than this one")
-    backfill.add_argument("--resume", action="store_true", help="go on behind the last offsets seen")
+    backfill.add_argument("--resume", action="store_true", help="land the offsets no job has landed or refused yet")
     rollup = jobs_.add_parser("rollup", parents=[root, span, shape])
     rollup.add_argument("series", choices=SERIES)
     live = jobs_.add_parser("live", parents=[root, source, shape])
     live.add_argument("series", choices=SERIES)
     live.add_argument("--delay", default=stream_rollup.DELAY, help="how late a row may come and still be counted")
     live.add_argument("--once", action="store_true", help="stop when all there is has been read")
+    recount = jobs_.add_parser("recount", parents=[root, shape])
+    recount.add_argument("series", choices=SERIES)
     fold = jobs_.add_parser("fold", parents=[root])
     fold.add_argument("series", choices=SERIES)
+    for upkeep in ("compact", "sweep"):
+        jobs_.add_parser(upkeep, parents=[root]).add_argument("feed", choices=FEEDS)
     history = jobs_.add_parser("history", parents=[root, span])
     history.add_argument("--zone", default="UTC", help="zone of the shown times")
+    history.add_argument("--keep", choices=("matched", "all"), default="matched", help="buckets where every word occurs, or all")
+    history.add_argument("--pair", help="pair whose price is shown, if several are stored")
+    history.add_argument("--word", action="append", help="btc=TEXT or bitcoin=TEXT: whose counts are shown, if several are stored")
+    history.add_argument("--base", type=int, default=BUCKET_SECONDS, help="with --pair or --word: seconds in a stored bucket")
+    history.add_argument("--width", type=int, help="fold buckets into larger ones of so many seconds")
     history.add_argument("--out", help="folder to write all buckets to, as CSV with names")
     history.add_argument("--rows", type=int, default=20, help="rows to preview where nothing is written")
     return parser
@@ -105,6 +116,12 @@ def _words(args: argparse.Namespace) -> dict[str, str]:
     return KEYWORDS | given
 
 
+def _series(args: argparse.Namespace) -> series.Series:
+    if args.series == series.PRICE:
+        return series.price(args.pair, args.width)
+    return series.social(_words(args), args.width)
+
+
 def _produce(args: argparse.Namespace, spark: SparkSession) -> None:
     if not (args.out or args.servers and args.topic):
         raise SystemExit("give --servers and --topic, or --out")
@@ -127,14 +144,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName(f"pulsebar-{args.job}").getOrCreate()
     if args.job == "produce":
         _produce(args, spark)
-    elif args.job == "rollup" and args.series == tables.SOCIAL:
-        jobs.roll_up_social(spark, args.root, args.start, args.stop, _words(args), args.keep, args.width)
     elif args.job == "rollup":
-        jobs.roll_up_price(spark, args.root, args.start, args.stop, args.pair, args.width)
+        series.roll_up(spark, args.root, _series(args), args.start, args.stop)
+    elif args.job == "recount":
+        series.recount(spark, args.root, _series(args))
     elif args.job == "fold":
-        tables.fold_calc(spark, args.root, args.series)
+        for one in series.stored(spark, args.root, args.series):
+            series.fold(spark, args.root, one)
+    elif args.job == "compact":
+        tables.compact(spark, args.root, FEEDS[args.feed])
+    elif args.job == "sweep":
+        tables.sweep(spark, args.root, FEEDS[args.feed])
     elif args.job == "history":
-        shown = jobs.history(spark, args.root, args.start, args.stop, args.zone)
+        counts = series.social(_words(args), args.base) if args.word else None
+        prices = series.price(args.pair, args.base) if args.pair else None
+        shown = jobs.history(spark, args.root, args.start, args.stop, args.zone, counts, prices, args.keep, args.width)
         if args.out:
             shown.write.mode("errorifexists").option("header", True).csv(args.out)
         else:
@@ -150,18 +174,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         if args.job == "land":
             source = quote(args.topic or args.path.rstrip("/").rpartition("/")[2], safe="")
             query = landing.land(new, FEEDS[args.feed], args.root, args.zone, trigger, source)
-        elif args.series == tables.SOCIAL:
-            posts = parse.accepted(parse.parse(new, POSTS, args.zone))
-            query = stream_rollup.publish(
-                stream_rollup.social_stream(posts, _words(args), args.delay, args.width, args.keep),
-                args.root, args.series, trigger,
-            )
         else:
-            ticks = parse.accepted(parse.parse(new, TICKS, args.zone))
-            query = stream_rollup.publish(
-                stream_rollup.price_stream(ticks, args.pair, args.delay, args.width),
-                args.root, args.series, trigger,
-            )
+            of = _series(args)
+            rows = parse.accepted(parse.parse(new, of.feed, args.zone))
+            query = stream_rollup.publish(rows, args.root, of, trigger, args.delay)
         query.awaitTermination()
 
 

@@ -92,3 +92,11 @@ def utc_date(seconds: int) -> date:
     """UTC date of an epoch second, on the driver; the first or last date there is beyond them."""
     seconds = min(max(seconds, _FIRST), _LAST)
     return (_EPOCH + timedelta(seconds=seconds)).date()
+
+
+def days_around(day: date, width: int = BUCKET_SECONDS) -> list[date]:
+    """UTC dates of the buckets that hold a second of a date."""
+    first = (day - _EPOCH.date()).days * DAY_SECONDS
+    last = first + DAY_SECONDS - 1
+    start, stop = utc_date(first - first % width), utc_date(last - last % width + width - 1)
+    return [start + timedelta(days=k) for k in range((stop - start).days + 1)]

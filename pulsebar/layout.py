@@ -107,8 +107,8 @@ REJECT_SCHEMA = (
 )
 #: rows per second and part
 SECOND_SCHEMA = "topic STRING, epoch_s BIGINT, n BIGINT, day DATE, part STRING"
-#: last offset seen of each topic partition
-OFFSET_SCHEMA = "topic STRING, partition INT, last BIGINT, part STRING"
+#: ranges of offsets that were looked at, both ends included
+COVERED_SCHEMA = "topic STRING, partition INT, start BIGINT, stop BIGINT, part STRING"
 
 
 @dataclass(frozen=True)

@@ -16,6 +16,11 @@ from pulsebar.functions.text import mentions
 from pulsebar.layout import BUCKET_SECONDS, KEYWORDS, PAIR, TICK_CELLS, TICK_FAMILY
 
 
+#: columns that add up when buckets are folded
+SOCIAL_PARTS = ("messages", "btc", "bitcoin")
+PRICE_PARTS = ("total", "n")
+
+
 def _bucket(width: int) -> Column:
     return clock.bucket_start(F.col("epoch_s"), width).alias("key")
 
@@ -59,15 +64,28 @@ def matched(counts: DataFrame, keywords: dict[str, str] = KEYWORDS) -> DataFrame
     return counts.where(reduce(lambda a, b: a & b, [F.col(name) > 0 for name in keywords]))
 
 
-def price(
-    ticks: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS, counted: str | None = None
-) -> DataFrame:
-    """Mean last price of a pair per bucket; a price that is no number is left out.
+def price_parts(ticks: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS) -> DataFrame:
+    """What the mean price of a pair is made of, per bucket: ``total`` and ``n`` of the prices that are numbers, and the
+    number of ticks (``counted``). Buckets add up to larger ones."""
+    return ticks.where(F.col("pair") == pair).groupBy(_bucket(width)).agg(
+        F.sum("last").alias("total"), F.count("last").alias("n"), F.count(F.lit(1)).alias("counted")
+    )
 
-    ``counted`` names a column for the number of ticks.
-    """
-    more = [F.count(F.lit(1)).alias(counted)] if counted else []
-    return ticks.where(F.col("pair") == pair).groupBy(_bucket(width)).agg(F.avg("last").alias("last"), *more)
+
+def mean(parts: DataFrame) -> DataFrame:
+    """Mean price per bucket; null where no price was a number."""
+    return parts.select("key", F.when(F.col("n") > 0, F.col("total") / F.col("n")).alias("last"))
+
+
+def merged(parts: DataFrame, columns: list[str], width: int) -> DataFrame:
+    """Buckets folded into buckets of ``width`` seconds, a multiple of theirs."""
+    bucket = clock.bucket_start(F.col("key"), width).alias("key")
+    return parts.groupBy(bucket).agg(*[F.sum(name).alias(name) for name in columns])
+
+
+def price(ticks: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS) -> DataFrame:
+    """Mean last price of a pair per bucket; a price that is no number is left out."""
+    return ticks.where(F.col("pair") == pair).groupBy(_bucket(width)).agg(F.avg("last").alias("last"))
 
 
 def price_from_cells(cells: DataFrame, pair: str = PAIR, width: int = BUCKET_SECONDS) -> DataFrame:

@@ -12,7 +12,7 @@ from pulsebar.layout import CALC_VALUES, CHATS, POSTS, TICKS, Feed
 from pulsebar.operators import calc, cells, parse, rollup, sequence
 from pulsebar.plans import feeds, jobs
 from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, TEXT_WORDS
-from pulsebar.sources import tables
+from pulsebar.sources import series, tables
 from pulsebar.sources.messages import keep, read_messages, stream_messages
 from pulsebar.sources.workdir import new_folder
 from pulsebar.streaming import landing
@@ -110,7 +110,7 @@ def history_local(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calc_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of the calculated table as cells."""
-    stored = tables.read_calc(spark, _rolled_up(spark, sf_dir), *HISTORY)
+    stored = series.read_calc(spark, _rolled_up(spark, sf_dir), *HISTORY)
     return calc.as_cells(stored).where("qualifier <> 'last'")
 
 
@@ -341,25 +341,23 @@ def stream_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("epoch_s", "row_key")
 
 
-def _published(buckets: DataFrame, series: str) -> DataFrame:
-    spark = buckets.sparkSession
-    root = new_folder(spark, f"stream-{series}")
-    stream_rollup.publish(buckets, root, series, landing.CATCH_UP).awaitTermination()
-    return tables.read_calc(spark, root)
+def _published(rows: DataFrame, of: series.Series) -> DataFrame:
+    spark = rows.sparkSession
+    root = new_folder(spark, f"stream-{of.name}")
+    stream_rollup.publish(rows, root, of, landing.CATCH_UP).awaitTermination()
+    return series.read_calc(spark, root)
 
 
 def stream_social(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = feeds.post_messages(feeds.table_stream(spark, sf_dir, "documents"))
     posts = parse.accepted(parse.parse(messages, POSTS))
-    buckets = stream_rollup.social_stream(posts, DOCUMENT_WORDS)
-    return _published(buckets, tables.SOCIAL).drop("last")
+    return _published(posts, series.social(DOCUMENT_WORDS)).drop("last")
 
 
 def stream_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = feeds.tick_messages(feeds.table_stream(spark, sf_dir, "events"))
     ticks = parse.accepted(parse.parse(messages, TICKS))
-    buckets = stream_rollup.price_stream(ticks, EVENT_PAIR)
-    return _rounded(_published(buckets, tables.PRICE).select("key", "last"))
+    return _rounded(_published(ticks, series.price(EVENT_PAIR)).select("key", "last"))
 
 
 QUERIES: dict[str, Query] = {

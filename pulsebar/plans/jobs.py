@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pulsebar.layout import (
-    BUCKET_SECONDS, IDENTITY, KEYWORDS, PAIR, POSTS, TICKS, TRACK_WORDS, TRIGGER_INTERVAL, Feed,
-)
-from pulsebar.operators import calc, parse, rollup, sequence
+from pulsebar.layout import BUCKET_SECONDS, KEYWORDS, PAIR, TRACK_WORDS, TRIGGER_INTERVAL, Feed
+from pulsebar.operators import calc, ledger, parse
 from pulsebar.operators import produce as produce_
-from pulsebar.sources import tables
+from pulsebar.sources import series, tables
 from pulsebar.sources.workdir import new_folder, remove
 
 
@@ -26,71 +24,34 @@ def backfill(
     zone: str = "UTC",
     resume: bool = False,
 ) -> None:
-    """Land the messages with ``start < epoch_s <= stop`` from a replay.
+    """Land the messages with ``start < epoch_s <= stop`` from a replay, in one commit.
 
-    ``resume`` leaves out what stands before the last offset seen of each topic partition,
-    whatever its time. Running it again lands no message twice: one that is there stays, and one
-    that is there with other content is replaced where it lies. Messages are parsed
-    once, into a staged table that goes when the job is done.
+    ``resume`` leaves out the offsets that were landed or refused before, by whichever job, and lands all
+    others: what an earlier range left out, and what lies before offsets a stream has seen. Running a backfill
+    again lands no message twice: one that is there stays, and one that is there with other content is
+    replaced where it lies. Messages are parsed once, into a staged table that goes when the job is done.
     """
     spark = messages.sparkSession
-    tables.fix_zone(spark, root, feed, zone)
+    seen = tables.log_of(spark, root, feed).read()
+    tables.check_zone(seen, feed, zone)
     if resume:
-        seen = tables.read_offsets(spark, root, feed)  # a row a topic partition
-        messages = (
-            messages.join(seen, ["topic", "partition"], "left")
-            .where(F.col("last").isNull() | (F.col("offset") > F.col("last")))
-            .select(*messages.columns)
-        )
+        messages = ledger.outside(messages, tables.read_covered(spark, root, feed))
     parsed = parse.without_read_text(parse.parse(messages, feed, zone))
     wanted = F.lit(True)
     if start is not None:
         wanted &= F.col("epoch_s") > start
     if stop is not None:
         wanted &= F.col("epoch_s") <= stop
-    stage = new_folder(spark, f"backfill-{feed.name}")
+    stage, counted = new_folder(spark, f"backfill-{feed.name}"), Observation()
+    kept = parsed.where(F.col("reason").isNotNull() | wanted)
     try:
-        (
-            parsed.where(F.col("reason").isNotNull() | wanted)
-            .withColumn("good", F.col("reason").isNull())
-            .write.partitionBy("good")
-            .parquet(stage)
-        )
-        staged = spark.read.schema(parsed.schema.add("good", "boolean")).parquet(stage)
-        _land_staged(staged, feed, root)
+        kept.observe(counted, F.count("reason").alias("refused")).write.parquet(stage)
+        staged = spark.read.schema(parsed.schema).parquet(stage)
+        tables.land_parsed(staged, feed, root, zone, counted.get["refused"], replace=True)
     finally:
         remove(spark, stage)
 
 
-def _land_staged(staged: DataFrame, feed: Feed, root: str) -> None:
-    spark, part = staged.sparkSession, tables.backfill_part()
-    tables.write_rejects(parse.rejects(staged.where("NOT good").drop("good"), feed), root, part)
-    good = parse.accepted(staged.where("good").drop("good"))
-    # as many rows as the replay has calendar days
-    days = {row.day for row in good.select("day").distinct().collect()}
-    if not days:
-        tables.write_offsets(staged, root, feed, part)
-        return
-    new, changed = good, None
-    landed = tables.landed_of(spark, root, feed, days)
-    if landed is not None:
-        keys = [*IDENTITY, "day"]
-        content = [name for name in good.columns if name not in keys]
-        # only what identifies a message, and a hash of the rest, meets the landed rows
-        there = landed.select(*keys, F.xxhash64(*content).alias("there"))
-        ours = good.select(*keys, F.xxhash64(*content).alias("ours"))
-        changed = ours.join(there, keys).where("there <> ours").select(*keys)
-        new = good.join(there.select(*keys), keys, "left_anti")
-    counts = new.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
-    tables.write_seconds(counts, root, feed, part)
-    prior = tables.read_seconds(spark, root, feed, days, part)
-    tables.write_rows(sequence.with_row_key(sequence.number_in_second(new, prior=prior)), root, feed, part)
-    # last, as it rewrites files that the steps above read
-    if changed is not None and not changed.isEmpty():
-        tables.replace_rows(good.join(changed, keys, "left_semi"), landed, root, feed)
-    tables.write_offsets(staged, root, feed, part)
-
-
 def produce(
     rows: DataFrame, feed: Feed, put: Callable[[DataFrame], None], checkpoint: str, zone: str = "UTC",
     words: tuple[str, ...] = TRACK_WORDS, trigger: dict | None = None,
@@ -112,42 +73,24 @@ def produce(
     )
 
 
-def whole_buckets(start: int, stop: int, width: int = BUCKET_SECONDS) -> tuple[int, int]:
-    """The range widened to bucket edges: part of a bucket must not be counted
-    as the whole of it."""
-    return start - start % width, stop + -stop % width
-
-
 def roll_up_social(
-    spark: SparkSession,
-    root: str,
-    start: int,
-    stop: int,
-    keywords: dict[str, str] = KEYWORDS,
-    keep: str = "matched",
-    width: int = BUCKET_SECONDS,
+    spark: SparkSession, root: str, start: int, stop: int, keywords: dict[str, str] = KEYWORDS, width: int = BUCKET_SECONDS
 ) -> None:
     """Put post and keyword counts of the buckets of ``[start, stop)``."""
-    posts = tables.scan(spark, root, POSTS, *whole_buckets(start, stop, width))
-    counts = rollup.social(posts, keywords, width, keep)
-    tables.write_calc(counts.withColumn(tables.COUNTED, F.col("messages")), root, tables.SOCIAL)
+    series.roll_up(spark, root, series.social(keywords, width), start, stop)
 
 
 def roll_up_price(
     spark: SparkSession, root: str, start: int, stop: int, pair: str = PAIR, width: int = BUCKET_SECONDS
 ) -> None:
-    """Put mean prices of the buckets of ``[start, stop)``."""
-    ticks = tables.scan(spark, root, TICKS, *whole_buckets(start, stop, width))
-    tables.write_calc(rollup.price(ticks, pair, width, tables.COUNTED), root, tables.PRICE)
+    """Put sums and counts of prices of the buckets of ``[start, stop)``."""
+    series.roll_up(spark, root, series.price(pair, width), start, stop)
 
 
 def history(
-    spark: SparkSession, root: str, start: int, stop: int, zone: str = "UTC"
+    spark: SparkSession, root: str, start: int, stop: int, zone: str = "UTC", counts: series.Series | None = None,
+    prices: series.Series | None = None, keep: str = "matched", width: int | None = None,
 ) -> DataFrame:
-    """Calculated buckets of ``[start, stop)``, gaps as 0, with local time."""
-    return calc.history(tables.read_calc(spark, root, start, stop), start, stop, zone)
-
-
-def resume_second(spark: SparkSession, root: str, feed: Feed) -> int | None:
-    """Newest landed second; to go on with a replay, use ``backfill(resume=True)``."""
-    return tables.read_rows(spark, root, feed).agg(F.max("epoch_s")).first()[0]
+    """Calculated buckets of ``[start, stop)``, gaps as 0, with local time. See ``series.read_calc`` for the rest."""
+    table = series.read_calc(spark, root, start, stop, counts, prices, keep, width)
+    return calc.history(table, start, stop, zone)

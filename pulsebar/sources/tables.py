@@ -1,14 +1,12 @@
-"""Landed and calculated tables: day-partitioned parquet under one root.
+"""Landed tables: parquet under one root, and the log that says which files count.
 
-``<root>/<feed>/day=/part=``           typed rows of a feed
-``<root>/rejects/source=/part=``       refused messages
-``<root>/seconds/<feed>/day=/part=``   rows per second, for numbering
-``<root>/offsets/<feed>/part=``        last offset seen of each topic partition
-``<root>/zones/<feed>/zone=``          where the feed's clock runs
-``<root>/calc/<series>/day=/version=`` bucket values, one version per write
+``<root>/<feed>/rows/part=/day=``       typed rows of a feed
+``<root>/<feed>/seconds/part=/day=``    rows per second: for numbering, and to know what a commit touched
+``<root>/<feed>/rejects/part=``         refused messages
+``<root>/<feed>/covered/part=``         ranges of offsets that were looked at
+``<root>/<feed>/log``                   commits over these four (see ``sources.log``)
 
-A part is what one batch of one stream, or one backfill, wrote. Its name holds the run, so
-no run replaces what another has written.
+A part is what one job has written. Its name begins with the time, so what was never committed can be swept.
 """
 
 from __future__ import annotations
@@ -17,260 +15,287 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from datetime import date
-from urllib.parse import quote
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from pulsebar.functions import clock
-from pulsebar.layout import CALC_SCHEMA, IDENTITY, OFFSET_SCHEMA, REJECT_SCHEMA, SECOND_SCHEMA, Feed
-from pulsebar.operators import calc
-from pulsebar.sources.workdir import exists, folders, make_folder, remove
+from pulsebar.layout import COVERED_SCHEMA, FEEDS, IDENTITY, REJECT_SCHEMA, SECOND_SCHEMA, Feed
+from pulsebar.operators import ledger, parse, sequence
+from pulsebar.sources import workdir
+from pulsebar.sources.log import Change, Conflict, Log, State, day_of
 
-SOCIAL = "social"
-PRICE = "price"
+ROWS, SECONDS, REJECTS, COVERED = "rows", "seconds", "rejects", "covered"
+BY_DAY = (ROWS, SECONDS)
+ZONE = "zone"
+#: times a job starts again when others keep changing what it was made from
+ATTEMPTS = 20
+#: pieces below this are packed together, and how old an uncommitted or replaced part is when it is swept
+SMALL_BYTES, SWEEP_SECONDS = 64 << 20, 86_400
 
 
-def new_run() -> str:
-    return uuid.uuid4().hex[:12]
+def folder(root: str, feed: Feed, table: str) -> str:
+    return f"{root}/{feed.name}/{table}"
 
 
-def live_part(run: str, batch: int) -> str:
-    return f"live-{run}-{batch}"
+def log_of(spark: SparkSession, root: str, feed: Feed) -> Log:
+    return Log(spark, f"{root}/{feed.name}/log")
 
 
-def backfill_part() -> str:
-    return f"fill-{new_run()}"
+def schema_of(feed: Feed, table: str) -> str:
+    return {ROWS: feed.schema, SECONDS: SECOND_SCHEMA, REJECTS: REJECT_SCHEMA, COVERED: COVERED_SCHEMA}[table]
 
 
-# -- raw rows -----------------------------------------------------------------
+def new_run() -> str:
+    return uuid.uuid4().hex[:12]
 
 
-def rows_path(root: str, feed: Feed) -> str:
-    return f"{root}/{feed.name}"
+def new_part() -> str:
+    return f"{time.time_ns():020d}-{new_run()}"
 
 
-def read_rows(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    """All landed rows of a feed."""
-    return spark.read.schema(feed.schema).parquet(rows_path(root, feed)).drop("part")
+# -- parts ----------------------------------------------------------------------
 
 
-def _read_days(
-    spark: SparkSession, path: str, schema: str | StructType, wanted: Callable[[date], bool]
-) -> DataFrame | None:
-    """The day folders that are wanted, or None where there are none.
+def write_part(frame: DataFrame, path: str, by_day: bool = True, packed: bool = True) -> dict[str, list]:
+    """Write rows as a part of their own; its pieces with their bytes, for a commit. No rows give no piece.
 
-    Naming the folders keeps Spark from listing every part of every year the
-    table has grown over; only the level of the days is listed.
+    Rebalancing sends a day's rows to few tasks, so that it gets few files, and lets adaptive execution
+    split the large ones again.
     """
-    days = [
-        name
-        for name in folders(spark, path)
-        if name.startswith("day=") and wanted(date.fromisoformat(name[4:]))
-    ]
-    if not days:
-        return None
-    paths = [f"{path}/{name}" for name in days]
+    spark, part = frame.sparkSession, f"part={new_part()}"
+    if by_day:
+        (frame.hint("rebalance", "day") if packed else frame).write.partitionBy("day").parquet(f"{path}/{part}")
+        pieces = [f"{part}/{name}" for name in workdir.folders(spark, f"{path}/{part}") if name.startswith("day=")]
+    else:
+        (frame.hint("rebalance") if packed else frame).write.parquet(f"{path}/{part}")
+        pieces = [part] if any(name.endswith(".parquet") for name in workdir.files(spark, f"{path}/{part}")) else []
+    return {piece: [workdir.size_of(spark, f"{path}/{piece}"), None] for piece in pieces}
+
+
+def read_pieces(spark: SparkSession, path: str, pieces: Iterable[str], schema: str | StructType) -> DataFrame:
+    """The rows of some pieces with their part. They are named, so nothing else is listed."""
+    paths = [f"{path}/{piece}" for piece in pieces]
+    if not paths:
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(*paths)
 
 
-def scan(spark: SparkSession, root: str, feed: Feed, start: int, stop: int) -> DataFrame:
-    """Rows with ``start <= epoch_s < stop``; only the days in range are read."""
-    first, last = clock.utc_date(start), clock.utc_date(stop - 1)
-    rows = _read_days(spark, rows_path(root, feed), feed.schema, lambda day: first <= day <= last)
-    if rows is None:
-        rows = spark.createDataFrame([], feed.schema)
-    second = F.col("epoch_s")
-    return rows.drop("part").where((second >= start) & (second < stop))
-
-
-def landed_of(spark: SparkSession, root: str, feed: Feed, days: Iterable[date]) -> DataFrame | None:
-    """Landed rows of some days, with their part."""
-    return _read_days(spark, rows_path(root, feed), feed.schema, set(days).__contains__)
-
-
-def replace_partitions(frame: DataFrame, path: str, *by: str) -> None:
-    """Write ``frame``, replacing just the partitions it has rows for.
-
-    The rebalance step sends a partition's rows to few tasks, so that it gets
-    few files, and lets adaptive execution split the large ones again.
-    """
-    (
-        frame.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-
-
-def write_rows(rows: DataFrame, root: str, feed: Feed, part: str) -> None:
-    """Write a part; writing the same part again replaces it."""
-    replace_partitions(rows.withColumn("part", F.lit(part)), rows_path(root, feed), "day", "part")
-
-
-def replace_rows(new: DataFrame, old: DataFrame, root: str, feed: Feed) -> None:
-    """Put changed messages where the landed ones lie, under the same row key.
-
-    ``new`` holds messages that ``old``, landed rows with their part, has with other content.
-    Only the parts that hold one are rewritten.
-    """
-    keys = [*IDENTITY, "day"]
-    columns = [name for name in new.columns if name not in (*keys, "row_key")]
-    changed = new.select(*keys, F.struct(*columns).alias("new"))
-    touched = old.join(changed.select(*keys), keys, "left_semi").select("day", "part").distinct()
-    whole = old.join(touched, ["day", "part"], "left_semi")
-    merged = whole.select(*keys, "row_key", "part", F.struct(*columns).alias("old")).join(changed, keys, "left")
-    kept = merged.select(*keys, "row_key", "part", F.coalesce("new", "old").alias("kept"))
-    replace_partitions(kept.select(*keys, "row_key", "part", "kept.*"), rows_path(root, feed), "day", "part")
-
-
-def fix_zone(spark: SparkSession, root: str, feed: Feed, zone: str) -> None:
-    """Keep the feed's zone; refuse another, under which its messages would land a second time."""
-    path = f"{root}/zones/{feed.name}"
-    known = folders(spark, path)
-    wanted = f"zone={quote(zone, safe='')}"
-    if known and known != [wanted]:
-        raise ValueError(f"{feed.name} were landed under {known}, not {wanted}")
-    if not known:
-        make_folder(spark, f"{path}/{wanted}")
+def read_table(spark: SparkSession, root: str, feed: Feed, table: str, pieces: Iterable[str] | None = None) -> DataFrame:
+    """Rows of a table as committed; ``pieces`` limits them to some of it."""
+    if pieces is None:
+        pieces = log_of(spark, root, feed).read().of(table)
+    return read_pieces(spark, folder(root, feed, table), pieces, schema_of(feed, table))
 
 
-# -- refused messages ---------------------------------------------------------
+def read_rows(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
+    """All landed rows of a feed."""
+    return read_table(spark, root, feed, ROWS).drop("part")
 
 
-def write_rejects(refused: DataFrame, root: str, part: str) -> None:
-    replace_partitions(refused.withColumn("part", F.lit(part)), f"{root}/rejects", "source", "part")
+def scan(spark: SparkSession, root: str, feed: Feed, start: int, stop: int, seen: State | None = None) -> DataFrame:
+    """Rows with ``start <= epoch_s < stop``; only the days in range are read."""
+    seen = seen or log_of(spark, root, feed).read()
+    pieces = seen.between(ROWS, clock.utc_date(start), clock.utc_date(stop - 1))
+    second = F.col("epoch_s")
+    return read_table(spark, root, feed, ROWS, pieces).drop("part").where((second >= start) & (second < stop))
 
 
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
-    """Refused messages, each once however often it was replayed."""
-    every = spark.read.schema(REJECT_SCHEMA).parquet(f"{root}/rejects").drop("part")
-    return every.dropDuplicates(["source", *IDENTITY])
-
-
-# -- rows per second, offsets -------------------------------------------------
-
-
-def seconds_path(root: str, feed: Feed) -> str:
-    return f"{root}/seconds/{feed.name}"
-
-
-def write_seconds(counts: DataFrame, root: str, feed: Feed, part: str) -> None:
-    replace_partitions(counts.withColumn("part", F.lit(part)), seconds_path(root, feed), "day", "part")
-
+    """Refused messages of all feeds, each once however often it was replayed."""
+    every = [read_table(spark, root, feed, REJECTS).drop("part") for feed in FEEDS.values()]
+    return reduce(DataFrame.unionByName, every).dropDuplicates(["source", *IDENTITY])
 
-def read_seconds(
-    spark: SparkSession, root: str, feed: Feed, days: Iterable[date], but: str
-) -> DataFrame | None:
-    """Rows per second of some days that all parts but one have numbered."""
-    counts = _read_days(spark, seconds_path(root, feed), SECOND_SCHEMA, set(days).__contains__)
-    if counts is None:
-        return None
-    return counts.where(F.col("part") != but).groupBy("topic", "epoch_s").agg(F.sum("n").alias("n"))
 
+def read_covered(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
+    """The ranges of offsets that have been landed or refused, as few as there are gaps."""
+    return ledger.merged(read_table(spark, root, feed, COVERED))
 
-def write_offsets(seen: DataFrame, root: str, feed: Feed, part: str) -> None:
-    last = seen.groupBy("topic", "partition").agg(F.max("offset").alias("last"))
-    replace_partitions(last.withColumn("part", F.lit(part)), f"{root}/offsets/{feed.name}", "part")
 
+def check_zone(seen: State, feed: Feed, zone: str) -> None:
+    """Refuse another zone than the feed's, under which its messages would land a second time."""
+    known = seen.facts.get(ZONE, zone)
+    if known != zone:
+        raise ValueError(f"{feed.name} were landed under {known}, not {zone}")
 
-def read_offsets(spark: SparkSession, root: str, feed: Feed) -> DataFrame:
-    """Last offset seen of each topic partition; a row a partition and part, so a small table."""
-    path = f"{root}/offsets/{feed.name}"
-    seen = spark.read.schema(OFFSET_SCHEMA)
-    every = seen.parquet(path) if exists(spark, path) else spark.createDataFrame([], OFFSET_SCHEMA)
-    return every.groupBy("topic", "partition").agg(F.max("last").alias("last"))
 
+# -- landing --------------------------------------------------------------------
 
-# -- calculated series --------------------------------------------------------
 
+def retried(made: Callable[[], None]) -> None:
+    """Run a job that ends in a commit, again while others get in its way."""
+    for left in reversed(range(ATTEMPTS)):
+        try:
+            return made()
+        except Conflict:
+            if not left:
+                raise
 
-def calc_path(root: str, series: str) -> str:
-    return f"{root}/calc/{series}"
 
+def _days_held(good: DataFrame, seen: State, root: str, feed: Feed) -> tuple[set[date], set[date]]:
+    """Days of the batch that the table has rows of, and those of them with a message looked at before.
 
-_SERIES = {SOCIAL: tuple(CALC_SCHEMA.names[1:4]), PRICE: tuple(CALC_SCHEMA.names[4:])}
-#: rows a value was counted from
-COUNTED = "counted"
-
-
-def _write_version(buckets: DataFrame, path: str, version: str) -> None:
-    dated = buckets.withColumn("day", clock.day_of(F.col("key"))).withColumn("version", F.lit(version))
-    dated.hint("rebalance", "day").write.mode("append").partitionBy("day", "version").parquet(path)
-
-
-def write_calc(buckets: DataFrame, root: str, series: str) -> None:
-    """Put bucket values beside what is stored; nothing stored is touched.
-
-    Of a bucket's values the one counted from most rows (``counted``, 0 where it is not given)
-    holds, and of those the newest. So a repeat does no harm, and an update whose
-    state missed late rows does not hide the value that has them. No rows leave no folder.
+    No more than the table has, whatever dates senders write.
     """
-    if COUNTED not in buckets.columns:
-        buckets = buckets.withColumn(COUNTED, F.lit(0).cast("bigint"))
-    version = f"{time.time_ns():020d}-{new_run()}"
-    _write_version(buckets, calc_path(root, series), version)
+    known = seen.days(ROWS)
+    if not known:
+        return set(), set()
+    spark = good.sparkSession
+    held = spark.createDataFrame([(day,) for day in known], "day DATE")
+    ranges = ledger.merged(read_table(spark, root, feed, COVERED, seen.of(COVERED)))
+    met = ledger.marked(good.select(*IDENTITY, "day"), ranges).join(held, "day", "left_semi")
+    found = met.select("day", "again").distinct().collect()
+    return {row.day for row in found}, {row.day for row in found if row.again}
+
+
+def land_parsed(
+    parsed: DataFrame, feed: Feed, root: str, zone: str = "UTC", refused: int | None = None,
+    run: tuple[str, int] | None = None, replace: bool = False,
+) -> None:
+    """Land parsed messages in one commit: rows, their seconds, refusals and the offsets looked at.
+
+    A message that is there stays; with ``replace``, one that is there with other content is replaced where it
+    lies. ``run`` names a stream and its batch, which is landed once. ``refused`` tells how many are refused, if known.
+    ``parsed`` is read several times.
+
+    Row keys go on from the seconds in the state the commit is made from; if another commit has
+    numbered rows of the same days meanwhile, this one starts again, so no key is given twice.
+    """
+    spark = parsed.sparkSession
+    log = log_of(spark, root, feed)
+
+    def once() -> None:
+        seen = log.read()
+        check_zone(seen, feed, zone)
+        if run is not None and seen.runs.get(run[0], -1) >= run[1]:
+            return
+        change = Change(facts={ZONE: zone}, runs=dict([run] if run else []), exclusive=[SECONDS])
+        _add(change, parsed, seen, feed, root, replace)
+        if refused != 0:
+            change.add[REJECTS] = write_part(parse.rejects(parsed, feed), folder(root, feed, REJECTS), by_day=False)
+        change.add[COVERED] = write_part(ledger.intervals(parsed), folder(root, feed, COVERED), by_day=False)
+        if any(change.add.values()):
+            log.commit(seen, change)
+
+    retried(once)
+
+
+def _add(change: Change, parsed: DataFrame, seen: State, feed: Feed, root: str, replace: bool) -> None:
+    """Write new and changed rows and the seconds they touch, and note them."""
+    spark, good = parsed.sparkSession, parse.accepted(parsed)
+    keys = [*IDENTITY, "day"]
+    days, doubtful = _days_held(good, seen, root, feed)
+    touched = []
+    new = good
+    # an offset never looked at is no row's, so only the others are held against what has landed
+    if doubtful:
+        landed = read_table(spark, root, feed, ROWS, seen.on(ROWS, doubtful))
+        content = [name for name in good.columns if name not in keys]
+        # only what identifies a message, and a hash of the rest, meets the landed rows
+        there = landed.select(*keys, F.xxhash64(*content).alias("there"), "part", F.col("epoch_s").alias("old_s"))
+        new = good.join(there.select(*keys), keys, "left_anti")
+        if replace:
+            ours = good.select(*keys, F.xxhash64(*content).alias("ours"), "epoch_s")
+            changed = ours.join(there, keys).where("there <> ours")
+            where = changed.select("part", "day").distinct().collect()  # at most the table's pieces
+            if where:
+                pieces = [f"part={row.part}/day={row.day.isoformat()}" for row in where]
+                change.remove[ROWS] = pieces
+                change.add[ROWS] = _replaced(good.join(changed.select(*keys), keys, "left_semi"), pieces, feed, root)
+                for second in ("old_s", "epoch_s"):
+                    touched.append(changed.select("topic", "day", F.col(second).alias("epoch_s"), F.lit(0).cast("bigint").alias("n")))
+    prior = None
+    if held := seen.on(SECONDS, days):
+        prior = read_table(spark, root, feed, SECONDS, held).groupBy("topic", "epoch_s").agg(F.sum("n").alias("n"))
+    keyed = sequence.with_row_key(sequence.number_in_second(new, prior=prior))
+    pieces = write_part(keyed, folder(root, feed, ROWS))
+    change.add[ROWS] = change.add.get(ROWS, {}) | pieces
+    if pieces:
+        written = read_table(spark, root, feed, ROWS, pieces)
+        touched.append(written.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n")))
+    if touched:
+        seconds = reduce(DataFrame.unionByName, touched).groupBy("topic", "epoch_s", "day").agg(F.sum("n").alias("n"))
+        change.add[SECONDS] = write_part(seconds, folder(root, feed, SECONDS))
+
+
+def _replaced(changed: DataFrame, pieces: list[str], feed: Feed, root: str) -> dict[str, list]:
+    """The rows of some pieces, written anew with changed messages in place of the landed ones, under the same row keys."""
+    keys = [*IDENTITY, "day"]
+    columns = [name for name in changed.columns if name not in keys]
+    whole = read_table(changed.sparkSession, root, feed, ROWS, pieces).select(*keys, "row_key", F.struct(*columns).alias("old"))
+    both = whole.join(changed.select(*keys, F.struct(*columns).alias("new")), keys, "left")
+    return write_part(both.select(*keys, "row_key", F.coalesce("new", "old").alias("kept")).select(*keys, "row_key", "kept.*"), folder(root, feed, ROWS))
 
 
-def _series_schema(series: str) -> StructType:
-    fields = [field for field in CALC_SCHEMA if field.name in ("key", *_SERIES[series])]
-    return StructType([
-        *fields, StructField(COUNTED, LongType()), StructField("day", DateType()), StructField("version", StringType())
-    ])
+# -- upkeep -----------------------------------------------------------------------
 
 
-def _holding(values: DataFrame, series: str) -> DataFrame:
-    """The value that holds of each bucket."""
-    ranked = values.withColumn("rank", F.struct(F.coalesce(COUNTED, F.lit(0)), "version"))
-    return calc.latest(ranked, version="rank", values=_SERIES[series])
+def _crowded(seen: State, table: str, small: int) -> dict[str, list[str]]:
+    """Small pieces by day, of the days that have several."""
+    by_day: dict[str, list[str]] = {}
+    for piece, (_, size) in seen.of(table).items():
+        if size < small:
+            by_day.setdefault(day_of(piece) if table in BY_DAY else "", []).append(piece)
+    return {day: pieces for day, pieces in by_day.items() if len(pieces) > 1}
 
 
-def fold_calc(spark: SparkSession, root: str, series: str) -> None:
-    """Fold the writes of each day into one and delete those that were read.
+def compact(spark: SparkSession, root: str, feed: Feed, small: int = SMALL_BYTES) -> None:
+    """Pack the small pieces of each day into few files: rows in the order of their keys, seconds added up, ranges merged.
 
-    The folders are listed once: exactly those are read and exactly those are deleted, after
-    the folded values are written to a folder of their own. That one sorts just
-    behind the newest it has read, so a write that comes meanwhile still counts as newer; and a
-    fold cut short leaves some values twice, but none out.
+    One commit, so readers see all of it or nothing. Rows, keys and what a commit has touched stay as they are.
     """
-    path = calc_path(root, series)
-    listed = {day: folders(spark, f"{path}/{day}") for day in folders(spark, path) if day.startswith("day=")}
-    crowded = [(day, name) for day, names in listed.items() if len(names) > 1 for name in names]
-    if not crowded:
-        return
-    paths = [f"{path}/{day}/{name}" for day, name in crowded]
-    values = spark.read.schema(_series_schema(series)).option("basePath", path).parquet(*paths)
-    newest = max(name for _, name in crowded).removeprefix("version=")
-    counted = values.groupBy("key").agg(F.max(COUNTED).alias(COUNTED))
-    folded = _holding(values, series).join(counted, "key")
-    _write_version(folded, path, f"{newest}~{new_run()}")
-    for folder in paths:
-        remove(spark, folder)
-
-
-def read_calc(
-    spark: SparkSession, root: str, start: int | None = None, stop: int | None = None
-) -> DataFrame:
-    """The calculated table: the values of both series that hold, side by side.
-
-    ``[start, stop)`` limits the keys; only its days are listed and read.
-    """
-    first = clock.utc_date(start) if start is not None else date.min
-    last = clock.utc_date(stop - 1) if stop is not None else date.max
-    sides = []
-    for series in _SERIES:
-        values = _read_days(spark, calc_path(root, series), _series_schema(series), lambda day: first <= day <= last)
-        if values is None:
+    log = log_of(spark, root, feed)
+
+    def packed(table: str, pieces: list[str]) -> dict[str, list]:
+        path = folder(root, feed, table)
+        rows = read_table(spark, root, feed, table, pieces).drop("part")
+        if table == ROWS:
+            ordered = rows.repartitionByRange("day", "row_key").sortWithinPartitions("day", "row_key")
+            return write_part(ordered, path, packed=False)
+        if table == SECONDS:
+            return write_part(rows.groupBy("topic", "epoch_s", "day").agg(F.sum("n").alias("n")), path)
+        if table == COVERED:
+            return write_part(ledger.merged(rows), path, by_day=False)
+        return write_part(rows.dropDuplicates(["source", *IDENTITY]), path, by_day=False)
+
+    def once() -> None:
+        seen, change = log.read(), Change()
+        for table in (ROWS, SECONDS, REJECTS, COVERED):
+            crowded = _crowded(seen, table, small)
+            if not crowded:
+                continue
+            old = [piece for pieces in crowded.values() for piece in pieces]
+            new = packed(table, old)
+            for piece, entry in new.items():
+                # counts as old as the newest it holds
+                day = day_of(piece) if table in BY_DAY else ""
+                entry[1] = max(seen.of(table)[one][0] for one in crowded[day])
+            change.remove[table], change.add[table] = old, new
+        if change.remove:
+            log.commit(seen, change)
+
+    retried(once)
+
+
+def sweep(spark: SparkSession, root: str, feed: Feed, seconds: float = SWEEP_SECONDS) -> None:
+    """Delete parts no commit holds, if they were begun ``seconds`` ago; readers and jobs of that age must be done."""
+    seen = log_of(spark, root, feed).read()
+    for table in (ROWS, SECONDS, REJECTS, COVERED):
+        sweep_parts(spark, folder(root, feed, table), seen.of(table), seconds)
+
+
+def sweep_parts(spark: SparkSession, path: str, held: Iterable[str], seconds: float) -> None:
+    """The same for one table: of parts some pieces of which are replaced, those pieces."""
+    held, before = set(held), time.time_ns() - int(seconds * 1e9)
+    kept = {piece.partition("/")[0] for piece in held}
+    for part in workdir.folders(spark, path):
+        if int(part.removeprefix("part=").partition("-")[0]) >= before:
+            continue
+        if part not in kept:
+            workdir.remove(spark, f"{path}/{part}")
             continue
-        if start is not None:
-            values = values.where(F.col("key") >= start)
-        if stop is not None:
-            values = values.where(F.col("key") < stop)
-        sides.append(_holding(values, series))
-    if not sides:
-        return spark.createDataFrame([], CALC_SCHEMA)
-    if len(sides) == 2:
-        return sides[0].join(sides[1], "key", "full_outer").select(*CALC_SCHEMA.names)
-    return calc.conform(sides[0])
+        for day in workdir.folders(spark, f"{path}/{part}"):
+            if day.startswith("day=") and f"{part}/{day}" not in held:
+                workdir.remove(spark, f"{path}/{part}/{day}")

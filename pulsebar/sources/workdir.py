@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -56,3 +57,50 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder a job of ours wrote."""
     system, location = _file_system(spark, path)
     system.delete(location, True)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a folder."""
+    system, location = _file_system(spark, path)
+    return system.getContentSummary(location).getLength()
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right in ``path``; none if there is no ``path``."""
+    system, location = _file_system(spark, path)
+    if not system.exists(location):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(location) if entry.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    system, location = _file_system(spark, path)
+    stream = system.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place whole; False, and nothing changed, if one is there.
+
+    It is written beside and renamed, which file systems such as HDFS do at once or not at all.
+    """
+    system, location = _file_system(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    beside = hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(beside, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(location.toUri(), system.getConf()).rename(beside, location, how)
+    except Py4JJavaError as error:
+        system.delete(beside, False)
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True

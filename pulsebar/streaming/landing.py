@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from pulsebar.layout import IDENTITY, TRIGGER_INTERVAL, Feed
-from pulsebar.operators import parse, sequence
+from pulsebar.layout import TRIGGER_INTERVAL, Feed
+from pulsebar.operators import parse
 from pulsebar.sources import tables
 from pulsebar.sources.workdir import folders, make_folder
 
@@ -37,11 +37,11 @@ def land(
     """Start landing a stream of messages under ``root``.
 
     A restart goes on from the checkpoint kept beside the tables. A batch that
-    was cut off is written again under its number and replaces what it left.
+    was cut off before its commit has left nothing and is landed again.
     ``source`` names the topic or folder, so that two of one feed have checkpoints of their own.
     """
     spark = messages.sparkSession
-    tables.fix_zone(spark, root, feed, zone)
+    tables.check_zone(tables.log_of(spark, root, feed).read(), feed, zone)
     checkpoint = f"{root}/checkpoints/land-{feed.name}-{source}"
     run = run_of(spark, checkpoint)
 
@@ -60,35 +60,19 @@ def land(
 def write_batch(
     batch: DataFrame, number: int, feed: Feed, root: str, zone: str = "UTC", run: str = "single"
 ) -> None:
-    """Parse, key and write one batch, but for messages another run or a backfill has landed.
+    """Parse, key and land one batch in one commit, but for messages another run or a backfill has landed.
 
     A second may go on over batches, late or after a restart. How many rows of
     it came earlier stands in the ``seconds`` table, one small row per second,
-    so numbering needs no state in the stream and never drops a late row. Counts are
-    written before rows: a batch cut off in between leaves a gap in the keys, no key twice.
+    so numbering needs no state in the stream and never drops a late row. A batch that comes again is
+    known by its run and number and left out.
     """
-    spark = batch.sparkSession
-    part = tables.live_part(run, number)
     # parsed once and used several times
     parsed = parse.without_read_text(parse.parse(batch, feed, zone))
     parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if parsed.isEmpty():
-            return
-        tables.write_rejects(parse.rejects(parsed, feed), root, part)
-        good = parse.accepted(parsed)
-        # as many rows as the batch has calendar days
-        days = {row.day for row in good.select("day").distinct().collect()}
-        landed = tables.landed_of(spark, root, feed, days)
-        if landed is not None:
-            # Of this run only what is written again could be there, so its parts need no reading.
-            others = landed.where(~F.col("part").startswith(f"live-{run}-"))
-            good = good.join(others.select(*IDENTITY, "day"), [*IDENTITY, "day"], "left_anti")
-        counts = good.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n"))
-        tables.write_seconds(counts, root, feed, part)
-        prior = tables.read_seconds(spark, root, feed, days, part)
-        keyed = sequence.with_row_key(sequence.number_in_second(good, prior=prior))
-        tables.write_rows(keyed, root, feed, part)
-        tables.write_offsets(parsed, root, feed, part)
+        counted = parsed.agg(F.count(F.lit(1)).alias("rows"), F.count("reason").alias("refused")).first()
+        if counted.rows:
+            tables.land_parsed(parsed, feed, root, zone, counted.refused, (run, number))
     finally:
         parsed.unpersist()

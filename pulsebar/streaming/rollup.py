@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsebar.layout import BUCKET_SECONDS, KEYWORDS, PAIR
 from pulsebar.operators import rollup
-from pulsebar.sources import tables
+from pulsebar.sources import series
 from pulsebar.streaming.landing import LIVE
 
 #: how late a row may come and still be counted
@@ -45,31 +47,38 @@ def social_stream(
 def price_stream(
     ticks: DataFrame, pair: str = PAIR, delay: str = DELAY, width: int = BUCKET_SECONDS
 ) -> DataFrame:
-    """Mean last price of a pair, and the number of its ticks, in each bucket of a stream."""
+    """What the mean price of a pair is made of (see ``rollup.price_parts``) in each bucket of a stream."""
     prices = _windowed(ticks.where(F.col("pair") == pair), delay, width).agg(
-        F.avg("last").alias("last"), F.count(F.lit(1)).alias(tables.COUNTED)
+        F.sum("last").alias("total"), F.count("last").alias("n"), F.count(F.lit(1)).alias("counted")
     )
-    return prices.selectExpr(_KEY, "last", tables.COUNTED)
+    return prices.selectExpr(_KEY, "total", "n", "counted")
+
+
+def series_stream(rows: DataFrame, of: series.Series, delay: str = DELAY) -> DataFrame:
+    """The values of a series in each bucket of a stream of its feed's rows."""
+    if of.name == series.PRICE:
+        return price_stream(rows, of.of[0], delay, of.width)
+    counts = social_stream(rows, dict(zip(KEYWORDS, of.of)), delay, of.width, keep="all")
+    return counts.withColumn("counted", F.col("messages"))
 
 
-def publish(buckets: DataFrame, root: str, series: str, trigger: dict = LIVE) -> StreamingQuery:
-    """Put the buckets that changed in each batch into the calculated table.
+def publish(rows: DataFrame, root: str, of: series.Series, trigger: dict = LIVE, delay: str = DELAY) -> StreamingQuery:
+    """Put the buckets of a series that changed in each batch into the calculated table.
 
     Update mode gives a bucket its running value at once and again with every
     change; the value counted from most rows holds. Rows later than the watermark are left
-    out, which the batch roll-up over the landed rows puts right, for good: later
-    updates have counted less than it.
+    out. ``series.recount`` counts the buckets such rows have touched from the landed rows, and from then on
+    its value holds, whatever the stream still says of the bucket.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        if series == tables.SOCIAL:
-            batch = batch.withColumn(tables.COUNTED, F.col("messages"))
-        tables.write_calc(batch, root, series)
+        series.put_live(batch, root, of)
 
+    name = f"{of.name}-{zlib.crc32(repr(of).encode()):08x}"
     return (
-        buckets.writeStream.queryName(f"roll-up-{series}")
+        series_stream(rows, of, delay).writeStream.queryName(f"roll-up-{name}")
         .outputMode("update")
-        .option("checkpointLocation", f"{root}/checkpoints/roll-up-{series}")
+        .option("checkpointLocation", f"{root}/checkpoints/roll-up-{name}")
         .trigger(**trigger)
         .foreachBatch(put)
         .start()

@@ -6,8 +6,8 @@ import pytest
 
 from pulsebar.__main__ import main
 from pulsebar.layout import POSTS, TICKS
-from pulsebar.sources import tables
-from tests.test_jobs import BASE, HOUR, post, put_file, tick
+from pulsebar.sources import series, tables
+from tests.test_jobs import BASE, HOUR, post, put_file, put_prices, tick
 
 
 def test_jobs_from_the_command_line(spark, tmp_path, capfd):
@@ -27,7 +27,7 @@ def test_jobs_from_the_command_line(spark, tmp_path, capfd):
     live = str(tmp_path / "live")
     main(["live", "social", "--path", posts, "--root", live, "--once"], spark)
     main(["live", "price", "--path", ticks, "--root", live, "--once"], spark)
-    assert tables.read_calc(spark, live).count() == 2
+    assert series.read_calc(spark, live).count() == 2
 
 
 def test_a_source_is_needed(spark, tmp_path):
@@ -57,7 +57,7 @@ def test_produce_resume_and_write_history(spark, tmp_path):
 
 def test_history_writes_every_bucket(spark, tmp_path):
     root, out = str(tmp_path / "root"), str(tmp_path / "out")
-    tables.write_calc(spark.range(50).selectExpr("id * 300 AS key", "CAST(id AS DOUBLE) AS last"), root, tables.PRICE)
+    put_prices(spark, root, [(300 * k, float(k)) for k in range(50)])
     main(["history", "--root", root, "--start", "0", "--stop", "15000", "--out", out], spark)
     assert spark.read.option("header", True).csv(out).count() == 50
 
@@ -68,6 +68,6 @@ def test_words_of_a_rollup(spark, tmp_path):
     main(["backfill", "posts", "--path", posts, "--root", root], spark)
     span = ["--start", str(BASE), "--stop", str(BASE + HOUR)]
     main(["rollup", "social", "--root", root, *span, "--word", "btc=alpha", "--word", "bitcoin=beta"], spark)
-    assert [tuple(r)[:4] for r in tables.read_calc(spark, root).collect()] == [(BASE, 2, 2, 1)]
+    assert [tuple(r)[:4] for r in series.read_calc(spark, root).collect()] == [(BASE, 2, 2, 1)]
     with pytest.raises(SystemExit):
         main(["rollup", "social", "--root", root, *span, "--word", "other=x"], spark)

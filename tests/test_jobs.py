@@ -10,7 +10,7 @@ from pulsebar.layout import CHATS, MESSAGE_SCHEMA, POSTS, TICKS
 from pulsebar.operators import parse, rollup, sequence
 from pulsebar.plans import feeds, jobs
 from pulsebar.sources import messages as sources
-from pulsebar.sources import tables, workdir
+from pulsebar.sources import series, tables, workdir
 from pulsebar.streaming import landing
 from pulsebar.streaming import rollup as stream_rollup
 
@@ -75,7 +75,6 @@ def test_backfill_range_and_rejects(spark, tmp_path):
     assert [(r.source, r.value, r.reason) for r in tables.read_rejects(spark, root).collect()] == [
         ("ticks", "junk", "field_count")
     ]
-    assert jobs.resume_second(spark, root, TICKS) == BASE + 200
 
 
 def test_backfill_again_and_resumed(spark, tmp_path):
@@ -86,7 +85,7 @@ def test_backfill_again_and_resumed(spark, tmp_path):
     jobs.backfill(batch(spark, rows), TICKS, root, stop=BASE + 100_000)
     assert landed(spark, root) == first
     # resumed in the middle of a day: what that day already held has to stay
-    jobs.backfill(batch(spark, rows), TICKS, root, start=jobs.resume_second(spark, root, TICKS))
+    jobs.backfill(batch(spark, rows), TICKS, root, start=BASE + 99_600)
     assert landed(spark, root) == {i: (BASE + i * 600) * 1000 for i in range(400)}
 
 
@@ -103,7 +102,7 @@ def test_backfill_merges_with_what_a_stream_landed(spark, tmp_path):
 def test_backfill_of_nothing(spark, tmp_path):
     jobs.backfill(batch(spark, [("junk", "ticks", 0, 5, None)]), TICKS, str(tmp_path))
     assert tables.read_rejects(spark, str(tmp_path)).count() == 1
-    assert not workdir.exists(spark, str(tmp_path / "ticks"))
+    assert tables.log_of(spark, str(tmp_path), TICKS).read().of(tables.ROWS) == {}
 
 
 def test_backfill_of_all_feeds_equals_parse(spark, tmp_path):
@@ -122,6 +121,23 @@ def test_backfill_of_all_feeds_equals_parse(spark, tmp_path):
         assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def put_prices(spark, root, rows, live=False):
+    """Prices (key, last, and ticks counted, 1 if not given) as a write of their own; live, or newer than all before."""
+    of = series.price()
+    made = [(r[0], r[1], int(r[1] is not None), (*r, 1)[2]) for r in rows]
+    frame = spark.createDataFrame(made, "key bigint, total double, n bigint, counted bigint")
+    if live:
+        series.put_live(frame, str(root), of)
+    else:
+        seen = series.log_of(spark, str(root), of).read()
+        series._put(series._recounted(frame, None, of, seen.version + 1), str(root), of, seen)
+
+
+def price_parts(spark, root):
+    """Folders of prices that count."""
+    return list(series.log_of(spark, str(root), series.price()).read().of(series.VALUES))
+
+
 # -- roll-ups over landed rows ------------------------------------------------
 
 
@@ -164,19 +180,23 @@ def test_scan_prunes_days(spark, tmp_path):
 def test_fold_keeps_the_newest_values(spark, tmp_path):
     root = str(tmp_path)
     for rows in ([(0, 1.0), (300, 2.0)], [(300, 3.0)], [(600, None), (900, 4.0)]):
-        tables.write_calc(spark.createDataFrame(rows, "key bigint, last double"), root, tables.PRICE)
-    before = sorted(map(str, tables.read_calc(spark, root).collect()))
-    tables.fold_calc(spark, root, tables.PRICE)
-    assert len(workdir.folders(spark, tables.calc_path(root, tables.PRICE))) == 1
-    assert sorted(map(str, tables.read_calc(spark, root).collect())) == before
-    tables.write_calc(spark.createDataFrame([(0, 9.0)], "key bigint, last double"), root, tables.PRICE)
-    tables.fold_calc(spark, root, tables.PRICE)
-    got = {r.key: r.last for r in tables.read_calc(spark, root).collect()}
+        put_prices(spark, root, rows)
+    before = sorted(map(str, series.read_calc(spark, root).collect()))
+    series.fold(spark, root, series.price())
+    assert len(price_parts(spark, root)) == 1
+    assert sorted(map(str, series.read_calc(spark, root).collect())) == before
+    put_prices(spark, root, [(0, 9.0)])
+    series.fold(spark, root, series.price())
+    got = {r.key: r.last for r in series.read_calc(spark, root).collect()}
     assert got == {0: 9.0, 300: 3.0, 600: None, 900: 4.0}
+    series.sweep(spark, root, series.price(), 0)
+    folders = workdir.folders(spark, f"{series.price().path(root)}/{series.VALUES}")
+    assert [f"{f}/day=1970-01-01" for f in folders] == price_parts(spark, root)
+    assert {r.key: r.last for r in series.read_calc(spark, root).collect()} == got
 
 
 def test_history_of_one_series(spark, tmp_path):
-    assert tables.read_calc(spark, str(tmp_path)).isEmpty()
+    assert series.read_calc(spark, str(tmp_path)).isEmpty()
     jobs.backfill(batch(spark, [tick(0, 10, last="2")]), TICKS, str(tmp_path))
     jobs.roll_up_price(spark, str(tmp_path), BASE, BASE + 300)
     assert [tuple(r)[:5] for r in jobs.history(spark, str(tmp_path), 0, 2**40).collect()] == [(BASE, 0, 0, 0, 2.0)]
@@ -230,13 +250,9 @@ def test_streamed_rows_equal_batch_rows(spark, sf_dir, tmp_path):
 # -- streaming roll-ups -------------------------------------------------------
 
 
-def publish(spark, folder, root, series):
-    rows = stream(spark, folder)
-    if series == tables.SOCIAL:
-        buckets = stream_rollup.social_stream(parse.accepted(parse.parse(rows, POSTS)))
-    else:
-        buckets = stream_rollup.price_stream(parse.accepted(parse.parse(rows, TICKS)))
-    stream_rollup.publish(buckets, str(root), series, landing.CATCH_UP).awaitTermination()
+def publish(spark, folder, root, of):
+    rows = parse.accepted(parse.parse(stream(spark, folder), of.feed))
+    stream_rollup.publish(rows, str(root), of, landing.CATCH_UP).awaitTermination()
 
 
 def test_streamed_prices_go_on_after_a_restart(spark, tmp_path):
@@ -244,11 +260,11 @@ def test_streamed_prices_go_on_after_a_restart(spark, tmp_path):
     sent = [tick(0, 10, last="1"), tick(1, 20, last="3"), tick(2, 310, last="5"), tick(3, 320, "BTC_ETH", "99")]
     put_file(spark, folder, sent[:2], "a")
     put_file(spark, folder, sent[2:], "b")
-    publish(spark, folder, root, tables.PRICE)
+    publish(spark, folder, root, series.price())
     late = [tick(4, 30, last="5"), tick(5, 330, last="7")]
     put_file(spark, folder, late, "c")
-    publish(spark, folder, root, tables.PRICE)
-    got = tables.read_calc(spark, str(root)).select("key", "last")
+    publish(spark, folder, root, series.price())
+    got = series.read_calc(spark, str(root)).select("key", "last")
     want = rollup.price(parse.accepted(parse.parse(batch(spark, sent + late), TICKS)))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [
         (BASE, 3.0), (BASE + 300, 6.0),
@@ -260,12 +276,12 @@ def test_rows_behind_the_watermark_are_left_to_the_batch_job(spark, tmp_path):
     put_file(spark, folder, [post(0, 10), post(1, 5 * HOUR)], "a")
     put_file(spark, folder, [post(2, 5 * HOUR + 1)], "b")
     put_file(spark, folder, [post(3, 20), post(4, 5 * HOUR + 2, "BTC")], "c")
-    publish(spark, folder, root, tables.SOCIAL)
-    got = sorted(tuple(r)[:4] for r in tables.read_calc(spark, str(root)).collect())
+    publish(spark, folder, root, series.social())
+    got = sorted(tuple(r)[:4] for r in series.read_calc(spark, str(root)).collect())
     assert got == [(BASE, 1, 1, 1), (BASE + 5 * HOUR, 3, 3, 2)]
     land(spark, folder, root, POSTS)
     jobs.roll_up_social(spark, str(root), BASE, BASE + HOUR)
-    got = sorted(tuple(r)[:4] for r in tables.read_calc(spark, str(root)).collect())
+    got = sorted(tuple(r)[:4] for r in series.read_calc(spark, str(root)).collect())
     assert got == [(BASE, 2, 2, 2), (BASE + 5 * HOUR, 3, 3, 2)]
 
 

@@ -11,9 +11,9 @@ from pulsebar.layout import CHATS, POSTS, TICKS
 from pulsebar.operators import cells, parse, produce
 from pulsebar.plans import jobs
 from pulsebar.sources import messages as sources
-from pulsebar.sources import tables, workdir
+from pulsebar.sources import series, tables, workdir
 from pulsebar.streaming import landing
-from tests.test_jobs import BASE, batch, land, landed, post, put_file, tick
+from tests.test_jobs import BASE, batch, land, landed, post, price_parts, put_file, put_prices, tick
 
 DAY = 86_400
 
@@ -50,7 +50,7 @@ def test_resume_lands_every_offset(spark, tmp_path):
     more = [tick(3, 6), tick(4, 2), tick(5, 7)]  # the rest of a second, and a late row
     jobs.backfill(batch(spark, rows + more), TICKS, root, resume=True)
     assert sorted(landed(spark, root)) == [0, 1, 3, 4, 5]
-    assert [tuple(r) for r in tables.read_offsets(spark, root, TICKS).collect()] == [("ticks", 0, 5)]
+    assert [tuple(r) for r in tables.read_covered(spark, root, TICKS).collect()] == [("ticks", 0, 0, 5)]
 
 
 def test_a_new_checkpoint_replaces_and_doubles_nothing(spark, tmp_path):
@@ -98,46 +98,46 @@ def test_empty_batches_and_writes_leave_no_folder(spark, tmp_path):
     root = str(tmp_path)
     landing.write_batch(batch(spark, []), 0, TICKS, root)
     assert os.listdir(root) == []
-    tables.write_calc(spark.createDataFrame([], "key bigint, last double"), root, tables.PRICE)
-    assert workdir.folders(spark, tables.calc_path(root, tables.PRICE)) == []
+    put_prices(spark, root, [], live=True)
+    assert price_parts(spark, root) == [] and series.log_of(spark, root, series.price()).read().version == 0
 
 
 def prices(spark, root):
-    return {r.key: r.last for r in tables.read_calc(spark, root).collect()}
+    return {r.key: r.last for r in series.read_calc(spark, root).collect()}
 
 
 def test_a_fold_keeps_what_comes_meanwhile(spark, tmp_path, monkeypatch):
-    root, schema = str(tmp_path), "key bigint, last double"
+    root = str(tmp_path)
     for value in (1.0, 2.0):
-        tables.write_calc(spark.createDataFrame([(0, value)], schema), root, tables.PRICE)
-    real = tables._write_version
+        put_prices(spark, root, [(0, value)])
+    real = tables.write_part
 
-    def slow(*given):
-        monkeypatch.setattr(tables, "_write_version", real)
-        tables.write_calc(spark.createDataFrame([(0, 3.0), (DAY, 4.0)], schema), root, tables.PRICE)
-        real(*given)
+    def slow(*given, **more):
+        monkeypatch.setattr(tables, "write_part", real)
+        put_prices(spark, root, [(0, 3.0), (DAY, 4.0)])
+        return real(*given, **more)
 
-    monkeypatch.setattr(tables, "_write_version", slow)
-    tables.fold_calc(spark, root, tables.PRICE)
+    monkeypatch.setattr(tables, "write_part", slow)
+    series.fold(spark, root, series.price())
     assert prices(spark, root) == {0: 3.0, DAY: 4.0}
-    tables.fold_calc(spark, root, tables.PRICE)
+    series.fold(spark, root, series.price())
     assert prices(spark, root) == {0: 3.0, DAY: 4.0}
-    assert len(workdir.folders(spark, f"{tables.calc_path(root, tables.PRICE)}/day=1970-01-01")) == 1
+    assert len([p for p in price_parts(spark, root) if p.endswith("day=1970-01-01")]) == 1
 
 
-def test_a_value_counted_from_more_rows_holds(spark, tmp_path):
-    root, schema = str(tmp_path), "key bigint, last double, counted bigint"
+def test_a_live_value_counted_from_more_rows_holds(spark, tmp_path):
+    root = str(tmp_path)
     for value, counted in ((1.0, 4), (5.0, 5), (4.0, 4)):
-        tables.write_calc(spark.createDataFrame([(0, value, counted)], schema), root, tables.PRICE)
+        put_prices(spark, root, [(0, value, counted)], live=True)
     assert prices(spark, root) == {0: 5.0}
-    tables.fold_calc(spark, root, tables.PRICE)
+    series.fold(spark, root, series.price())
     assert prices(spark, root) == {0: 5.0}
 
 
 def test_history_reads_only_its_days(spark, tmp_path):
     root = str(tmp_path)
-    tables.write_calc(spark.createDataFrame([(k * DAY, 1.0) for k in range(30)], "key bigint, last double"), root, tables.PRICE)
-    frame = tables.read_calc(spark, root, 3 * DAY, 5 * DAY)
+    put_prices(spark, root, [(k * DAY, 1.0) for k in range(30)])
+    frame = series.read_calc(spark, root, 3 * DAY, 5 * DAY)
     assert {path.split("day=")[1][:10] for path in frame.inputFiles()} == {"1970-01-04", "1970-01-05"}
 
 
