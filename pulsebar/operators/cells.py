@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsebar.layout import CELL_SCHEMA, Feed
 
@@ -58,12 +61,50 @@ def cell_lines(rows: DataFrame, feed: Feed, row: str = "row_key") -> DataFrame:
     return rows.select(name.alias("row"), F.concat_ws("\n", *lines).alias("lines"))
 
 
+def _lines(stored: DataFrame, lines: str) -> DataFrame:
+    return stored.select(F.explode(F.split(F.col(lines), "\n")).alias("line"))
+
+
 def explode_lines(stored: DataFrame, lines: str = "lines") -> DataFrame:
     """Cells from newline-joined JSON text, read with a fixed schema."""
-    line = stored.select(F.explode(F.split(F.col(lines), "\n")).alias("line"))
+    line = _lines(stored, lines)
     return line.select(F.from_json("line", CELL_SCHEMA).alias("cell")).select("cell.*")
 
 
+def _widened(kind: T.DataType) -> T.DataType:
+    """The type a column of inferred type is read as: fractions as doubles, what is nothing or of several kinds as text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(field.name, _widened(field.dataType)) for field in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_widened(kind.elementType))
+    if isinstance(kind, (T.NullType, T.VariantType)):
+        return T.StringType()
+    return T.DoubleType() if isinstance(kind, T.DecimalType) and kind.scale else kind
+
+
+def inferred_schema(stored: DataFrame, lines: str = "lines") -> T.StructType:
+    """The schema that all lines of JSON objects fit; lines that are no objects say nothing.
+
+    One aggregate that merges the schemas of lines, and then of tasks, over the lattice of JSON types: whole
+    numbers, then fractions, then text, which also takes values of different kinds; objects merge field by field. Only the
+    merged schema comes to the driver.
+    """
+    parsed = _lines(stored, lines).select(F.try_parse_json("line").alias("v"))
+    objects = parsed.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT<")))
+    found = objects.agg(F.schema_of_variant_agg("v").alias("schema")).first().schema
+    if not found.startswith("OBJECT<"):
+        return T.StructType()
+    # a name in backticks may hold anything
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], found)
+    return _widened(T.DataType.fromDDL(ddl))
+
+
+def explode_inferred(stored: DataFrame, lines: str = "lines") -> DataFrame:
+    """Rows from newline-joined JSON text, read with the schema inferred from all of it."""
+    schema = inferred_schema(stored, lines)
+    return _lines(stored, lines).select(F.from_json("line", schema).alias("cell")).select("cell.*")
+
+
 def widen(cells: DataFrame, qualifiers: list[str]) -> DataFrame:
     """One row per ``row`` with a column per named qualifier, of which a row has one cell each.
 

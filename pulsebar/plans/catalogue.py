@@ -114,6 +114,30 @@ def calc_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calc.as_cells(stored).where("qualifier <> 'last'")
 
 
+def price_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roll up, replay with corrections, roll up again: no value of a corrected bucket is left of the first time."""
+    root, events = new_folder(spark, "corrected"), feeds.table(spark, sf_dir, "events")
+    for sent in (feeds.tick_messages(events), feeds.corrected_ticks(events)):
+        jobs.backfill(sent, TICKS, root)
+        jobs.roll_up_price(spark, root, BASE, BASE + 400 * DAY, EVENT_PAIR)
+    return _rounded(series.read_calc(spark, root).select("key", "last"))
+
+
+def price_recounted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by counting only the buckets that each job has touched."""
+    root, events = new_folder(spark, "recounted"), feeds.table(spark, sf_dir, "events")
+    for sent in (feeds.tick_messages(events), feeds.corrected_ticks(events)):
+        jobs.backfill(sent, TICKS, root)
+        series.recount(spark, root, series.price(EVENT_PAIR))
+    return _rounded(series.read_calc(spark, root).select("key", "last"))
+
+
+def price_1h_from_5m(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly means folded from the stored five-minute buckets."""
+    shown = series.read_calc(spark, _rolled_up(spark, sf_dir), *HISTORY, width=3600)
+    return _rounded(shown.where("last IS NOT NULL").select("key", "last"))
+
+
 def history_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _calc(feeds.table(spark, sf_dir, "events"))
     return _rounded(calc.append(*frames).na.fill(0, list(CALC_VALUES)))
@@ -205,6 +229,16 @@ def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.scan(spark, root, TICKS, *SCAN).select("offset", "pair", "last", "epoch_s")
 
 
+def cells_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells whose JSON has whole numbers as such, read with the schema inferred from all of them."""
+    stored = _tick_cells(spark, sf_dir)
+    number, head = F.col("value").try_cast("bigint"), [F.col("row").cast("bigint").alias("row"), "columnFamily", "qualifier"]
+    whole = F.to_json(F.struct(*head, number.alias("value")))
+    line = F.when(number.isNotNull(), whole).otherwise(F.to_json(F.struct(*head, "value")))
+    found = cells.explode_inferred(stored.select(line.alias("lines")))
+    return found.select("row", "columnFamily", "qualifier", "value")
+
+
 def _replayed(messages: DataFrame, feed: Feed, start: int, stop: int) -> DataFrame:
     """Two backfills over overlapping halves of a range, read back."""
     spark, third = messages.sparkSession, (stop - start) // 3
@@ -219,6 +253,21 @@ def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed(messages, TICKS, *REPLAY).select("offset", "pair", "last", "epoch_s", "row_key")
 
 
+def backfill_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range, and then whatever it has left out on either side."""
+    root, messages = new_folder(spark, "resume"), feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
+    jobs.backfill(messages, TICKS, root, *REPLAY)
+    jobs.backfill(messages, TICKS, root, resume=True)
+    return tables.read_rows(spark, root, TICKS).select("offset", "pair", "last", "epoch_s", "row_key")
+
+
+def offsets_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of offsets a backfill of a range has looked at."""
+    root, messages = new_folder(spark, "covered"), feeds.tick_messages(feeds.table(spark, sf_dir, "events"))
+    jobs.backfill(messages, TICKS, root, *REPLAY)
+    return tables.read_covered(spark, root, TICKS)
+
+
 def backfill_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = feeds.table(spark, sf_dir, "documents")
     last = BASE + documents.agg(F.max("doc_id")).first()[0] * feeds.STEP
@@ -254,6 +303,27 @@ def produce_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _readable(rows.drop("topic", "partition", "offset", "row_key", "day", "texts"), POSTS.time)
 
 
+def produce_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as source rows of ticks: stamped with the time they arrive, encoded, kept as message files, landed."""
+    fields = {name: field for name, field in feeds.tick_fields().items() if name != "arrived"}
+    rows = feeds.table_stream(spark, sf_dir, "events").select(*[field.alias(name) for name, field in fields.items()])
+    return _produced(rows, TICKS)
+
+
+def produce_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _produced(feeds.chat_rows(feeds.table_stream(spark, sf_dir, "conversations")), CHATS)
+
+
+def _produced(rows: DataFrame, feed: Feed) -> DataFrame:
+    """What lands of rows that are sent now: all but the time and what follows from it."""
+    spark, root = rows.sparkSession, new_folder(rows.sparkSession, "produce")
+    put = lambda batch: keep(batch, f"{root}/topic")
+    jobs.produce(rows, feed, put, f"{root}/progress", trigger=landing.CATCH_UP).awaitTermination()
+    jobs.backfill(read_messages(spark, "parquet", path=f"{root}/topic"), feed, root)
+    own = [name for name in feed.cells.values() if name != feed.time]
+    return tables.read_rows(spark, root, feed).select(*own)
+
+
 # -- wire format --------------------------------------------------------------
 
 
@@ -341,6 +411,37 @@ def stream_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("epoch_s", "row_key")
 
 
+def _in_two_files(frame: DataFrame, first, root: str) -> DataFrame:
+    """A stream that gets the rows of ``first`` and then the others, in a batch each."""
+    spark = frame.sparkSession
+    for place, part in enumerate((frame.where(first), frame.where(~first))):
+        part.coalesce(1).write.parquet(f"{root}/part-{place}")
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/part-*")
+
+
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks landed in several batches, packed in between and afterwards."""
+    root, events = new_folder(spark, "packed"), feeds.table(spark, sf_dir, "events")
+    sent = feeds.tick_messages(events)
+    middle = F.col("offset") * 2 < events.agg(F.max("event_id")).first()[0]
+    jobs.backfill(sent.where(middle), TICKS, root)
+    tables.compact(spark, root, TICKS)
+    landing.land(_in_two_files(sent, middle, f"{root}/in"), TICKS, root, trigger=landing.CATCH_UP).awaitTermination()
+    tables.compact(spark, root, TICKS)
+    return _readable(tables.read_rows(spark, root, TICKS).drop("topic", "partition", "day", "texts"), TICKS.time)
+
+
+def stream_social_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts of which the earlier ones come last, far behind the watermark: landed, they are counted by a recount."""
+    root, events = new_folder(spark, "late"), feeds.table(spark, sf_dir, "events")
+    sent, of = feeds.event_post_messages(events), series.social(EVENT_WORDS)
+    late = _in_two_files(sent, F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp"), f"{root}/in")
+    stream_rollup.publish(parse.accepted(parse.parse(late, POSTS)), root, of, landing.CATCH_UP).awaitTermination()
+    landing.land(late, POSTS, root, trigger=landing.CATCH_UP).awaitTermination()
+    series.recount(spark, root, of)
+    return series.read_calc(spark, root).drop("last")
+
+
 def _published(rows: DataFrame, of: series.Series) -> DataFrame:
     spark = rows.sparkSession
     root = new_folder(spark, f"stream-{of.name}")
@@ -385,10 +486,18 @@ QUERIES: dict[str, Query] = {
         backfill,
         backfill_posts,
         backfill_chats,
+        backfill_resume,
+        offsets_covered,
         tick_zone,
+        price_corrected,
+        price_recounted,
+        price_1h_from_5m,
+        cells_inferred,
         history_local,
         calc_cells,
         produce_posts,
+        produce_ticks,
+        produce_chats,
         encode_post,
         encode_tick,
         encode_chat,
@@ -403,6 +512,8 @@ QUERIES: dict[str, Query] = {
         stream_chats,
         stream_row_key,
         stream_social,
+        stream_social_late,
+        stream_compacted,
         stream_price,
     )
 }

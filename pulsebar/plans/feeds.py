@@ -22,6 +22,8 @@ EVENT_WORDS = {"btc": "click", "bitcoin": "7"}
 DOCUMENT_WORDS = {"btc": "The", "bitcoin": "Tion"}
 EVENT_PAIR = "purchase"
 TEXT_WORDS = ("license", "token")
+#: events below this value are sent again, corrected
+CORRECTED = 20
 
 
 #: schemas of the tables read here; given, they save a look at the files
@@ -118,6 +120,12 @@ def tick_rows(events: DataFrame) -> DataFrame:
     )
 
 
+def corrected_ticks(events: DataFrame) -> DataFrame:
+    """The events whose value is below ``CORRECTED``, sent again as ticks of another pair."""
+    wrong = events.where(F.col("value") < CORRECTED)
+    return tick_messages(wrong.withColumn("event_type", F.concat(F.lit("not "), "event_type")))
+
+
 def tick_messages(events: DataFrame) -> DataFrame:
     value = wire.encode_tick(**tick_fields())
     return events.select(*_message("ticks", F.col("event_id"), value, F.col("ts")))
@@ -214,3 +222,11 @@ def chat_messages(conversations: DataFrame, lane: Column | None = None, *more: s
     offset = F.col("conv_id") * 1000 + F.col("turn")
     sent = conversations.select(*_message("chats", offset, value, _chat_time()), *more, *([] if lane is None else [lane.cast("int").alias("lane")]))
     return sent if lane is None else sent.withColumn("partition", F.col("lane")).drop("lane")
+
+
+def chat_rows(conversations: DataFrame) -> DataFrame:
+    """Turns as source rows of chats."""
+    return conversations.select(
+        F.lit("trollboxMessage").alias("kind"), F.col("conv_id").alias("number"), F.col("role").alias("user"),
+        chat_text().alias("message"), F.col("turn").alias("reputation"),
+    )

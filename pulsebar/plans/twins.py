@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pulsebar.layout import TICK_CELLS
 from pulsebar.plans.catalogue import HISTORY, REPLAY, SCAN, ZONE
-from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, STEP, TEXT_WORDS
+from pulsebar.plans.feeds import BASE, CORRECTED, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, STEP, TEXT_WORDS
 
 SECOND = "epoch_us(ts) // 1000000"
 
@@ -169,3 +169,18 @@ TWINS["produce_posts"] = f"""SELECT * EXCLUDE ("offset") FROM ({TWINS["parse_pos
     WHERE "offset" IN (SELECT doc_id FROM ({TWINS["track_filter"]}))"""
 TWINS["stream_social"] = TWINS["social_documents_5m"]
 TWINS["stream_price"] = TWINS["price_5m"]
+TWINS["stream_social_late"] = TWINS["social_5m"]
+TWINS["stream_compacted"] = TWINS["stream_ticks"]
+TWINS["backfill_resume"] = f"""SELECT event_id AS "offset", event_type AS pair, value AS last, s AS epoch_s, {KEYED} AS row_key
+    FROM (SELECT *, {SECOND} AS s FROM events)"""
+TWINS["offsets_covered"] = f"""SELECT 'ticks' AS topic, 0 AS "partition", min(event_id) AS start, max(event_id) AS stop
+    FROM (SELECT event_id, event_id - row_number() OVER (ORDER BY event_id) AS run FROM events
+        WHERE {SECOND} > {REPLAY[0]} AND {SECOND} <= {REPLAY[1]}) GROUP BY run"""
+TWINS["price_corrected"] = f"""SELECT s - s % 300 AS key, round(avg(value), 6) AS last
+    FROM {TICKS} WHERE value >= {CORRECTED} GROUP BY 1"""
+TWINS["price_recounted"] = TWINS["price_corrected"]
+TWINS["price_1h_from_5m"] = f"""SELECT s - s % 3600 AS key, round(avg(value), 6) AS last
+    FROM {TICKS} WHERE s >= {HISTORY[0]} AND s < {HISTORY[1]} GROUP BY 1"""
+TWINS["cells_inferred"] = f"""SELECT CAST("row" AS BIGINT) AS "row", * EXCLUDE ("row") FROM ({TWINS["cells_melt"]})"""
+TWINS["produce_ticks"] = f"""SELECT * EXCLUDE ("offset", ts, epoch_s) FROM ({TWINS["parse_tick"]})"""
+TWINS["produce_chats"] = f"""SELECT "user", message FROM ({TWINS["parse_chat"]})"""
