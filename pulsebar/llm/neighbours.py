@@ -184,19 +184,24 @@ def _cells(coded: DataFrame, reach: list[int] | None) -> DataFrame:
 def _near(rows: DataFrame, queries: DataFrame, radius: int, kind: type, nearest: int, cells: bool) -> DataFrame:
     """query, class, score: of each query's classes within the radius the nearest ones, one more than asked for."""
     reach = shares(radius)
+    row_blocks, query_blocks = (F.ceil(F.col(n) / size).cast("int") for n, size in (("rows", ROW_BLOCK), ("queries", QUERY_BLOCK)))
     if cells:
         rows, queries = _cells(rows, None), _cells(queries, reach)
+        counted = [x.groupBy("cell").agg(F.count(F.lit(1)).alias(name)) for x, name in ((rows, "rows"), (queries, "queries"))]
+        sizes = stored(counted[0].join(counted[1], "cell").select(
+            "cell", row_blocks.alias("row_blocks"), query_blocks.alias("query_blocks")
+        ), "cells")
     else:
-        rows, queries = (x.select(F.lit(-1).cast("long").alias("cell"), "*") for x in (rows, queries))
-    counted = [x.groupBy("cell").agg(F.count(F.lit(1)).alias(name)) for x, name in ((rows, "rows"), (queries, "queries"))]
-    sizes = stored(counted[0].join(counted[1], "cell").select(
-        "cell", F.ceil(F.col("rows") / ROW_BLOCK).cast("int").alias("row_blocks"), F.ceil(F.col("queries") / QUERY_BLOCK).cast("int").alias("query_blocks")
-    ), "cells")
+        whole = [F.lit(max(1, -(-x.count() // size))) for x, size in ((rows, ROW_BLOCK), (queries, QUERY_BLOCK))]
 
     def blocks(frame: DataFrame, own: str, other: str, asked: bool) -> DataFrame:
+        if cells:
+            frame = frame.join(sizes, "cell")
+        else:
+            frame = frame.select(F.lit(-1).cast("long").alias("cell"), "*", *[n.alias(f"{k}_blocks") for n, k in zip(whole, ("row", "query"))])
         mine = F.pmod(F.xxhash64("class"), F.col(f"{own}_blocks")).cast("int").alias(own)
         all_ = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(other)
-        return frame.join(sizes, "cell").select("cell", F.lit(asked).alias("asked"), "class", "code", "v", mine, all_).select(
+        return frame.select("cell", F.lit(asked).alias("asked"), "class", "code", "v", mine, all_).select(
             "cell", "row", "query", "asked", "class", "code", "v"
         )
 
