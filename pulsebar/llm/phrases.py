@@ -50,11 +50,14 @@ def _words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """The lower-cased words of some texts in order, and the number of the piece each stands in."""
     raw = _LOWER[np.frombuffer(b"\n".join(texts), np.uint8)]
     kind = _CLASS[raw]
+    marks = np.flatnonzero(kind == 2)
     inside = kind == 0
-    edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
-    starts, stops = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts] if len(starts) else np.zeros(0, np.int64)
-    offsets = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
+    del kind
+    # places where a word begins or ends, by turns
+    turns = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, sizes = turns[::2], turns[1::2] - turns[::2]
+    piece = np.searchsorted(marks, starts).astype(np.int32)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw[inside]))
     return words, piece
 
@@ -83,17 +86,24 @@ def _triples(texts: list[bytes]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndar
     for at in range(0, len(words), _WORDS):
         n = min(_WORDS, len(words) - at)
         coded = words.slice(at, n + 2).dictionary_encode()
-        codes = np.zeros(n + 2, np.int64)
-        own = np.full(n + 2, -1, np.int64)
+        codes = np.zeros(n + 2, np.int32)
+        own = np.full(n + 2, -1, np.int32)
         codes[: len(coded)] = coded.indices.to_numpy() + 1
         own[: len(coded)] = piece[at : at + n + 2]
-        second = np.where(own[1 : n + 1] == own[:n], codes[1 : n + 1], 0)
-        third = np.where(own[2 : n + 2] == own[:n], codes[2 : n + 2], 0)
         base = len(coded.dictionary) + 1
-        keys, counts = np.unique((codes[:n] * base + second) * base + third, return_counts=True)
-        rows = np.empty((3, len(keys)), np.int64)
-        rest, rows[2] = np.divmod(keys, base)
-        rows[0], rows[1] = np.divmod(rest, base)
+        keys = codes[:n].astype(np.int64)
+        for ahead in (1, 2):
+            keys *= base
+            keys += np.where(own[ahead : n + ahead] == own[:n], codes[ahead : n + ahead], 0)
+        keys.sort()
+        first = np.flatnonzero(np.diff(keys, prepend=-1))
+        counts = np.diff(first, append=n)
+        rest = keys[first]
+        rows = np.empty((3, len(first)), np.int32)
+        for k in (2, 1):
+            rest, rows[k] = np.divmod(rest, base)
+        rows[0] = rest
+        del keys, rest, first, own, codes
         yield coded.dictionary, rows, counts
 
 
@@ -111,7 +121,8 @@ def _crowded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, node, rows, words: nodes with many rows in a portion; and the portion's totals, without node."""
     for lang, texts in _portions(batches):
         for vocabulary, rows, counts in _triples(texts):
-            starts = np.flatnonzero(np.diff(rows[0] * (len(vocabulary) + 1) + rows[1], prepend=-1))
+            new = np.diff(rows[0], prepend=-1) != 0
+            starts = np.flatnonzero(new | (np.diff(rows[1], prepend=-1) != 0))
             many = np.diff(starts, append=rows.shape[1])
             hot = many >= max(2, rows.shape[1] / (2 * MOST_HOT))
             nodes = _nodes(vocabulary, rows[:, starts[hot]]).to_pylist()
