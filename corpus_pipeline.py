@@ -5,29 +5,39 @@ again as the next one's documents. All stages but the last return the columns of
 
 Decisions are joined to the documents by doc_id and text hash, null-safe, so documents that share only one
 of the two are told apart. Of rows that repeat both, the exact stage keeps one.
+
+Defined cases: a null text counts as empty and is judged like one; null doc_ids are matched by their text; an empty table
+gives an empty one; texts are taken whole, however long; other columns of the documents, whatever
+their names, come through unchanged up to packing.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsebar.llm import common, decontaminate, exact_dedup, near_dedup, pack, quality
 
 
+def _wrapped(docs: DataFrame, *more: Column) -> DataFrame:
+    """The documents as one column, so that whatever columns they have cannot meet those of the stage."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), *more)
+
+
 def _matching(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """The documents that have (left_semi), or don't have (left_anti), their key among ``keys``."""
     ids = keys.select(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")).distinct()
-    marked = docs.withColumn("own_hash", F.xxhash64(common.text_of()))
-    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("own_hash") == F.col("of_hash"))
-    return marked.join(ids, same, how).select(docs.columns)
+    marked = _wrapped(docs, F.col("doc_id").alias("own_id"), F.xxhash64(common.text_of()).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("of_id")) & (F.col("own_hash") == F.col("of_hash"))
+    return marked.join(ids, same, how).select("doc.*")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality: documents scored below the cut go. No shuffle."""
     trees = quality.fit(docs, common.table(spark, sf_dir, "labels"))
-    return quality.score(docs, trees).where(F.col("score") >= quality.CUT).select(docs.columns)
+    scored = quality.score(_wrapped(docs, "text"), trees)
+    return scored.where(F.col("score") >= quality.CUT).select("doc.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
