@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,9 @@ BLANKS = " \t\n\x0b\f\r"
 #: most bits of a bitmap: 2 MB
 MOST_BITS = 1 << 24
 
+#: about as many bytes a Python task works on at once
+PORTION_BYTES = 4 << 20
+
 _written: list[str] = []
 
 
@@ -82,3 +88,35 @@ def bitmap(hashes: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, in
 
 def in_bitmap(bitmap_: Column, bits: int, hash_: Column) -> Column:
     return F.get(bitmap_, _lane(hash_, bits)).bitwiseAND(_bit(hash_)) != 0
+
+
+def portions(batches: Iterator[pa.RecordBatch], size: int = PORTION_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes, or a row where that is larger.
+
+    Spark cuts batches by rows, and what is made of a whole batch of long texts is many times its size. Memory
+    that a batch has taken is given back when it is done, as a worker lives on for later tasks.
+    """
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Each group of rows with equal keys, from batches in which they follow one another."""
+    key, held = None, []
+    for batch in portions(batches):
+        if not batch.num_rows:
+            continue
+        names = list(zip(*(batch.column(name).to_pylist() for name in keys)))
+        starts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+        for start, stop in zip(starts, starts[1:]):
+            if names[start] != key:
+                if held:
+                    yield key, pa.Table.from_batches(held)
+                key, held = names[start], []
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield key, pa.Table.from_batches(held)

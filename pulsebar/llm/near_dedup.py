@@ -13,6 +13,11 @@ found linked are contracted, and only bands whose members are still in different
 be compared in blocks. There each pair is estimated and verified inside the task, in the first band it
 shares, and just the links that join components come back, so no link is lost and no list of pairs is made.
 
+Texts of one template that overlap just too little share many bands, most of them with the same others. Bands with more
+than a block of members that have members in common are one group if that makes fewer rows: its members then meet
+once, not once a band. Blocks with many members count all their overlaps at once, as products of matrices over
+the shingles both sides have, so there the estimate is not needed.
+
 Defined cases: a text of fewer than five words is one shingle; one without words, or null, has none
 and is alone; copies and repeated rows share a class; a null doc_id is linked like others and is never
 the smallest; an empty table gives none. A shingle is known by a 64-bit hash of its words, and a
@@ -30,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsebar.llm.common import bitmap, in_bitmap, stored, text_of
+from pulsebar.llm.common import bitmap, groups, in_bitmap, portions, stored, text_of
 
 WORDS, BANDS, ROWS = 5, 50, 5
 REGISTERS = BANDS * ROWS
@@ -38,6 +43,7 @@ BASE, RATE = 1.001, 20.0
 PERCENT = 75
 DOUBT = 12.5  # in log likelihood: five standard errors
 BLOCK = 512
+MATRIX, COLUMNS = 64, 2048  # members from which overlaps are counted together, and shingles at a time
 STAR_ROUNDS = 1
 
 _draws = np.random.Generator(np.random.PCG64(20240229))
@@ -82,10 +88,11 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
-    parts = values.reshape(BANDS, ROWS).astype(np.uint64)
-    total = np.arange(BANDS, dtype=np.uint64) * _STEP
+    """Keys of the bands of registers, of one set or of several (a row each)."""
+    parts = values.reshape(*values.shape[:-1], BANDS, ROWS).astype(np.uint64)
+    total = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * _STEP, parts.shape[:-1])
     for k in range(ROWS):
-        total = _mixed(total + parts[:, k] * _PLACES[k])
+        total = _mixed(total + parts[..., k] * _PLACES[k])
     return total.view(np.int64)
 
 
@@ -116,7 +123,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, set_hash and bands of each document."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sizes, sets, bands = [], [], []
             for text in batch.column(2):
                 hashes = shingles(text.as_py())
@@ -134,18 +141,16 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, n, registers, bands and the whole set, for the classes in ``wanted`` (node, doc_id, text_hash)."""
+    """node, n, registers and the whole set, for the classes in ``wanted`` (node, doc_id, text_hash)."""
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [shingles(text.as_py()) for text in batch.column(1)]
-            values = [registers(s) for s in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(map(len, found), pa.int64()),
-                 pa.array([v.tobytes() for v in values], pa.binary()),
-                 pa.array([band_keys(v).tobytes() for v in values], pa.binary()),
+                 pa.array([registers(s).tobytes() for s in found], pa.binary()),
                  pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["node", "n", "registers", "bands", "hashes"],
+                names=["node", "n", "registers", "hashes"],
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("of_id"), F.xxhash64(text_of()).alias("of_hash"), text_of().alias("text"))
@@ -155,7 +160,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         wanted, F.col("of_id").eqNullSafe(F.col("doc_id")) & (F.col("of_hash") == F.col("text_hash"))
     )
     # Fully repeated rows would give a node twice.
-    return joined.select("node", "text").mapInArrow(whole, "node long, n long, registers binary, bands binary, hashes binary").dropDuplicates(["node"])
+    return joined.select("node", "text").mapInArrow(whole, "node long, n long, registers binary, hashes binary").dropDuplicates(["node"])
 
 
 def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers_b: pd.Series) -> pd.DataFrame:
@@ -239,67 +244,126 @@ def _open_bands(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.join(open_, "band")
 
 
+def _regrouped(large: DataFrame) -> DataFrame:
+    """Members (band, node, root, size, whole) of bands larger than a block, in the groups that make fewer rows.
+
+    Bands with a member in common form a group; where its members are fewer rows, by blocks, than
+    the bands' are, it takes their place (``whole``), and all pairs in it are looked at.
+    """
+    firsts = large.groupBy("node").agg(F.min("band").alias("first"))
+    met = large.join(firsts, "node").where("band <> first").select(F.col("first").alias("a"), F.col("band").alias("b")).distinct()
+    met = stored(met, "bands-met")
+    if met.isEmpty():
+        return large.withColumn("whole", F.lit(False))
+    named = stored(_rooted(large.select("band", "node", "root", "size"), components(met), "band", "group"), "named-bands")
+    squares = named.groupBy("group", "band").agg(F.max("size").alias("size")).groupBy("group").agg(
+        F.sum(F.col("size") * F.col("size")).alias("squares"), F.count(F.lit(1)).alias("bands")
+    )
+    sizes = named.select("group", "node").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("nodes"))
+    better = stored(
+        squares.join(sizes, "group").where("bands > 1 AND nodes * nodes < squares").select("group", "nodes"), "groups"
+    )
+    as_groups = named.join(better, "group").groupBy("group", "node").agg(F.min("root").alias("root"), F.max("nodes").alias("size"))
+    as_bands = named.join(better, "group", "left_anti").select("band", "node", "root", "size", F.lit(False).alias("whole"))
+    return as_bands.unionByName(as_groups.select(F.col("group").alias("band"), "node", "root", "size", F.lit(True).alias("whole")))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of the sorted sets on the left has in common with each on the right."""
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        of, every = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, every), max(len(shared) - 1, 0))
+        known = shared[at] == every if len(shared) else np.zeros(len(every), bool)
+        order = np.argsort(at[known], kind="stable")
+        return of[known][order], at[known][order]
+
+    out, sides = np.zeros((len(left), len(right)), np.float32), (placed(left), placed(right))
+    for first in range(0, len(shared), COLUMNS):
+        parts = []
+        for (of, at), size in zip(sides, out.shape):
+            low, high = np.searchsorted(at, (first, first + COLUMNS))
+            part = np.zeros((size, COLUMNS), np.float32)
+            part[of[low:high], at[low:high] - first] = 1
+            parts.append(part)
+        out += parts[0] @ parts[1].T
+    return out
+
+
+def _compared(group: pa.Table, whole: bool, band: int, halves: bool) -> list[tuple]:
+    """Verified links between components among the members of a block, or between the halves of two."""
+    values = np.frombuffer(b"".join(group["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    bands = None if whole else band_keys(values)
+    node, n, own, root = (group[c].to_numpy().copy() for c in ("node", "n", "own", "root"))
+    hashes = group["hashes"].to_pylist()
+    rows, linked = [], None
+    if len(node) > MATRIX:
+        side = own == own.min() if halves else np.ones(len(node), bool)
+        sets = [np.frombuffer(h, np.uint64) for h in hashes]
+        picked = [np.flatnonzero(side), np.flatnonzero(~side) if halves else np.arange(len(node))]
+        if not all(map(len, picked)):
+            return rows
+        common = overlaps(*[[sets[k] for k in one] for one in picked])
+        sums = n[picked[0]][:, None] + n[picked[1]][None, :]
+        linked = np.zeros((len(node), len(node)), bool)
+        linked[np.ix_(*picked)] = 100 * common >= PERCENT * (sums - common)
+        linked |= linked.T
+    for i in range(len(node)):
+        mask = (root != root[i]) & (node > node[i])
+        if linked is not None:
+            for j in np.flatnonzero(mask & linked[i]):
+                if root[j] != root[i]:
+                    rows.append((int(node[i]), int(node[j])))
+                    root[root == root[j]] = root[i]
+            continue
+        mask &= 100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])
+        if halves:
+            mask &= own != own[i]
+        others = np.flatnonzero(mask)
+        if not whole:  # a pair is looked at in the first band it shares
+            others = others[bands[i, (bands[others] == bands[i]).argmax(axis=1)] == band]
+        if not len(others):
+            continue
+        equal, more = (values[others] == values[i]).sum(axis=1), (values[i] > values[others]).sum(axis=1)
+        overlap, possible = likely(equal, more, np.full(len(others), float(n[i])), n[others].astype(float))
+        for k in np.argsort(-overlap, kind="stable"):
+            j = others[k]
+            if possible[k] and root[j] != root[i] and similar(hashes[i], hashes[j]):
+                rows.append((int(node[i]), int(node[j])))
+                root[root == root[j]] = root[i]
+    return rows
+
+
 def _block_links(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): verified links between components in one band, found block by block inside tasks.
 
     A pair is looked at in the first band it shares, verified on the full sets if the likelihood
     does not rule it out, and given back only if nothing in its block links its components already.
-    So a block gives fewer rows than it has members, and leaves no link out.
+    So a block gives fewer rows than it has members, and leaves no link out. Large bands are regrouped
+    beforehand (see ``_regrouped``).
     """
+    members = members.select("band", "node", "root", "size", F.lit(False).alias("whole"))
+    large = stored(members.where(F.col("size") > BLOCK).drop("whole"), "large-bands")
+    if not large.isEmpty():
+        members = members.where(F.col("size") <= BLOCK).unionByName(_regrouped(large))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    keyed = members.select("band", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    keyed = members.select("whole", "band", "node", "root", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    keys = ["whole", "band", "low", "high"]
     keyed = keyed.select(
-        "band", "node", "root", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    ).join(sets, "node")
-
-    def compared(group: pd.DataFrame, band: int, low: int, high: int) -> list[tuple]:
-        values = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(-1, REGISTERS)
-        bands = np.frombuffer(b"".join(group["bands"]), np.int64).reshape(-1, BANDS)
-        node, n, own_ = (group[c].to_numpy() for c in ("node", "n", "own"))
-        hashes = group["hashes"].to_list()
-        root = group["root"].to_numpy().copy()
-        rows = []
-        for i in range(len(node)):
-            mask = (root != root[i]) & (100 * np.minimum(n, n[i]) >= PERCENT * np.maximum(n, n[i])) & (node > node[i])
-            if low != high:
-                mask &= own_ != own_[i]
-            others = np.flatnonzero(mask)
-            others = others[bands[i, (bands[others] == bands[i]).argmax(axis=1)] == band]
-            if not len(others):
-                continue
-            equal, more = (values[others] == values[i]).sum(axis=1), (values[i] > values[others]).sum(axis=1)
-            overlap, possible = likely(equal, more, np.full(len(others), float(n[i])), n[others].astype(float))
-            for k in np.argsort(-overlap, kind="stable"):
-                j = others[k]
-                if possible[k] and root[j] != root[i] and similar(hashes[i], hashes[j]):
-                    rows.append((int(node[i]), int(node[j])))
-                    root[root == root[j]] = root[i]
-        return rows
-
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        keys = ["band", "low", "high"]
-
-        def done(frame: pd.DataFrame) -> pd.DataFrame:
-            rows = []
-            for (band, low, high), group in frame.groupby(keys, sort=False):
-                if len(group) > 1 and group["root"].nunique() > 1:
-                    rows += compared(group, band, low, high)
-            return pd.DataFrame(rows, columns=["a", "b"], dtype="int64")
-
-        for batch in batches:
-            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            if batch.empty:
-                continue
-            last = (batch[keys] == batch[keys].iloc[-1]).all(axis=1).to_numpy()
-            held = batch[last]
-            yield done(batch[~last])
-        if held is not None:
-            yield done(held)
-
-    dealt = keyed.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
-    return dealt.mapInPandas(stream, "a long, b long")
+        "whole", "band", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "root", "own"
+    ).join(sets, "node").select(*keys, "node", "root", "own", "n", "registers", "hashes")
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (whole, band, low, high), group in groups(batches, keys):
+            if len(group) > 1:
+                rows = _compared(group, whole, band, low != high)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["a", "b"])
+
+    dealt = keyed.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(stream, "a long, b long")
 
 
 def _best(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:

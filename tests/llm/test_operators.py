@@ -336,6 +336,34 @@ def test_near_groups_round_the_threshold(spark, monkeypatch):
     same(near_dedup.near_groups(frame).select("doc_id", "n_shingles", "component_id", "kept"), want)
 
 
+@pytest.mark.parametrize("matrix", [4, 1000])
+def test_near_groups_of_one_template(spark, monkeypatch, matrix):
+    """Bands with the same members are one group; overlaps of a block are counted at once or pair by pair."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "MATRIX", matrix)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 50)
+    draw = random.Random(8)
+    texts = []
+    for k in range(120):
+        own = [f"w{j}" for j in range(205)]
+        for j in range(draw.choice([3, 5, 6, 7])):
+            own[draw.randrange(205)] = f"x{k}_{j}"
+        texts.append(" ".join(own))
+    docs = list(enumerate(texts))
+    want = brute.near(docs)
+    assert 10 < len({w[2] for w in want}) < 110
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    same(near_dedup.near_groups(frame).select("doc_id", "n_shingles", "component_id", "kept"), want)
+
+
+def test_overlaps_of_sets():
+    draw = np.random.default_rng(4)
+    sides = [[np.unique(draw.integers(0, 60, draw.integers(1, 40))).astype(np.uint64) for _ in range(n)] for n in (7, 11)]
+    want = [[len(set(a) & set(b)) for b in sides[1]] for a in sides[0]]
+    assert near_dedup.overlaps(*sides).tolist() == want
+    assert near_dedup.overlaps([np.arange(3, dtype=np.uint64)], [np.arange(5, 9, dtype=np.uint64)]).tolist() == [[0]]
+
+
 def test_registers_estimate_overlap():
     draw = np.random.default_rng(2)
     for share in (0.5, 0.75, 0.9):

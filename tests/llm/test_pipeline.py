@@ -12,6 +12,8 @@ from pulsebar.llm import common, quality
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
+#: names the stages use themselves
+CLASHES = ["score", "own_id", "own_hash", "of_id", "of_hash", "kept", "text_hash", "doc", "labelled", "quality", "n_hit", "count"]
 
 
 @pytest.fixture(scope="module")
@@ -55,12 +57,13 @@ def test_run_packs_the_ids(spark, items):
 
 
 def test_stages_return_documents(spark):
-    docs = common.table(spark, SMALL, "documents").withColumn("kept", F.lit("clash")).withColumn("text_hash", F.lit(1))
+    docs = common.table(spark, SMALL, "documents").withColumns({name: F.lit(name) for name in CLASHES})
     odd = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).union(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
     for rows in (docs.union(odd).union(docs.limit(2)), docs.where("false")):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, rows, SMALL)
             assert out.columns == rows.columns and out.count() <= rows.count()
+            assert all(r[name] == name for r in out.select(*CLASHES).distinct().collect() for name in CLASHES)
 
 
 def test_exact_stage_keeps_one_of_repeated_rows(spark):
