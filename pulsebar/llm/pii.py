@@ -4,12 +4,13 @@ Fixed patterns with checks (email, ip, card, phone) give the base spans. They re
 the left, so a card right after a phone number, or an address with spaces, escapes them. High-recall
 generators therefore propose further spans, overlapping ones too. Boosted trees (Spark ML) judge
 them by format and context; they are trained on base spans against the same spans with their
-format broken. All base spans of the table and their broken forms, scored by the trees, give each
+format broken and against proposals that fail the check of their kind. A quarter of all spans, by hash, is held out
+of training. Scored by the trees, all of that quarter, with broken forms and refused proposals, gives each
 kind the lowest threshold that keeps ``precision``; a kind that reaches it nowhere adds nothing.
 Base spans always stay, and a candidate that meets one is not added.
 
-Only the trees are fitted on a sample: three quarters of at most ``most_rows`` spans a kind (the smallest
-hashes), so that many spans of one kind don't crowd out a rare one. Spans that share kind, text and
+Only the trees are fitted on a sample: at most ``most_rows`` spans and as many refused proposals a kind (the smallest
+hashes of the other three quarters), so that many spans of one kind don't crowd out a rare one. Spans that share kind, text and
 surroundings count once.
 
 Defined cases: null and empty texts have no spans; repeated rows are reported each; without base
@@ -156,24 +157,34 @@ def _with_features(rows: DataFrame) -> DataFrame:
 
 
 def _examples(spans: DataFrame) -> DataFrame:
-    """Each span as it is (``y`` 1) and with its format broken (0)."""
-    both = spans.select("*", F.explode(F.array(F.lit(1.0), F.lit(0.0))).alias("y"))
-    return both.withColumn("span", F.when(F.col("y") == 1, F.col("span")).otherwise(broken(F.col("kind"), F.col("span"))))
+    """Each base span as it is (``y`` 1) and with its format broken (0); refused proposals as they are (0)."""
+    right = F.col("right")
+    both = spans.select("*", F.explode(F.when(right, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0)))).alias("y"))
+    return both.withColumn(
+        "span", F.when(right & (F.col("y") == 0), broken(F.col("kind"), F.col("span"))).otherwise(F.col("span"))
+    )
+
 
+def fit(base: DataFrame, refused: DataFrame, most_rows: int = MOST_ROWS, precision: float = PRECISION):
+    """The trees and each kind's threshold; None without examples.
 
-def fit(base: DataFrame, most_rows: int = MOST_ROWS, precision: float = PRECISION):
-    """The trees and each kind's threshold; None without examples."""
-    every = stored(base.select("kind", "span", "before", "after").distinct(), "distinct-spans")
+    ``base`` has spans that are right, ``refused`` proposals that are not.
+    """
+    given = [frame.select("kind", "span", "before", "after", F.lit(right).alias("right")) for frame, right in ((base, True), (refused, False))]
+    every = given[0].unionByName(given[1]).distinct().withColumn("held", F.pmod(F.xxhash64("span"), F.lit(4)) == 0)
+    every = stored(every, "distinct-spans")
     order = F.xxhash64("span", "before", "after"), "span", "before", "after"
-    samples = [every.where(F.col("kind") == kind).orderBy(*order).limit(most_rows) for kind in range(len(KINDS))]
-    examples = _examples(reduce(DataFrame.unionByName, samples)).where(F.pmod(F.xxhash64("span"), F.lit(4)) != 0)
-    learn = stored(_with_features(examples).select("x", "y"), "pii-examples")
+    samples = [
+        every.where(~F.col("held") & (F.col("kind") == kind) & (F.col("right") == right)).orderBy(*order).limit(most_rows)
+        for kind in range(len(KINDS)) for right in (True, False)
+    ]
+    learn = stored(_with_features(_examples(reduce(DataFrame.unionByName, samples))).select("x", "y"), "pii-examples")
     if learn.select("y").distinct().count() < 2:
         return None
     model = GBTClassifier(
         featuresCol="x", labelCol="y", maxDepth=3, maxIter=8, stepSize=0.3, maxBins=32, checkpointInterval=-1, seed=7
     ).fit(learn.coalesce(2))
-    tested = judged(model, _with_features(_examples(every))).withColumn("score", F.floor(F.col("score") * 50) / 50)
+    tested = judged(model, _with_features(_examples(every.where("held")))).withColumn("score", F.floor(F.col("score") * 50) / 50)
     above = Window.partitionBy("kind").orderBy(F.desc("score"))
     counts = tested.groupBy("kind", "score").agg(F.sum("y").alias("right"), F.count("*").alias("all"))  # 51 rows a kind at most
     sums = counts.select("kind", "score", (F.sum("right").over(above) / F.sum("all").over(above)).alias("precision"))
@@ -191,7 +202,8 @@ def find_personal_data(docs: DataFrame, most_rows: int = MOST_ROWS, precision: f
     proposed = stored(proposals(docs), "proposals")
     spans = placed(proposed)
     base = stored(spans.where("base").where(passes(F.col("kind"), F.col("span"))), "base-spans")
-    fitted = fit(base, most_rows, precision)
+    refused = spans.where("NOT base").where(~passes(F.col("kind"), F.col("span")))
+    fitted = fit(base, refused, most_rows, precision)
     found = base.select("row", "kind", "start", "end", "base")
     if fitted is not None and fitted[1]:
         model, cuts = fitted
