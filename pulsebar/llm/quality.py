@@ -10,7 +10,8 @@ a shuffle.
 Defined cases: null and empty texts have all statistics 0 and are scored like others; labels that
 are null, or of unknown documents, teach nothing; a document labelled twice counts with its
 smaller label; without labels of both kinds the score is the share of label 1, or 1 without any
-label; repeated rows are scored each; an empty table gives none.
+label; where texts share a labelled doc_id the one with the smallest hash teaches; repeated rows are scored each; an empty table
+gives none; texts are read whole, however long. The score is put beside the documents' columns, so a column ``score`` of theirs is replaced.
 """
 
 from __future__ import annotations
@@ -78,8 +79,8 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
-def train(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.2, bins: int = 64, least: float = 20.0) -> Trees:
-    """Boosted trees for the logistic loss; ``least`` is the smallest sum of weights in a leaf's bin split."""
+def train(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: float = 0.2, bins: int = 64, least: float = 0.2) -> Trees:
+    """Boosted trees for the logistic loss; ``least`` is the smallest sum of weights either side of a split may have."""
     inner, leaves = 2**depth - 1, 2**depth
     share = y.mean() if len(y) else 1.0
     start = float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6))))
@@ -106,7 +107,7 @@ def train(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: f
             )
             whole_g, whole_h = g[:, :, -1:], h[:, :, -1:]
             gain = g**2 / (h + 1) + (whole_g - g) ** 2 / (whole_h - h + 1) - whole_g**2 / (whole_h + 1)
-            gain[(h < least / 100) | (whole_h - h < least / 100)] = 0
+            gain[(h < least) | (whole_h - h < least)] = 0
             for k in range(count):
                 f, b = divmod(int(gain[k].argmax()), bins)
                 if gain[k, f, b] > 1e-6 and b < len(edges[f]):
@@ -133,12 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Trees
     def stats(texts: pd.Series) -> pd.Series:
         return pd.Series(list(statistics_of(texts)))
 
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
-        .select("labelled", "quality", stats(text_of()).alias("x"))
-        .dropDuplicates(["labelled"])
-        .toPandas().sort_values("labelled")
-    )
+    taught = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
+    taught = taught.groupBy("labelled", "quality").agg(F.min(F.struct(F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))).alias("t"))
+    rows = taught.select("labelled", "quality", stats("t.text").alias("x")).toPandas().sort_values("labelled")
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(_GROUPS) + 7))
     return train(x, rows["quality"].to_numpy(float))
 

@@ -82,7 +82,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, trees).select(
-        "doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        "doc_id", F.coalesce(quality.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= quality.CUT, 1).otherwise(0).alias("predicted"),
     )
 
@@ -133,22 +133,24 @@ ORACLES = {
         FROM d WINDOW w AS (PARTITION BY text)
     """,
     "op6_line_dedup": r"""
-        WITH l AS (
-            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS nth
-            FROM documents
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        l AS (
+            SELECT row, doc_id, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS nth
+            FROM d
         ), k AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
         ), f AS (
+            -- every row is a document, rows that repeat a doc_id too
             SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
-            GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+            GROUP BY key HAVING count(DISTINCT row) >= 3
         )
-        SELECT k.doc_id, count(*) AS n_lines,
-               count(*) FILTER (f.key IS NOT NULL AND k.doc_id <> f.keeper) AS n_dropped,
+        SELECT any_value(k.doc_id) AS doc_id, count(*) AS n_lines,
+               count(*) FILTER (f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.keeper) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY nth)
-                               FILTER (f.key IS NULL OR k.doc_id = f.keeper), '')) AS kept_sha256
-        FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.doc_id
+                               FILTER (f.key IS NULL OR k.doc_id IS NOT DISTINCT FROM f.keeper), '')) AS kept_sha256
+        FROM k LEFT JOIN f ON k.key = f.key GROUP BY k.row
     """,
     "op5_chat": r"""
         WITH r AS (

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from pulsebar.llm import (
-    chat, common, decontaminate, exact_dedup, line_dedup, near_dedup, pack, pii, quality, queries, shards, url_rules,
+    chat, common, decontaminate, exact_dedup, line_dedup, near_dedup, pack, phrases, pii, quality, queries, shards, url_rules,
 )
 from tests.compare import compare, connect
 from tests.llm import brute
@@ -153,8 +156,23 @@ def test_rare_kinds_get_thresholds(spark, small):
     found = pii.find_personal_data(more.union(mails), most_rows=60)
     spans = found.where("doc_id = 1000000000").first()["spans"]
     assert {merged[s.start : s.end] for s in spans if not s.base} >= {"4663622617512349", "+1 (314) 555-6532"}
-    base = pii.placed(pii.proposals(more.union(mails))).where("base").where(pii.passes(F.col("kind"), F.col("span")))
-    assert set(pii.fit(base, most_rows=60)[1]) == {0, 1, 2, 3}
+    spans = pii.placed(pii.proposals(more.union(mails)))
+    right = pii.passes(F.col("kind"), F.col("span"))
+    assert set(pii.fit(spans.where("base").where(right), spans.where("NOT base").where(~right), most_rows=60)[1]) == {0, 1, 2, 3}
+
+
+def test_thresholds_come_from_held_out_spans(spark, monkeypatch):
+    """No span the trees have seen is counted for a threshold, and refused proposals are among those that are."""
+    texts = [f"write to n{k}@h{k}.org or 10.0.{k % 256}.{k // 256}, not 10.0.{k % 256}.{300 + k}" for k in range(400)]
+    spans = pii.placed(pii.proposals(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    right, asked = pii.passes(F.col("kind"), F.col("span")), []
+    real = pii.judged
+    monkeypatch.setattr(pii, "judged", lambda model, rows: asked.append(rows) or real(model, rows))
+    model, cuts = pii.fit(spans.where("base").where(right), spans.where("NOT base").where(~right))
+    (tested,) = asked
+    rows = tested.select("kind", "right", "held", "y").collect()
+    assert all(r.held for r in rows) and {(r.kind, r.right, r.y) for r in rows} >= {(0, True, 1.0), (1, True, 1.0), (1, True, 0.0), (1, False, 0.0)}
+    assert {0, 1} <= set(cuts)
 
 
 def test_redaction_of_overlaps_and_repeats(spark, odd):
@@ -257,6 +275,46 @@ def test_quality(spark, small, odd, empty):
     assert again.join(scored, "doc_id").where("other <> score").isEmpty()
 
 
+def test_trees_in_arrays_are_the_trees(spark, small, odd):
+    """Scores against walking each tree node by node; training does not hang on the order of rows, repeated ids or null ones."""
+    docs, labels = (common.table(spark, small, n) for n in ("documents", "labels"))
+    trees = quality.fit(docs, labels)
+    again = quality.fit(docs.repartition(7).union(docs.limit(50)), labels)
+    for one, other in zip((trees.feature, trees.above, trees.leaf), (again.feature, again.above, again.leaf)):
+        assert np.array_equal(one, other)
+
+    def walked(x):
+        total = trees.start
+        for feature, above, leaf in zip(trees.feature.tolist(), trees.above.tolist(), trees.leaf.tolist()):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if x[feature[node]] > above[node] else 1)
+            total += leaf[node - len(feature)]
+        return 1 / (1 + np.exp(-total))
+
+    rows = quality.score(odd.select("text"), trees).collect()
+    assert max(abs(r.score - walked(quality.statistics(r.text))) for r in rows) < 1e-12
+
+
+def test_null_ids_are_not_held_out(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "a b"), (1, None), (4, "c")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (None, 0), (4, None)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r.held_out for r in queries.op7_quality(spark, str(tmp_path)).collect()}
+    assert got == {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0 for i in (None, 1, 4)}
+
+
+def test_repeated_rows_count_as_documents(spark, tmp_path):
+    """The query and its SQL have one rule."""
+    line = "a line that has enough letters"
+    rows = [(1, line), (1, line), (2, line), (3, f"{line}\n{line} too"), (None, f"{line} too"), (4, f"{line} too"), (4, f"{line} too")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare(queries.op6_line_dedup(spark, str(tmp_path)), con, queries.ORACLES["op6_line_dedup"]) == len(rows)
+    same(queries.op6_line_dedup(spark, str(tmp_path)), brute.line_dedup(rows))
+
+
 def test_trees_learn_a_step():
     x = np.random.default_rng(1).normal(size=(2000, 3))
     y = ((x[:, 0] > 0.3) & (x[:, 2] < 1)).astype(float)
@@ -377,6 +435,57 @@ def test_registers_estimate_overlap():
         assert (np.maximum(x, y) == near_dedup.registers(np.union1d(a, b))).all()
 
 
+def test_shards_are_the_ranges_of_keys(spark, small, odd):
+    """Shard and slot of every row, from the rows in the order of their keys and the running sum of their bytes."""
+    for docs, count in ((common.table(spark, small, "documents"), 40), (odd, 4)):
+        rows = []
+        for doc_id, text in pairs(docs):
+            raw = (text or "").encode()
+            key = xxhash.xxh64_intdigest(raw, 42)
+            rows.append((key - (key >> 63 << 64), -(2**63) if doc_id is None else doc_id, len(raw) + 16))
+        rows.sort()
+        total, before, want, slots = sum(r[2] for r in rows), 0, [], Counter()
+        for _, doc_id, size in rows:
+            shard = min(int((2 * before + size) * count / (2 * total)), count - 1)
+            want.append((doc_id, size, shard, slots[shard]))
+            slots[shard] += 1
+            before += size
+        got = [(-(2**63) if r.doc_id is None else r.doc_id, r["size"], r.shard, r.slot) for r in shards.assign(docs, shards=count).collect()]
+        assert sorted(got) == sorted(want)
+
+
+#: names the operators use for columns of their own
+CLASHES = [
+    "row", "size", "key", "keys", "hashes", "suspects", "flags", "band", "bands", "node", "root", "n", "spans", "found", "kind", "score",
+    "text_hash", "text_sha256", "of_id", "of_hash", "of_text", "recipe", "kept", "keep_id", "group_size", "set_hash", "doc", "range", "shard",
+    "next", "hot", "salt", "rows", "words", "windows", "items", "item_id", "n_words", "labelled", "quality", "component_id", "length", "start", "ids",
+]
+
+
+@pytest.mark.parametrize("name", [
+    "exact", "leaks", "personal", "redacted", "packed", "lines", "scored", "near", "shards", "phrases", "chats", "pages",
+])
+def test_clashing_columns_change_nothing(spark, small, odd, name):
+    docs, more = odd.select("doc_id", "text"), {c: F.lit("clash") for c in CLASHES}
+    items = common.table(spark, small, "benchmark")
+    turns = common.table(spark, small, "conversations").limit(50)
+    pages, labels = (common.table(spark, small, n) for n in ("pages", "labels"))
+    trees = quality.fit(common.table(spark, small, "documents"), labels)
+    spans = pii.find_personal_data(docs)
+    run = {
+        "exact": exact_dedup.exact_groups, "leaks": lambda d: decontaminate.contamination(d, items),
+        "personal": pii.find_personal_data, "redacted": lambda d: pii.redact(d, spans).select("doc_id", "text"),
+        "packed": lambda d: pack.pack(d, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("sequence_id"),
+        "lines": line_dedup.drop_repeated_lines, "scored": lambda d: quality.score(d, trees).select("doc_id", "text", "score"),
+        "near": near_dedup.near_groups, "shards": lambda d: shards.assign(d).drop("slot"),
+        "phrases": lambda d: phrases.collocations(d.withColumn("lang", F.lit("en"))),
+        "chats": lambda d: chat.format_chats(d).select("conv_id", "formatted"),
+        "pages": lambda d: url_rules.judge(d, labels, queries.RULES).select("page_id", "host", "path", "rule", "verdict"),
+    }[name]
+    given = {"chats": turns, "pages": pages.select("page_id", "url")}.get(name, docs)
+    assert sorted(map(str, run(given.withColumns({c: v for c, v in more.items() if c not in given.columns})).collect())) == sorted(map(str, run(given).collect()))
+
+
 def test_shards(spark, small, odd, empty):
     for docs, count in ((common.table(spark, small, "documents"), 40), (odd, 4)):
         found = shards.assign(docs, shards=count).toPandas()
