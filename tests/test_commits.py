@@ -230,18 +230,32 @@ def test_many_batches_pack_into_few_files(spark, tmp_path):
     assert landed(spark, root) == keys | {1000: (BASE + 5) * 1000 + first}
 
 
-def test_compaction_orders_rows_by_key(spark, tmp_path):
-    """So files of a large day cover a span of the day each, and a scan of an hour leaves most of them out."""
-    root = str(tmp_path)
+def test_a_scan_of_an_hour_leaves_most_of_a_packed_day_unread(spark, tmp_path):
+    """Packed rows lie in the order of their keys, so each file covers a span of the day and says so in its footer."""
+    root, name = str(tmp_path), "spark.sql.adaptive.coalescePartitions.enabled"
     for number in range(2):
-        landing.write_batch(batch(spark, [tick(2 * k + number, 40 * k) for k in range(200)]), number, TICKS, root)
-    tables.compact(spark, root, TICKS)
-    rows = tables.read_rows(spark, root, TICKS).selectExpr("input_file_name() f", "row_key").groupBy("f").agg({"row_key": "min"}).collect()
-    assert sum(r[1] is not None for r in rows) >= 1
-    (part,) = {p.partition("/")[0] for p in tables.log_of(spark, root, TICKS).read().of(tables.ROWS)}
+        landing.write_batch(batch(spark, [tick(2 * k + number, 100 * k) for k in range(800)]), number, TICKS, root)
+
+    def scanned():
+        hour = tables.scan(spark, root, TICKS, BASE + 7 * HOUR, BASE + 8 * HOUR)
+        assert len(hour.collect()) == 72
+        nodes = [hour._jdf.queryExecution().executedPlan()]
+        while nodes:
+            node = nodes.pop()
+            if "Scan" in node.nodeName():
+                return node.metrics().get("numOutputRows").get().value()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+
+    assert scanned() == 1600
+    spark.conf.set(name, "false")
+    try:
+        tables.compact(spark, root, TICKS)
+    finally:
+        spark.conf.unset(name)
+    assert scanned() <= 800
     for path in tables.read_rows(spark, root, TICKS).inputFiles():
         keys = [r.row_key for r in spark.read.parquet(path).collect()]
-        assert part in path and keys == sorted(keys)
+        assert keys == sorted(keys)
 
 
 # -- identity and revisions ---------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import shutil
+import time
 
 import pytest
 
@@ -181,3 +182,35 @@ def test_time_text_is_not_cut(spark):
     made = frame.selectExpr("n followers", "n friends", "n statuses", "t text", "t screen_name", "t language", "t location", "created")
     (sent,) = produce.messages(made, POSTS).collect()
     assert sent.value.endswith("00:00:09+02:00") and row.endswith("00:00:05")
+
+
+def test_ticks_are_stamped_with_the_time_they_arrive(spark, tmp_path):
+    rows = spark.createDataFrame([("A", *["1"] * 6, 0, "1", "1")], "pair string, last string, lowest_ask string, highest_bid string, percent_change string, "
+                                 "base_volume string, quote_volume string, is_frozen int, high_24h string, low_24h string")
+    before = int(time.time())
+    for zone in ("UTC", "Europe/Zurich"):
+        (sent,) = produce.messages(rows, TICKS, zone).collect()
+        (row,) = parse.accepted(parse.parse(batch(spark, [(sent.value, "ticks", 0, 0, None)]), TICKS, zone)).collect()
+        assert before <= row.epoch_s <= time.time()
+
+
+def test_live_jobs_run_every_five_minutes(spark, tmp_path):
+    """The interval the live jobs ask for reaches the query, and a batch after the first waits for it."""
+    assert landing.LIVE == {"processingTime": "5 minutes"}
+    folder, root = str(tmp_path / "in"), str(tmp_path / "root")
+    left = 300 - time.time() % 300
+    if left < 45:  # triggers fall on multiples of the interval
+        time.sleep(left + 1)
+    put_file(spark, folder, [tick(0, 5)], "a")
+    query = landing.land(sources.stream_messages(spark, "parquet", path=folder), TICKS, root)
+    try:
+        for _ in range(600):
+            if query.lastProgress is not None:
+                break
+            time.sleep(0.1)
+        put_file(spark, folder, [tick(1, 6)], "b")
+        time.sleep(3)
+        assert sorted(landed(spark, root)) == [0]
+        assert query.status["message"].startswith("Waiting for next trigger")
+    finally:
+        query.stop()
