@@ -59,8 +59,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
-    extra = spark.createDataFrame(both, "conv_id long, turn long, role string, text string")
+    extra = spark.sql(
+        "SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')"
+        " AS t(conv_id, turn, role, text)"
+    )
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     done = chat.format_chats(given)
     turn = F.transform("segments", lambda s: F.concat(chat.unescape(s.role), F.lit("\n"), chat.unescape(s.text), F.lit("\n")))
