@@ -89,9 +89,8 @@ def mine(pages: DataFrame, labels: DataFrame, support: float, confidence: float)
         F.round(F.col("support") * total / F.col("confidence")).alias("uses"),
     )
     single = baskets.select(F.explode("items").alias("token"), F.array_contains("items", BAD).cast("double").alias("low"))
-    single = single.where(F.col("token") != BAD).groupBy(F.array("token").alias("antecedent")).agg(
-        F.sum("low").alias("hits"), F.count("*").cast("double").alias("uses")
-    )
+    single = single.where(F.col("token") != BAD).groupBy("token").agg(F.sum("low").alias("hits"), F.count("*").cast("double").alias("uses"))
+    single = single.select(F.array("token").alias("antecedent"), "hits", "uses")
     proven = single.unionByName(several).where((F.col("hits") >= LEAST) & (surely(F.col("hits"), F.col("uses")) >= confidence))
     rules = stored(proven.select("antecedent", (F.col("hits") / F.col("uses")).alias("confidence"), (F.col("hits") / total).alias("support")), "rules")
     # A rule goes if a part of it is at least as sure; parts are found under each of their tokens.
