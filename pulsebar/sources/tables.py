@@ -34,6 +34,8 @@ ZONE = "zone"
 ATTEMPTS = 20
 #: pieces below this are packed together, and how old an uncommitted or replaced part is when it is swept
 SMALL_BYTES, SWEEP_SECONDS = 64 << 20, 86_400
+#: small pieces of a day a landing leaves before it packs them itself
+TIDY = 32
 
 
 def folder(root: str, feed: Feed, table: str) -> str:
@@ -124,9 +126,9 @@ def check_zone(seen: State, feed: Feed, zone: str) -> None:
 # -- landing --------------------------------------------------------------------
 
 
-def retried(made: Callable[[], None]) -> None:
+def retried(made: Callable[[], None], attempts: int | None = None) -> None:
     """Run a job that ends in a commit, again while others get in its way."""
-    for left in reversed(range(ATTEMPTS)):
+    for left in reversed(range(attempts or ATTEMPTS)):
         try:
             return made()
         except Conflict:
@@ -180,6 +182,7 @@ def land_parsed(
             log.commit(seen, change)
 
     retried(once)
+    tidy(spark, root, feed)
 
 
 def _add(change: Change, parsed: DataFrame, seen: State, feed: Feed, root: str, replace: bool) -> None:
@@ -232,16 +235,31 @@ def _replaced(changed: DataFrame, pieces: list[str], feed: Feed, root: str) -> d
 # -- upkeep -----------------------------------------------------------------------
 
 
-def _crowded(seen: State, table: str, small: int) -> dict[str, list[str]]:
-    """Small pieces by day, of the days that have several."""
+def _crowded(seen: State, table: str, small: int, least: int = 2) -> dict[str, list[str]]:
+    """Small pieces by day, of the days that have ``least`` of them."""
     by_day: dict[str, list[str]] = {}
     for piece, (_, size) in seen.of(table).items():
         if size < small:
             by_day.setdefault(day_of(piece) if table in BY_DAY else "", []).append(piece)
-    return {day: pieces for day, pieces in by_day.items() if len(pieces) > 1}
+    return {day: pieces for day, pieces in by_day.items() if len(pieces) >= least}
 
 
-def compact(spark: SparkSession, root: str, feed: Feed, small: int = SMALL_BYTES) -> None:
+def tidy(spark: SparkSession, root: str, feed: Feed) -> None:
+    """Pack what many small commits have left, if it has become much; what a running stream reads stays few files.
+
+    Whether it is done makes no difference to rows, so it gives way to other commits.
+    """
+    seen = log_of(spark, root, feed).read()
+    if any(_crowded(seen, table, SMALL_BYTES, TIDY) for table in (ROWS, SECONDS, REJECTS, COVERED)):
+        try:
+            compact(spark, root, feed, least=TIDY, attempts=1)
+        except Conflict:
+            pass
+
+
+def compact(
+    spark: SparkSession, root: str, feed: Feed, small: int = SMALL_BYTES, least: int = 2, attempts: int | None = None
+) -> None:
     """Pack the small pieces of each day into few files: rows in the order of their keys, seconds added up, ranges merged.
 
     One commit, so readers see all of it or nothing. Rows, keys and what a commit has touched stay as they are.
@@ -263,7 +281,7 @@ def compact(spark: SparkSession, root: str, feed: Feed, small: int = SMALL_BYTES
     def once() -> None:
         seen, change = log.read(), Change()
         for table in (ROWS, SECONDS, REJECTS, COVERED):
-            crowded = _crowded(seen, table, small)
+            crowded = _crowded(seen, table, small, least)
             if not crowded:
                 continue
             old = [piece for pieces in crowded.values() for piece in pieces]
@@ -276,7 +294,7 @@ def compact(spark: SparkSession, root: str, feed: Feed, small: int = SMALL_BYTES
         if change.remove:
             log.commit(seen, change)
 
-    retried(once)
+    retried(once, attempts)
 
 
 def sweep(spark: SparkSession, root: str, feed: Feed, seconds: float = SWEEP_SECONDS) -> None:

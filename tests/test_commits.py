@@ -230,6 +230,17 @@ def test_many_batches_pack_into_few_files(spark, tmp_path):
     assert landed(spark, root) == keys | {1000: (BASE + 5) * 1000 + first}
 
 
+def test_a_stream_packs_what_it_leaves(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "TIDY", 4)
+    root = str(tmp_path)
+    for number in range(9):
+        landing.write_batch(batch(spark, [tick(3 * number, 5), tick(3 * number + 1, number * DAY)]), number, TICKS, root)
+        state = tables.log_of(spark, root, TICKS).read()
+        assert len(state.of(tables.COVERED)) < 4 and len(state.on(tables.ROWS, state.days(tables.ROWS))) < 4 + number
+    series.recount(spark, root, series.price())
+    assert len(landed(spark, root)) == 18 == len(set(landed(spark, root).values())) and len(prices(spark, root)) == 9
+
+
 def test_a_scan_of_an_hour_leaves_most_of_a_packed_day_unread(spark, tmp_path):
     """Packed rows lie in the order of their keys, so each file covers a span of the day and says so in its footer."""
     root, name = str(tmp_path), "spark.sql.adaptive.coalescePartitions.enabled"
