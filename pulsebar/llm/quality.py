@@ -135,8 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Trees
         return pd.Series(list(statistics_of(texts)))
 
     taught = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
-    taught = taught.groupBy("labelled", "quality").agg(F.min(F.struct(F.xxhash64(text_of()).alias("hash"), text_of().alias("text"))).alias("t"))
-    rows = taught.select("labelled", "quality", stats("t.text").alias("x")).toPandas().sort_values("labelled")
+    taught = taught.select("labelled", "quality", F.xxhash64(text_of()).alias("hash"), stats(text_of()).alias("x"))
+    first = F.min(F.struct("hash", "x")).alias("first")
+    rows = taught.groupBy("labelled", "quality").agg(first).select("labelled", "quality", "first.x").toPandas().sort_values("labelled")
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(_GROUPS) + 7))
     return train(x, rows["quality"].to_numpy(float))
 
