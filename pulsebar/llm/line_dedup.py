@@ -78,20 +78,29 @@ def twice_filter(hashes: DataFrame, bits: int) -> bytes:
                 names=["block", "once", "twice"],
             )
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        size = min(_BLOCK, bits // 8)
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a block follow one another, so a task holds one block's filters however many tasks have filled it."""
+        size, block = min(_BLOCK, bits // 8), None
         once, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
-        for o, t in zip(group["once"], group["twice"]):
-            other = np.frombuffer(o, np.uint8)
-            twice |= np.frombuffer(t, np.uint8) | (once & other)
-            once |= other
-        return pd.DataFrame({"block": group["block"].iloc[:1], "twice": [twice.tobytes()]})
-
-    blocks = (
-        hashes.mapInArrow(fill, "block int, once binary, twice binary")
-        .groupBy("block")
-        .applyInPandas(merge, "block int, twice binary")
-    )
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([twice.tobytes()], pa.binary())], names=["block", "twice"])
+
+        for batch in batches:
+            for place, o, t in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if place != block:
+                    if block is not None:
+                        yield done()
+                    block = place
+                    once[:], twice[:] = 0, 0
+                other = np.frombuffer(o.as_buffer(), np.uint8)
+                twice |= np.frombuffer(t.as_buffer(), np.uint8) | (once & other)
+                once |= other
+        if block is not None:
+            yield done()
+
+    filled = hashes.mapInArrow(fill, "block int, once binary, twice binary")
+    blocks = filled.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, twice binary")
     size = min(_BLOCK, bits // 8)
     whole = bytearray(bits // 8)  # at most most_bits / 8 bytes
     for row in blocks.collect():
