@@ -83,12 +83,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other."""
+    """All stages, one after the other; what a stage has written goes when the next one's result is there."""
     docs = common.table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for number, (name, stage) in enumerate(STAGES):
         begun = common.mark()
         result = stage(spark, docs, sf_dir)
         since = common.mark()
         docs = common.stored(result, f"stage-{name.replace(' ', '-')}")
-        common.clear(spark, begun, since)
+        common.clear(spark, begun - min(number, 1), since)
     return docs

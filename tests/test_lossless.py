@@ -87,12 +87,10 @@ def test_an_upsert_leaves_other_days_alone(spark, tmp_path):
     assert len(rows) == 21 and rows[0] == (7.0, (BASE + 3) * 1000)
 
 
-def test_stages_go(spark, tmp_path):
-    place = workdir.shared_folder(spark)
-    before = set(workdir.folders(spark, f"{place}/pulsebar"))
-    jobs.backfill(batch(spark, [tick(0, 5)]), TICKS, str(tmp_path))
-    left = set(workdir.folders(spark, f"{place}/pulsebar")) - before
-    assert not [name for name in left if name.startswith("backfill")]
+def test_stages_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workdir, "shared_folder", lambda session: str(tmp_path / "shared"))
+    jobs.backfill(batch(spark, [tick(0, 5)]), TICKS, str(tmp_path / "root"))
+    assert workdir.exists(spark, str(tmp_path / "shared")) and workdir.folders(spark, str(tmp_path / "shared" / "pulsebar")) == []
 
 
 def test_empty_batches_and_writes_leave_no_folder(spark, tmp_path):
