@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pulsebar.llm import common, quality
+from pulsebar.sources import workdir
 from tests.llm import brute
 
 SMALL = "/root/testdata/sf0.001"
@@ -56,6 +57,13 @@ def test_run_packs_the_ids(spark, items):
     assert got == want
 
 
+def test_run_leaves_its_result_alone(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workdir, "shared_folder", lambda session: str(tmp_path))
+    packed = corpus_pipeline.run(spark, SMALL)
+    (left,) = workdir.folders(spark, f"{tmp_path}/pulsebar")
+    assert left.startswith("stage-packing") and packed.count() > 0
+
+
 def test_stages_return_documents(spark):
     docs = common.table(spark, SMALL, "documents").withColumns({name: F.lit(name) for name in CLASHES})
     odd = docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")).union(docs.limit(2).withColumn("text", F.lit(None).cast("string")))
