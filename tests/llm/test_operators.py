@@ -255,6 +255,28 @@ def test_line_dedup(odd, empty, most_bits):
     assert line_dedup.drop_repeated_lines(empty).count() == 0
 
 
+def test_line_filters_by_range_hold_what_is_met_thrice(spark, monkeypatch):
+    """Several rows a task and a range, several tasks, one key in every row: nothing met three times is lost, little else is kept."""
+    monkeypatch.setattr(line_dedup, "SENT", 1 << 11)
+    monkeypatch.setattr(line_dedup, "LEAST_RANGE_BITS", 1 << 12)
+    draw = random.Random(3)
+    rows = [[f"once {k} {j}" for j in range(40)] + [f"twice {k // 2}", f"thrice {k // 3}", "everywhere"] for k in range(600)]
+    draw.shuffle(rows)
+    keyed = spark.createDataFrame([(row,) for row in rows], "keys array<string>").repartition(7)
+    hashes = keyed.select(F.transform("keys", lambda k: F.xxhash64(k)).alias("hashes"))
+    seen = Counter(row.h for row in hashes.select(F.explode("hashes").alias("h")).collect())
+    for times, wanted in ((3, 201), (2, 501)):
+        found = [row.hash for row in line_dedup.repeated_hashes(hashes, 1 << 18, times).collect()]
+        certain = {h for h, n in seen.items() if n >= times}
+        assert len(certain) == wanted and certain <= set(found) and len(found) == len(set(found))
+        assert len(found) < wanted + len(seen) // 50
+    held, bits = line_dedup.suspects_filter(hashes, 1 << 18, 1 << 16, 3)
+    filter_, places = np.frombuffer(held, np.uint8), line_dedup._places(np.asarray(list(seen), np.int64), bits)
+    inside = line_dedup._holds(filter_, places[0]) & line_dedup._holds(filter_, places[1])
+    assert bits == 1 << 16 and len(held) == bits // 8 and sum(inside) < len(seen) // 50
+    assert all(i for i, n in zip(inside, seen.values()) if n >= 3)
+
+
 def test_quality(spark, small, odd, empty):
     docs, labels = (common.table(spark, small, n) for n in ("documents", "labels"))
     scored = queries.op7_quality(spark, small)
