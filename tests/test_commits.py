@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsebar.layout import POSTS, TICKS
 from pulsebar.operators import ledger, rollup
@@ -115,6 +117,31 @@ def test_intervals_are_the_offsets(spark):
     assert {(r.partition, r.offset) for r in marked if r.again} == {(p, k) for p, k in offsets if k % 3 == 0 and p < 2}
 
 
+def test_a_message_meets_few_of_many_ranges(spark):
+    """Every other offset: as many ranges as messages. Held against all of them, this takes minutes."""
+    ids = spark.range(-60_000, 60_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    ranges = ledger.merged(ledger.intervals(ids.where("offset % 2 = 0")))
+    assert ranges.count() == 60_000
+    began = time.monotonic()
+    found = ledger.marked(ids, ranges).groupBy((F.col("offset") % 2 == 0).alias("even")).agg(F.count_if("again").alias("n")).collect()
+    assert {r.even: r.n for r in found} == {True: 60_000, False: 0}
+    assert time.monotonic() - began < 40
+
+
+def test_ranges_are_merged_over_the_edges_of_chunks(spark):
+    draw = random.Random(5)
+    rows = [("t", p, start, start + draw.randrange(25)) for p in (0, None) for start in (draw.randrange(-300, 300) for _ in range(40))]
+    frame = spark.createDataFrame([*rows, ("t", 0, None, None)], "topic string, partition int, start bigint, stop bigint")
+    for span in (4, 16, 1 << 16):
+        found = [tuple(r)[1:] for r in ledger.merged(frame, span).collect()]
+        assert (0, None, None) in found
+        for p in (0, None):
+            held = {k for _, q, a, b in rows if q == p for k in range(a, b + 1)}
+            own = [(a, b) for q, a, b in found if q == p and a is not None]
+            assert sorted(k for a, b in own for k in range(a, b + 1)) == sorted(held)
+            assert len(own) == sum(k - 1 not in held for k in held)
+
+
 def test_resume_lands_what_a_range_left_out(spark, tmp_path):
     root = str(tmp_path)
     rows = [tick(1, 10), tick(2, 100), tick(3, 20), junk("bad", offset=4)]
