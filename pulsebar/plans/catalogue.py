@@ -12,7 +12,7 @@ from pulsebar.layout import CALC_VALUES, CHATS, POSTS, TICKS, Feed
 from pulsebar.operators import calc, cells, parse, rollup, sequence
 from pulsebar.plans import feeds, jobs
 from pulsebar.plans.feeds import BASE, DOCUMENT_WORDS, EVENT_PAIR, EVENT_WORDS, TEXT_WORDS
-from pulsebar.sources import series, tables
+from pulsebar.sources import series, tables, workdir
 from pulsebar.sources.messages import keep, read_messages, stream_messages
 from pulsebar.sources.workdir import new_folder
 from pulsebar.streaming import landing
@@ -411,12 +411,16 @@ def stream_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("epoch_s", "row_key")
 
 
-def _in_two_files(frame: DataFrame, first, root: str) -> DataFrame:
-    """A stream that gets the rows of ``first`` and then the others, in a batch each."""
+def _in_two_batches(frame: DataFrame, first, root: str) -> DataFrame:
+    """A stream that gets the rows of ``first`` and then the others, in a batch each, whose files many tasks write and read."""
     spark = frame.sparkSession
+    files = spark.sparkContext.defaultParallelism
     for place, part in enumerate((frame.where(first), frame.where(~first))):
-        part.coalesce(1).write.parquet(f"{root}/part-{place}")
-    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/part-*")
+        part.repartition(files, "offset").write.parquet(f"{root}/part-{place}")
+        # a batch takes as many files as the first part has, and the second has no more
+        if not place:
+            files = sum(name.endswith(".parquet") for name in workdir.files(spark, f"{root}/part-0"))
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", str(files)).parquet(f"{root}/part-*")
 
 
 def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,7 +430,7 @@ def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     middle = F.col("offset") * 2 < events.agg(F.max("event_id")).first()[0]
     jobs.backfill(sent.where(middle), TICKS, root)
     tables.compact(spark, root, TICKS)
-    landing.land(_in_two_files(sent, middle, f"{root}/in"), TICKS, root, trigger=landing.CATCH_UP).awaitTermination()
+    landing.land(_in_two_batches(sent, middle, f"{root}/in"), TICKS, root, trigger=landing.CATCH_UP).awaitTermination()
     tables.compact(spark, root, TICKS)
     return _readable(tables.read_rows(spark, root, TICKS).drop("topic", "partition", "day", "texts"), TICKS.time)
 
@@ -435,7 +439,7 @@ def stream_social_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts of which the earlier ones come last, far behind the watermark: landed, they are counted by a recount."""
     root, events = new_folder(spark, "late"), feeds.table(spark, sf_dir, "events")
     sent, of = feeds.event_post_messages(events), series.social(EVENT_WORDS)
-    late = _in_two_files(sent, F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp"), f"{root}/in")
+    late = _in_two_batches(sent, F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp"), f"{root}/in")
     stream_rollup.publish(parse.accepted(parse.parse(late, POSTS)), root, of, landing.CATCH_UP).awaitTermination()
     landing.land(late, POSTS, root, trigger=landing.CATCH_UP).awaitTermination()
     series.recount(spark, root, of)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsebar.layout import POSTS, TICKS
 from pulsebar.operators import ledger, rollup
-from pulsebar.plans import jobs
+from pulsebar.plans import catalogue, jobs
 from pulsebar.sources import log, series, tables, workdir
 from pulsebar.streaming import landing
 from tests.test_jobs import BASE, HOUR, batch, land, landed, post, price_parts, publish, put_file, put_prices, tick
@@ -142,6 +142,19 @@ def test_ranges_are_merged_over_the_edges_of_chunks(spark):
             assert len(own) == sum(k - 1 not in held for k in held)
 
 
+def test_a_stream_in_two_batches_is_written_by_many_tasks(spark, tmp_path):
+    frame = batch(spark, [tick(k, k) for k in range(200)])
+    first = F.col("offset") >= 120
+    stream, seen = catalogue._in_two_batches(frame, first, str(tmp_path / "in")), []
+
+    def take(part, number):
+        seen.append((sorted(r.offset for r in part.select("offset").collect()), len(part.inputFiles())))
+
+    stream.writeStream.option("checkpointLocation", str(tmp_path / "at")).trigger(availableNow=True).foreachBatch(take).start().awaitTermination()
+    assert [offsets for offsets, _ in seen] == [[*range(120, 200)], [*range(120)]]
+    assert len(workdir.files(spark, str(tmp_path / "in" / "part-0"))) > 2 and len(workdir.files(spark, str(tmp_path / "in" / "part-1"))) > 2
+
+
 def test_resume_lands_what_a_range_left_out(spark, tmp_path):
     root = str(tmp_path)
     rows = [tick(1, 10), tick(2, 100), tick(3, 20), junk("bad", offset=4)]
