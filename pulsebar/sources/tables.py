@@ -11,6 +11,7 @@ A part is what one job has written. Its name begins with the time, so what was n
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable, Iterable
@@ -20,6 +21,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.storagelevel import StorageLevel
 
 from pulsebar.functions import clock
 from pulsebar.layout import COVERED_SCHEMA, FEEDS, IDENTITY, REJECT_SCHEMA, SECOND_SCHEMA, Feed
@@ -145,7 +147,9 @@ def _days_held(good: DataFrame, seen: State, root: str, feed: Feed) -> tuple[set
     if not known:
         return set(), set()
     spark = good.sparkSession
-    held = spark.createDataFrame([(day,) for day in known], "day DATE")
+    # one literal, so no Python process starts for it
+    listed = F.from_json(F.lit(json.dumps(sorted(day.isoformat() for day in known))), "array<date>")
+    held = spark.range(1).select(F.explode(listed).alias("day"))
     ranges = ledger.merged(read_table(spark, root, feed, COVERED, seen.of(COVERED)))
     met = ledger.marked(good.select(*IDENTITY, "day"), ranges).join(held, "day", "left_semi")
     found = met.select("day", "again").distinct().collect()
@@ -191,7 +195,7 @@ def _add(change: Change, parsed: DataFrame, seen: State, feed: Feed, root: str,
     keys = [*IDENTITY, "day"]
     days, doubtful = _days_held(good, seen, root, feed)
     touched = []
-    new = good
+    new, met = good, None
     # an offset never looked at is no row's, so only the others are held against what has landed
     if doubtful:
         landed = read_table(spark, root, feed, ROWS, seen.on(ROWS, doubtful))
@@ -201,20 +205,41 @@ def _add(change: Change, parsed: DataFrame, seen: State, feed: Feed, root: str,
         new = good.join(there.select(*keys), keys, "left_anti")
         if replace:
             ours = good.select(*keys, F.xxhash64(*content).alias("ours"), "epoch_s")
-            changed = ours.join(there, keys).where("there <> ours")
-            where = changed.select("part", "day").distinct().collect()  # at most the table's pieces
+            # kept, as all that follows needs the landed rows for nothing else; without a part a message is new
+            met = ours.join(there, keys, "left").where("part IS NULL OR there <> ours").drop("there", "ours")
+            met = met.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if met is not None:
+            changed = met.where("part IS NOT NULL")
+            known = F.col("part").isNotNull()
+            found = met.select("part", F.when(known, F.col("day")).alias("day")).distinct().collect()  # the table's pieces, one more
+            where = [row for row in found if row.part is not None]
             if where:
                 pieces = [f"part={row.part}/day={row.day.isoformat()}" for row in where]
                 change.remove[ROWS] = pieces
                 change.add[ROWS] = _replaced(good.join(changed.select(*keys), keys, "left_semi"), pieces, feed, root)
                 for second in ("old_s", "epoch_s"):
                     touched.append(changed.select("topic", "day", F.col(second).alias("epoch_s"), F.lit(0).cast("bigint").alias("n")))
-    prior = None
-    if held := seen.on(SECONDS, days):
-        prior = read_table(spark, root, feed, SECONDS, held).groupBy("topic", "epoch_s").agg(F.sum("n").alias("n"))
-    keyed = sequence.with_row_key(sequence.number_in_second(new, prior=prior))
-    pieces = write_part(keyed, folder(root, feed, ROWS))
-    change.add[ROWS] = change.add.get(ROWS, {}) | pieces
+            if len(where) == len(found):
+                new = None
+        _add_new(change, new, touched, seen.on(SECONDS, days), feed, root, spark)
+    finally:
+        if met is not None:
+            met.unpersist()
+
+
+def _add_new(
+    change: Change, new: DataFrame | None, touched: list[DataFrame], held: list[str], feed: Feed, root: str, spark: SparkSession
+) -> None:
+    """Number and write the new rows, if there are any, and the seconds they and the ``touched`` are of."""
+    pieces = {}
+    if new is not None:
+        prior = None
+        if held:
+            prior = read_table(spark, root, feed, SECONDS, held).groupBy("topic", "epoch_s").agg(F.sum("n").alias("n"))
+        keyed = sequence.with_row_key(sequence.number_in_second(new, prior=prior))
+        pieces = write_part(keyed, folder(root, feed, ROWS))
+        change.add[ROWS] = change.add.get(ROWS, {}) | pieces
     if pieces:
         written = read_table(spark, root, feed, ROWS, pieces)
         touched.append(written.groupBy("topic", "day", "epoch_s").agg(F.count(F.lit(1)).alias("n")))

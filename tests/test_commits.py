@@ -155,6 +155,22 @@ def test_a_stream_in_two_batches_is_written_by_many_tasks(spark, tmp_path):
     assert len(workdir.files(spark, str(tmp_path / "in" / "part-0"))) > 2 and len(workdir.files(spark, str(tmp_path / "in" / "part-1"))) > 2
 
 
+def test_corrections_alone_number_nothing(spark, tmp_path, monkeypatch):
+    """Messages that have all landed before are compared once, and not brought to the numbering at all."""
+    root = str(tmp_path)
+    jobs.backfill(batch(spark, [tick(k, 10 * k, last="1.5") for k in range(20)]), TICKS, root)
+    before = {r.offset: r.row_key for r in tables.read_rows(spark, root, TICKS).collect()}
+    with monkeypatch.context() as patch:
+        patch.setattr(tables.sequence, "number_in_second", None)
+        jobs.backfill(batch(spark, [tick(k, 10 * k, last="2.5") for k in range(5, 20)]), TICKS, root)
+        jobs.backfill(batch(spark, [tick(k, 10 * k, last="2.5") for k in range(5, 20)]), TICKS, root)
+    rows = tables.read_rows(spark, root, TICKS).collect()
+    assert {r.offset: r.row_key for r in rows} == before and len(rows) == 20
+    assert {r.offset: r.last for r in rows} == {k: 1.5 if k < 5 else 2.5 for k in range(20)}
+    jobs.backfill(batch(spark, [tick(19, 190, last="9.5"), tick(20, 190)]), TICKS, root)
+    assert len(landed(spark, root)) == 21
+
+
 def test_resume_lands_what_a_range_left_out(spark, tmp_path):
     root = str(tmp_path)
     rows = [tick(1, 10), tick(2, 100), tick(3, 20), junk("bad", offset=4)]
