@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsebar.llm.common import bitmap, groups, in_bitmap, portions, stored, text_of
+from pulsebar.llm.common import bitmap, give_back, groups, in_bitmap, portions, stored, text_of
 
 WORDS, BANDS, ROWS = 5, 50, 5
 REGISTERS = BANDS * ROWS
@@ -45,6 +45,7 @@ DOUBT = 12.5  # in log likelihood: five standard errors
 BLOCK = 512
 MATRIX, COLUMNS = 64, 2048  # members from which overlaps are counted together, and shingles at a time
 STAR_ROUNDS = 1
+PAIRS = 1000  # estimated at a time
 
 _draws = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = _draws.integers(0, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -164,9 +165,15 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _estimated(n_a: pd.Series, registers_a: pd.Series, n_b: pd.Series, registers_b: pd.Series) -> pd.DataFrame:
-    a = np.frombuffer(b"".join(registers_a), np.uint16).reshape(-1, REGISTERS)
-    b = np.frombuffer(b"".join(registers_b), np.uint16).reshape(-1, REGISTERS)
-    overlap, possible = likely((a == b).sum(axis=1), (a > b).sum(axis=1), n_a.to_numpy(float), n_b.to_numpy(float))
+    overlap, possible = np.zeros(len(n_a)), np.zeros(len(n_a), bool)
+    # a hundred numbers a pair, several times over
+    for at in range(0, len(n_a), PAIRS):
+        part = slice(at, at + PAIRS)
+        a = np.frombuffer(b"".join(registers_a[part]), np.uint16).reshape(-1, REGISTERS)
+        b = np.frombuffer(b"".join(registers_b[part]), np.uint16).reshape(-1, REGISTERS)
+        sizes = n_a[part].to_numpy(float), n_b[part].to_numpy(float)
+        overlap[part], possible[part] = likely((a == b).sum(axis=1), (a > b).sum(axis=1), *sizes)
+    give_back()
     return pd.DataFrame({"overlap": overlap, "possible": possible})
 
 
@@ -177,8 +184,11 @@ def similar(a: bytes, b: bytes) -> bool:
     return 100 * both >= PERCENT * (len(left) + len(right) - both)
 
 
-def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similar(x, y) for x, y in zip(a, b)], dtype=bool)
+def _linked(a: pa.Array, b: pa.Array) -> pa.Array:
+    """The same for the pairs of a batch; the sets are read where they lie."""
+    found = pa.array([similar(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.bool_())
+    give_back()
+    return found
 
 
 def _sized(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
@@ -200,7 +210,7 @@ def estimate(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, linked) on the full sets."""
     both = _sized(pairs.select("a", "b"), sets, "hashes")
-    linked = F.pandas_udf(_linked, "boolean")
+    linked = F.arrow_udf(_linked, "boolean")
     return stored(both.select("a", "b", linked("hashes_a", "hashes_b").alias("linked")), "verified")
 
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsebar.llm.common import portions
+
 LONGEST, END_ID = 2048, 1
 _BATCH_BYTES = 8 << 20
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long"
@@ -87,7 +89,7 @@ def pieces(
         encode = encoder(ranks_path, pattern, end_of_text)
         end = np.asarray([end_id], dtype=np.uint32)
         doc_ids, held, size = [], [], 0
-        for given in batches:
+        for given in portions(batches):
             for doc_id, text in zip(given.column(0).to_pylist(), given.column(1)):
                 ids = np.concatenate([encode(text.as_py() or ""), end])
                 doc_ids.append(doc_id)

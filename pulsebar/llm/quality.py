@@ -20,11 +20,11 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsebar.llm.common import text_of
+from pulsebar.llm.common import give_back, text_of
 
 MOST_ROWS = 20_000
 FOLDS = 5
@@ -38,7 +38,11 @@ _GROUPS[-4, 65:91] = _GROUPS[-3, 97:123] = _GROUPS[-2, 48:58] = _GROUPS[-1, 128:
 
 def statistics(text: str | None) -> np.ndarray:
     """Length, shares of character groups, and how long, varied and repeated the words are."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+    return statistics_of_bytes((text or "").encode("utf-8", "surrogatepass"))
+
+
+def statistics_of_bytes(raw: bytes) -> np.ndarray:
+    """The same of a text in UTF-8."""
     words = raw.split()
     out = np.zeros(len(_GROUPS) + 7)
     if not words:
@@ -54,8 +58,13 @@ def statistics(text: str | None) -> np.ndarray:
     return out
 
 
-def statistics_of(texts: pd.Series) -> np.ndarray:
-    return np.stack([statistics(text) for text in texts]) if len(texts) else np.zeros((0, len(_GROUPS) + 7))
+def statistics_of(texts: pa.Array) -> np.ndarray:
+    """Statistics of a batch, a row each; its texts are looked at one by one where they lie."""
+    out = np.zeros((len(texts), len(_GROUPS) + 7))
+    for place, text in enumerate(texts):
+        if text.is_valid:
+            out[place] = statistics_of_bytes(text.as_buffer().to_pybytes())
+    return out
 
 
 @dataclass
@@ -130,9 +139,11 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Trees
     known = known.groupBy(F.col("doc_id").alias("labelled")).agg(F.min("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("labelled"), "labelled").limit(most_rows)  # the documented bound
 
-    @F.pandas_udf("array<double>")
-    def stats(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(statistics_of(texts)))
+    @F.arrow_udf("array<double>")
+    def stats(texts: pa.Array) -> pa.Array:
+        made = pa.array(list(statistics_of(texts)), pa.list_(pa.float64()))
+        give_back()
+        return made
 
     taught = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled"))
     taught = taught.select("labelled", "quality", F.xxhash64(text_of()).alias("hash"), stats(text_of()).alias("x"))
@@ -145,8 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> Trees
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
     """The documents with ``score``, the chance of label 1."""
 
-    @F.pandas_udf("double")
-    def chance(texts: pd.Series) -> pd.Series:
-        return pd.Series(trees.score(statistics_of(texts)))
+    @F.arrow_udf("double")
+    def chance(texts: pa.Array) -> pa.Array:
+        made = pa.array(trees.score(statistics_of(texts)), pa.float64())
+        give_back()
+        return made
 
     return docs.withColumn("score", chance(text_of()))

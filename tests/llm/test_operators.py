@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -523,3 +525,17 @@ def test_shards(spark, small, odd, empty):
     copies = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "the same").otherwise(F.col("id").cast("string")).alias("text"))
     even = shards.assign(copies).groupBy("shard").agg(F.sum("size").alias("n")).toPandas()["n"]
     assert len(even) == 40 and even.max() - even.min() <= 2 * 24
+
+
+def test_estimates_of_many_pairs_take_little_memory():
+    draw = np.random.default_rng(1)
+    n = 10_000
+    sets = [pd.Series(list(map(bytes, draw.integers(0, 256, (n, 2 * near_dedup.REGISTERS), dtype=np.uint8)))) for _ in "ab"]
+    sets[1][:50] = sets[0][:50]
+    sizes = pd.Series(np.full(n, 100))
+    tracemalloc.start()
+    found = near_dedup._estimated(sizes, sets[0], sizes, sets[1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found["possible"].to_numpy().nonzero()[0].tolist() == [*range(50)] and (found["overlap"][:50] == 1).all()
+    assert peak < 16 << 20
